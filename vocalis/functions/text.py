@@ -98,12 +98,12 @@ def strip_fences(c: Column | str) -> Column:
 
 
 def strip_quotes(c: Column | str) -> Column:
-    """remove one matching pair of wrapping double or single quotes, then trim."""
-    x = strip_ws(c)
-    wrapped = (F.char_length(x) >= 2) & (
-        (x.startswith('"') & x.endswith('"')) | (x.startswith("'") & x.endswith("'"))
-    )
-    return strip_ws(F.when(wrapped, x.substr(F.lit(2), F.char_length(x) - 2)).otherwise(x))
+    """if the text is wrapped in double (else single) quotes, drop one
+    pair and trim what is inside; otherwise return it unchanged."""
+    x = _c(c)
+    wrapped = (x.startswith('"') & x.endswith('"')) | (x.startswith("'") & x.endswith("'"))
+    inner = x.substr(F.lit(2), F.greatest(F.char_length(x) - 2, F.lit(0)))
+    return F.when(wrapped, strip_ws(inner)).otherwise(x)
 
 
 def unescape_quotes(c: Column | str) -> Column:

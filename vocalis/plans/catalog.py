@@ -31,6 +31,8 @@ def register(key: str, sql: str | None = None):
 
 
 def with_cte(sql: str, **ctes: str) -> str:
+    if not ctes:
+        return sql
     body = ",\n".join(f"{name} AS (\n{text}\n)" for name, text in ctes.items())
     return f"WITH {body}\n{sql}"
 

@@ -134,6 +134,7 @@ _RULE_COLS = [
     "concat('term', cast(user_id % 7 AS string)) AS intended",
     "CASE event_id % 5 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' WHEN 2 THEN 'low' WHEN 3 THEN 'often' END AS frequency",
     "concat('heard ', event_type, ' for term', cast(user_id % 7 AS string)) AS explanation",
+    "ts",
 ]
 
 
@@ -249,3 +250,88 @@ def timings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TIMINGS_SQL = "SELECT " + ", ".join(c.replace("0.0D", "0.0::double") for c in _TIMING_COLS) + " FROM events"
+
+
+# ---------------------------------------------------------------- user mapping log
+_MAP_COLS = [
+    "concat('user_', cast(user_id % 20 AS string)) AS username",
+    "concat('spk', lpad(cast(user_id % 20 AS string), 2, '0'), '_', cast(event_id % 3 AS string)) AS speaker_id",
+    "ts AS updated_at",
+    "event_id AS seq",
+]
+
+
+def mapping_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """username -> speaker id writes (users 0-14 of 20 are ever mapped)."""
+    return table(spark, sf_dir, "events").filter("user_id % 20 < 15").selectExpr(*_MAP_COLS)
+
+
+MAPPING_LOG_SQL = "SELECT " + ", ".join(_MAP_COLS) + " FROM events WHERE user_id % 20 < 15"
+
+# Users whose profile is missing although mapped, and whose lists are empty.
+MISSING_PROFILE_USER = "user_14"
+EMPTY_PROFILE_USER = "user_13"
+
+
+def _info_cols(n: str, arr) -> list[str]:
+    return [
+        f"CASE {n} % 4 WHEN 0 THEN 'tech' WHEN 1 THEN 'medical' WHEN 2 THEN NULL ELSE 'legal' END AS domain",
+        f"CASE {n} % 5 WHEN 0 THEN 'Casual' WHEN 1 THEN 'academic' WHEN 2 THEN 'weird' WHEN 3 THEN NULL ELSE 'mixed' END AS formality",
+        f"{arr}concat('topic_', cast({n} % 3 AS string)), concat('topic_', cast({n} % 4 + 3 AS string)){arr_end(arr)} AS topics",
+        f"CASE WHEN {n} % 2 = 0 THEN NULL ELSE {arr}'en', 'de'{arr_end(arr)} END AS languages",
+        f"CASE WHEN {n} % 3 = 0 THEN 'en-GB' END AS preferred_spelling",
+        f"concat('speaks about topic_', cast({n} % 3 AS string)) AS notes",
+    ]
+
+
+def arr_end(arr: str) -> str:
+    return ")" if arr == "array(" else "]"
+
+
+def speaker_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extracted speaker info per mapped user (a function of the user number)."""
+    m = mapping_log(spark, sf_dir).select("username").distinct() \
+        .withColumn("n", F.expr("cast(substring(username, 6) AS int)"))
+    return m.selectExpr("username", *_info_cols("n", "array("))
+
+
+SPEAKER_INFO_SQL = ("SELECT username, " + ", ".join(_info_cols("n", "[")) +
+                    " FROM (SELECT DISTINCT username, cast(substring(username, 6) AS int) AS n FROM mapping_log)")
+
+
+# ---------------------------------------------------------------- substitution-only pairs
+def sub_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs with substitutions only (equal token counts): every 5th token
+    becomes ``um``, every 7th gets an ``s`` appended."""
+    conv = table(spark, sf_dir, "conversations")
+    toks = conv.select("conv_id", "turn", F.filter(F.split(F.lower("text"), WS_RUN), lambda x: x != "").alias("r"))
+    hyp = F.transform("r", lambda x, i: F.when((i + 1) % 5 == 0, F.lit("um"))
+                      .when((i + 1) % 7 == 0, F.concat(x, F.lit("s"))).otherwise(x))
+    return toks.select(
+        F.concat(F.lit("user_"), (F.col("conv_id") % 20).cast("string")).alias("username"),
+        (F.col("conv_id") * 100 + F.col("turn")).alias("pair_id"),
+        F.array_join(hyp, " ").alias("model_output"),
+        F.array_join("r", " ").alias("correct_transcription"),
+    )
+
+
+SUB_PAIRS_SQL = f"""SELECT concat('user_', cast(conv_id % 20 AS string)) AS username, conv_id * 100 + turn AS pair_id,
+    array_to_string(list_transform(r, lambda x, i: CASE WHEN i % 5 = 0 THEN 'um' WHEN i % 7 = 0 THEN concat(x, 's') ELSE x END), ' ') AS model_output,
+    array_to_string(r, ' ') AS correct_transcription
+  FROM (SELECT conv_id, turn, list_filter(regexp_split_to_array(lower(text), '{DUCK_WS_RUN}'), lambda x: x <> '') AS r
+        FROM conversations)"""
+
+
+# ---------------------------------------------------------------- texts to correct
+_RTEXT_COLS = [
+    "event_id AS text_id",
+    "concat('user_', cast(user_id % 20 AS string)) AS username",
+    "concat('the ', event_type, ' then ', upper(event_type), ' and ', event_type, 'ing ', lower(event_type)) AS model_output",
+]
+
+
+def rule_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").selectExpr(*_RTEXT_COLS)
+
+
+RULE_TEXTS_SQL = "SELECT " + ", ".join(_RTEXT_COLS) + " FROM events"

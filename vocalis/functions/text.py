@@ -37,6 +37,13 @@ def word_list(c: Column | str) -> Column:
     return F.split(_c(c), " ", -1)
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once per row and pass it to ``body`` as a lambda
+    variable (a one-element ``transform``), so an expensive sub-expression
+    used several times inside other lambdas is not recomputed."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _encode(tokens: Column, vocab: Column) -> Column:
     """Map every token to one BMP character (its index in ``vocab``)."""
     hexes = F.transform(
@@ -52,9 +59,12 @@ def token_edit_distance(ref_tokens: Column, hyp_tokens: Column) -> Column:
     pair as one character.  NULL when a pair holds more distinct tokens
     than there are code characters (see ``vocalis.operators.wer``).
     """
-    vocab = F.array_distinct(F.concat(ref_tokens, hyp_tokens))
-    dist = F.levenshtein(_encode(ref_tokens, vocab), _encode(hyp_tokens, vocab))
-    return F.when(F.size(vocab) <= MAX_DISTINCT_TOKENS, dist)
+    def body(p):
+        vocab = F.array_distinct(F.concat(p["r"], p["h"]))
+        return let(vocab, lambda v: F.when(
+            F.size(v) <= MAX_DISTINCT_TOKENS,
+            F.levenshtein(_encode(p["r"], v), _encode(p["h"], v))))
+    return let(F.struct(ref_tokens.alias("r"), hyp_tokens.alias("h")), body)
 
 
 def wer_from_tokens(ref_tokens: Column, hyp_tokens: Column, distance: Column | None = None) -> Column:
@@ -69,7 +79,8 @@ def wer(ref: Column | str, hyp: Column | str) -> Column:
     0.0 when the reference has no tokens (even if the hypothesis has some);
     may exceed 1.0.
     """
-    return wer_from_tokens(tokenize(ref), tokenize(hyp))
+    return let(F.struct(tokenize(ref).alias("r"), tokenize(hyp).alias("h")),
+               lambda p: wer_from_tokens(p["r"], p["h"]))
 
 
 def cer(ref: Column | str, hyp: Column | str) -> Column:

@@ -7,8 +7,13 @@ from pyspark.sql import functions as F
 
 from vocalis.functions.text import unescape_quotes
 
-# Fixed value: one tuple of two double-quoted strings (escaped quotes allowed).
-PAIR_PATTERN = r'\(\s*"((?:\\"|[^"])*)"\s*,\s*"((?:\\"|[^"])*)"\s*\)'
+# One tuple of two double-quoted strings in which a quote may be escaped as
+# \".  Each string is "any non-quote character or an escaped quote",
+# written as runs of plain characters between backslashes: Java's regex
+# engine recurses once per loop iteration, so a per-character alternation
+# overflows the stack on long lines while this form recurses per backslash.
+_STR = r'([^"\\]*(?:\\"?[^"\\]*)*)'
+PAIR_PATTERN = r'\(\s*"' + _STR + r'"\s*,\s*"' + _STR + r'"\s*\)'
 
 
 def parse_pairs(text_df: DataFrame, col: str = "value") -> DataFrame:

@@ -43,6 +43,7 @@ def get_session(master: str | None = None, app: str = "vocalis",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -65,3 +66,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+_SHIPPED_KEY = "spark.vocalis.pyfiles"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``vocalis`` importable in every Python worker (once per session).
+
+    Arrow jobs pickle functions by reference to this package, so executors
+    need it on their path whatever the driver's working directory is.  The
+    package is zipped and handed to ``addPyFile``, which serves it to all
+    executors, including ones added or replaced later.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.getLocalProperty(_SHIPPED_KEY) == "1" or spark.conf.get(_SHIPPED_KEY, "0") == "1":
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = ensure_checkpoint_dir(spark)
+    folder = base if "://" not in base or base.startswith("file:") else tempfile.mkdtemp(prefix="vocalis-py-")
+    folder = folder[len("file:"):] if folder.startswith("file:") else folder
+    target = os.path.join(folder, f"vocalis-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(target)
+    spark.conf.set(_SHIPPED_KEY, "1")

@@ -70,7 +70,7 @@ def test_mine_corrections_unequal_lengths(spark):
     pairs = spark.createDataFrame([("u", "the cube netties cluster", "the kubernetes cluster"),
                                    ("u", "cube the cluster", "cube a cluster")],
                                   "username string, model_output string, correct_transcription string")
-    got = {(r.stt_output, r.intended): r.count for r in K.mine_corrections(pairs).collect()}
+    got = {(r.stt_output, r.intended): r["count"] for r in K.mine_corrections(pairs).collect()}
     assert got[("the", "a")] == 1
     assert sum(got.values()) == 2
 

@@ -272,7 +272,7 @@ def apply_rules(texts: DataFrame, rules: DataFrame, text_col: str = "model_outpu
     """
     per_user = rules.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(
         (-F.col("confidence")).alias("_o1"), F.col("first_seq").alias("_o2"),
-        F.concat(F.lit("(?i)(?<=^|\\s)"), F.regexp_replace(_regex_quote(F.col("stt_output")), " +", r"\\\\s+"),
+        F.concat(F.lit("(?i)(?<=^|\\s)"), F.regexp_replace(_regex_quote(F.col("stt_output")), " +", r"\\s+"),
                  F.lit("(?=\\s|$)")).alias("pat"),
         _replacement_quote(F.col("intended")).alias("rep")))).alias("_rules"))
     j = texts.join(per_user, key, "left")

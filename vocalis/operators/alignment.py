@@ -118,7 +118,8 @@ def align_tokens(df: DataFrame, carry: list[str]) -> DataFrame:
     arrays ``_r`` (reference) and ``_h`` (hypothesis)."""
     fields = [df.schema[c].simpleString() for c in carry]
     schema = ", ".join(fields + ["op string", "ref_pos int", "hyp_pos int", "ref_tok string", "hyp_tok string"])
-    return df.select(*carry, "_r", "_h").mapInPandas(_make_batches(carry), schema)
+    from vocalis.operators.relational import spread
+    return spread(df.select(*carry, "_r", "_h")).mapInPandas(_make_batches(carry), schema)
 
 
 def edit_ops(df: DataFrame, key: str, ref: str, hyp: str) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from vocalis.functions.formatting import basename, gender_from_path, parent_dir
 from vocalis.operators import signal as S
 from vocalis.operators.features import TECHNIQUES
+from vocalis.operators.relational import spread
 
 FEATURE_SCHEMA = T.StructType([
     T.StructField("filename", T.StringType(), False),
@@ -68,7 +69,7 @@ def _extract_batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def extract_features(files: DataFrame) -> DataFrame:
     """(filename, speaker, gender, content) -> log-Mel feature rows."""
-    return files.select("filename", "speaker", "gender", "content").mapInPandas(_extract_batches, FEATURE_SCHEMA)
+    return spread(files.select("filename", "speaker", "gender", "content")).mapInPandas(_extract_batches, FEATURE_SCHEMA)
 
 
 def _augment_batches(techniques: Sequence[str], seed: int):
@@ -104,7 +105,7 @@ def augment_extract(files: DataFrame, techniques: Sequence[str] = TECHNIQUES, se
     """D11 (J1 + D1-D9): every file x every technique, decoded once per file,
     augmentation seeded by (filename, technique, seed) so re-runs and task
     retries give identical rows."""
-    return files.select("filename", "speaker", "gender", "content").mapInPandas(
+    return spread(files.select("filename", "speaker", "gender", "content")).mapInPandas(
         _augment_batches(list(techniques), seed), AUGMENTED_SCHEMA)
 
 
@@ -152,7 +153,7 @@ def synth_clips(signals: DataFrame) -> DataFrame:
     """Deterministic WAV clips derived from table rows (rate 16/8/22.05 kHz,
     mono or stereo, 0.25-1.0 s, tones shaped by the row's values; every
     50th row starting at 7 is corrupted)."""
-    return signals.select("vec_id", "embedding").mapInPandas(_synth_batches, CLIP_SCHEMA)
+    return spread(signals.select("vec_id", "embedding")).mapInPandas(_synth_batches, CLIP_SCHEMA)
 
 
 def clips_as_files(clips: DataFrame, root: str = "/audio") -> DataFrame:

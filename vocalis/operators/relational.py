@@ -25,3 +25,22 @@ def successes(df: DataFrame, mode: str = "status") -> DataFrame:
 def drop_columns(df: DataFrame, *names: str) -> DataFrame:
     """P5: projection without the given columns (pruned from the scan)."""
     return df.drop(*names)
+
+
+def spread(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Give a CPU-heavy per-row stage enough tasks.
+
+    Only when the input has fewer partitions than the cluster can run at
+    once (a small table, one big row group) is it round-robin repartitioned
+    to ``factor x defaultParallelism``; a large scan already has more splits
+    than cores and is left alone, so no shuffle is added at scale.
+    Streaming frames, and frames whose plan already has a shuffle (their
+    partitions are spread; asking an adaptive plan for its partition count
+    would run that shuffle), are returned unchanged.
+    """
+    if df.isStreaming or "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
+    target = df.sparkSession.sparkContext.defaultParallelism * factor
+    if df.rdd.getNumPartitions() >= target // factor:
+        return df
+    return df.repartition(target)

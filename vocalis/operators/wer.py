@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vocalis.functions.text import MAX_DISTINCT_TOKENS, token_edit_distance, tokenize
+from vocalis.functions.text import MAX_DISTINCT_TOKENS, cer, token_edit_distance, tokenize
+from vocalis.operators.relational import spread
 
 
 def pair_wer(pairs: DataFrame, ref: str = "correct_transcription", hyp: str = "model_output",
@@ -21,7 +22,7 @@ def pair_wer(pairs: DataFrame, ref: str = "correct_transcription", hyp: str = "m
     With ``exact_fallback`` the rare oversized pair is sent through the
     numpy DP; otherwise its ``errors``/``wer`` are NULL.
     """
-    df = pairs.withColumn("_r", tokenize(ref)).withColumn("_h", tokenize(hyp))
+    df = spread(pairs).withColumn("_r", tokenize(ref)).withColumn("_h", tokenize(hyp))
     dist = token_edit_distance(F.col("_r"), F.col("_h"))
     if exact_fallback:
         from vocalis.operators.alignment import python_token_distance
@@ -45,3 +46,9 @@ def wer_by_user(scored: DataFrame, key: str = "username") -> DataFrame:
         F.sum("ref_words").alias("ref_words"),
         F.round(F.try_divide(F.sum("errors"), F.sum("ref_words")) * 100, 2).alias("corpus_WER_pct"),
     )
+
+
+def pair_cer(pairs: DataFrame, ref: str = "correct_transcription", hyp: str = "model_output") -> DataFrame:
+    """Adds ``cer`` (F2) per pair; the character DP is the costly part, so
+    small inputs are spread over all cores first."""
+    return spread(pairs).withColumn("cer", cer(ref, hyp))

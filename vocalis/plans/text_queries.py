@@ -76,8 +76,8 @@ def duck_char_codes(expr: str, alphabet: str) -> str:
     "FROM (SELECT *, list_distinct(string_split(concat(correct_transcription, model_output), '')) AS v FROM pairs)",
     pairs=X.PAIRS_SQL))
 def q_cer(spark, sf_dir):
-    p = X.pairs(spark, sf_dir)
-    return p.select("pair_id", T.cer("correct_transcription", "model_output").alias("cer"))
+    from vocalis.operators.wer import pair_cer
+    return pair_cer(X.pairs(spark, sf_dir)).select("pair_id", "cer")
 
 
 # ------------------------------------------------------------------ F3 (property-tested)

@@ -82,3 +82,18 @@ def test_valid_and_append_pairs(spark):
     assert K.alias_top3(spark.createDataFrame([(["a", "b", "c", "d"],)], "aliases array<string>")).first()[0] == \
         ["a", "b", "c"]
     assert F is not None
+
+
+def test_synth_results_means(spark):
+    from vocalis.operators import wer_reports as R
+    from vocalis.sources.results import synth_results
+    res = synth_results(spark, 100_000, seed=42)
+    overall = R.wer_overall(res).first()
+    assert abs(overall.baseline_WER_pct - 41.58) < 1 and abs(overall.finetuned_WER_pct - 22.92) < 1
+    sev = {r.severity: r for r in R.wer_by_severity(res).collect()}
+    assert abs(sev["severe"].baseline_WER_pct - 59.25) < 1 and abs(sev["mild"].finetuned_WER_pct - 14.25) < 1
+    noise = {r.noise_type: r.finetuned_WER_pct for r in R.wer_by_noise(res).collect()}
+    assert abs(noise["clean"] - 18.67) < 1 and abs(noise["babble"] - 26.67) < 1
+    assert res.select("speaker").distinct().count() == 15
+    assert sorted(r[0] for r in synth_results(spark, 1000, variant="root").select("augmentation").distinct()
+                  .collect()) == sorted(["none", "pitch_shift", "time_stretch", "time_shift"])

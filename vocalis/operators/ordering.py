@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vocalis.functions.text import strip_ws
+from vocalis.operators.relational import epoch_micros
 
 
 def _keys(key: Sequence[str] | str) -> list[str]:
@@ -141,7 +142,7 @@ def rate_limit(events: DataFrame, key: str = "client_id", ts: str = "ts", tie: s
     Arrow batches in order with at most ``limit`` timestamps of state.
     """
     e = events.select(F.col(key).cast("long").alias("client_id"), F.col(tie).cast("long").alias("request_id"),
-                      F.unix_micros(F.col(ts).cast("timestamp")).alias("ts_us"))
+                      epoch_micros(events, ts).alias("ts_us"))
     e = (e.repartition(partitions, "client_id") if partitions else e.repartition("client_id"))
     e = e.sortWithinPartitions("client_id", "ts_us", "request_id")
     return e.mapInPandas(_rate_fold(limit, window_us), RATE_SCHEMA)

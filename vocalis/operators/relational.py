@@ -44,3 +44,16 @@ def spread(df: DataFrame, factor: int = 2) -> DataFrame:
     if df.rdd.getNumPartitions() >= target // factor:
         return df
     return df.repartition(target)
+
+
+_EPOCH_NTZ = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
+def epoch_micros(df: DataFrame, col: str) -> Column:
+    """Microseconds since the epoch, independent of the session time zone:
+    a TIMESTAMP_NTZ (wall clock, as the driver tables store it) is read as
+    UTC; a TIMESTAMP is an instant already."""
+    from pyspark.sql.types import TimestampNTZType
+    if isinstance(df.schema[col].dataType, TimestampNTZType):
+        return F.expr(f"timestampdiff(MICROSECOND, {_EPOCH_NTZ}, `{col}`)")
+    return F.unix_micros(F.col(col).cast("timestamp"))

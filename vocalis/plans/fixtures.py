@@ -189,7 +189,7 @@ CHUNKS_SQL = "SELECT " + ", ".join(_CHUNK_COLS) + " FROM conversations"
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request log: client, time, tie-break id."""
     return table(spark, sf_dir, "events").selectExpr(
-        "user_id AS client_id", "cast(ts AS timestamp) AS ts", "event_id AS request_id")
+        "user_id AS client_id", "ts", "event_id AS request_id")
 
 
 REQUESTS_SQL = "SELECT user_id AS client_id, ts, event_id AS request_id FROM events"

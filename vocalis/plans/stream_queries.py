@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from vocalis.functions.formatting import parse_audio_key
 from vocalis.operators import audio as A
+from vocalis.operators.relational import epoch_micros
 from vocalis.plans import fixtures as X
 from vocalis.plans.audio_queries import CLIPS_SQL, _ERR
 from vocalis.plans.catalog import register, with_cte
@@ -139,13 +140,14 @@ def q_stream_reassembly(spark, sf_dir):
 def q_stream_rate_limit(spark, sf_dir):
     inbox, out, ck = (scratch_path(spark, n) for n in ("inbox", "out", "ckpt"))
     req = X.requests(spark, sf_dir)
-    lo, hi = req.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    us = epoch_micros(req, "ts")
+    lo, hi = req.agg(F.min(us), F.max(us)).first()
     slices = 4
     width = (hi - lo) // slices + 1
     for k in range(slices):  # time-ordered files: each append is a newer file
-        part = req.filter((F.unix_micros("ts") - lo >= k * width) & (F.unix_micros("ts") - lo < (k + 1) * width))
+        part = req.filter((us - lo >= k * width) & (us - lo < (k + 1) * width))
         part.coalesce(1).write.mode("append").parquet(inbox)
-    stream = spark.readStream.schema("client_id long, ts timestamp, request_id long") \
+    stream = spark.readStream.schema("client_id long, ts timestamp_ntz, request_id long") \
         .option("maxFilesPerTrigger", 1).parquet(inbox)
     decided = ST.stream_rate_limit(stream, limit=RATE_LIMIT, window_us=RATE_WINDOW_US)
     SS.drain(SS.start_sink(decided, out, ck, available_now=True))

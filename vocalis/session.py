@@ -30,8 +30,10 @@ def get_session(master: str | None = None, app: str = "vocalis",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # feature arrays are ~32 KB per second of audio: keep Arrow batches small
-        "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
+        # audio rows are large (bytes in, ~32 KB of features per second out):
+        # cap Arrow batches by bytes, keep the row cap for small-row stages
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }

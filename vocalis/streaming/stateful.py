@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from vocalis.operators.relational import epoch_micros
+
 # ------------------------------------------------------------------ T3
 REASSEMBLY_OUTPUT = "file_id long, from_index long, to_index long, text string, done boolean, total long"
 REASSEMBLY_STATE = "next_index long, total long, pending_idx array<long>, pending_text array<string>"
@@ -124,7 +126,7 @@ def stream_rate_limit(events: DataFrame, key: str = "client_id", ts: str = "ts",
     timeout is needed to bound it).  Requests of a client are expected in
     time order across batches; a late one is decided in arrival order."""
     e = events.select(F.col(key).cast("long").alias("client_id"), F.col(tie).cast("long").alias("request_id"),
-                      F.unix_micros(F.col(ts).cast("timestamp")).alias("ts_us"))
+                      epoch_micros(events, ts).alias("ts_us"))
     return e.groupBy("client_id").applyInPandasWithState(
         _rate_fn(limit, window_us), RATE_OUTPUT, RATE_STATE, "append", GroupStateTimeout.NoTimeout)
 

@@ -38,10 +38,13 @@ def spread(df: DataFrame, factor: int = 2) -> DataFrame:
     partitions are spread; asking an adaptive plan for its partition count
     would run that shuffle), are returned unchanged.
     """
-    if df.isStreaming or "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-        return df
-    target = df.sparkSession.sparkContext.defaultParallelism * factor
-    if df.rdd.getNumPartitions() >= target // factor:
+    try:
+        if df.isStreaming or "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+            return df
+        target = df.sparkSession.sparkContext.defaultParallelism * factor
+        if df.rdd.getNumPartitions() >= target // factor:
+            return df
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a Connect session): leave the plan as is
         return df
     return df.repartition(target)
 

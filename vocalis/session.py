@@ -55,8 +55,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="vocalis-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(base)
+    except Exception:  # noqa: BLE001 - no SparkContext on Connect sessions
+        pass
     return base
 
 
@@ -83,8 +86,11 @@ def ship_package(spark: SparkSession) -> None:
     """
     import zipfile
 
-    sc = spark.sparkContext
-    if sc.getLocalProperty(_SHIPPED_KEY) == "1" or spark.conf.get(_SHIPPED_KEY, "0") == "1":
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions ship code with addArtifacts instead
+        return
+    if spark.conf.get(_SHIPPED_KEY, "0") == "1":
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     base = ensure_checkpoint_dir(spark)

@@ -47,3 +47,28 @@ def test_restart_no_duplicates(spark):
 def test_trigger_control(spark):
     prog = E.queries()["trigger_control"](spark, SF_SMALL).collect()
     assert len(prog) >= 2 and sum(r.num_input_rows for r in prog) == X.signals(spark, SF_SMALL).count()
+
+
+def test_reassembly_event_time_timeout(spark, tmp_path):
+    """A file whose chunk 1 never arrives is flushed (done = false) once the
+    watermark passes its timeout; complete files finish normally."""
+    import datetime as dt
+
+    from vocalis.streaming import sources as SS
+    from vocalis.streaming import stateful as ST
+    t0 = dt.datetime(2024, 1, 1)
+    first = [(1, 0, "a", 3, t0), (1, 2, "c", 3, t0), (2, 0, "x", 2, t0)]
+    later = [(2, 1, "y", 2, t0 + dt.timedelta(hours=2)), (3, 0, "z", 1, t0 + dt.timedelta(hours=5))]
+    schema = "file_id long, chunk_index long, text string, total long, et timestamp"
+    inbox = str(tmp_path / "in")
+    spark.createDataFrame(first, schema).coalesce(1).write.mode("append").parquet(inbox)
+    spark.createDataFrame(later, schema).coalesce(1).write.mode("append").parquet(inbox)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    runs = ST.stream_reassembly(stream, event_time="et", timeout="30 minutes")
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    SS.drain(SS.start_sink(runs, out, ck, available_now=True), timeout_s=180)
+    rows = sorted((r.file_id, r.from_index, r.text, r.done) for r in spark.read.parquet(out).collect())
+    assert (2, 0, "x y", True) in rows or ((2, 0, "x", False) in rows and (2, 1, "y", True) in rows)
+    assert (3, 0, "z", True) in rows
+    assert (1, 0, "a", False) in rows
+    assert (1, 1, "c", False) in rows, rows  # flushed by the event-time timeout

@@ -63,10 +63,16 @@ def start_sink(df: DataFrame, out: str | None, checkpoint: str, trigger: str | N
 
 
 def preview(df: DataFrame, n: int = 20, truncate: bool = True) -> None:
-    """Console preview of a batch frame."""
+    """Console preview of a batch frame (20 rows, like the reports)."""
     df.show(n, truncate=truncate)
 
 
+def preview_rows(df: DataFrame, n: int = 20) -> DataFrame:
+    """O5 as a frame: the rows ``preview`` would print (a limit on an
+    ordered frame plans as TakeOrderedAndProject)."""
+    return df.limit(n)
+
+
 def drain(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
     """Wait for an ``availableNow`` query to finish and surface its error."""
     query.awaitTermination(timeout_s)

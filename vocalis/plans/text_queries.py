@@ -288,7 +288,7 @@ def q_freq_to_confidence(spark, sf_dir):
     words=X.WORDS_SQL))
 def q_confidence_band(spark, sf_dir):
     w = X.words(spark, sf_dir).select("transcript_id", F.posexplode("words").alias("p", "w"))
-    return w.select("transcript_id", (F.col("p") + 1).alias("pos"), F.col("w.word").alias("word"),
+    return w.select("transcript_id", (F.col("p") + 1).cast("bigint").alias("pos"), F.col("w.word").alias("word"),
                     F.col("w.confidence").alias("confidence"), FM.confidence_band("w.confidence").alias("band"))
 
 

@@ -41,3 +41,26 @@ def test_wer_stays_in_jvm(spark):
     p = plan(X.pairs(spark, SF_SMALL).select(__import__("vocalis.functions.text", fromlist=["wer"]).wer(
         "correct_transcription", "model_output")))
     assert "Python" not in p and "Exchange" not in p
+
+
+def test_epoch_micros_ignores_session_time_zone(spark):
+    from vocalis.operators.relational import epoch_micros
+    df = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-01 00:00:01' AS ts")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        ny = df.select(epoch_micros(df, "ts")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert ny == df.select(epoch_micros(df, "ts")).first()[0] == 1704067201000000
+
+
+def test_spread_only_when_needed(spark):
+    from vocalis.operators.relational import spread
+    small = spark.range(0, 10, numPartitions=1)
+    assert spread(small).rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 10, numPartitions=64)
+    assert spread(wide) is wide
+    two = spark.range(0, 10, numPartitions=2)
+    shuffled = two.groupBy((two.id % 2).alias("k")).count()
+    assert spread(shuffled) is shuffled

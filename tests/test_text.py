@@ -26,9 +26,15 @@ def brute_distance(a, b):
     return dp[n][m]
 
 
+def sql_round(x, digits):
+    """SQL ROUND, half away from zero on the decimal form of the value."""
+    from decimal import ROUND_HALF_UP, Decimal
+    return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
+
+
 def brute_wer(ref, hyp):
     r, h = ref.lower().split(), hyp.lower().split()
-    return 0.0 if not r else round(brute_distance(r, h) / len(r), 4)
+    return 0.0 if not r else sql_round(brute_distance(r, h) / len(r), 4)
 
 
 EDGE = [
@@ -112,3 +118,19 @@ def test_text_helpers(spark):
     assert out[4].r == "so it works"
     assert df.select(T.tokenize(F.lit(" A\tb  c "))).first()[0] == ["a", "b", "c"]
     assert df.select(T.word_list(F.lit("a  b"))).first()[0] == ["a", "", "b"]
+
+
+def test_wer_documents_against_numpy_dp(spark):
+    """Whole documents (the longest have thousands of tokens) vs an
+    independent vectorised DP."""
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+    from vocalis.plans import fixtures as X
+    got = {r.pair_id: (r.errors, r.wer) for r in E.queries()["wer_documents"](spark, SF_SMALL).collect()}
+    pairs = X.document_pairs(spark, SF_SMALL).collect()
+    assert len(got) == len(pairs) > 0
+    for p in pairs:
+        r, h = p.correct_transcription.split(), p.model_output.split()
+        a, b = AL._codes(r, h)
+        d = AL.distance(a, b)
+        assert got[p.pair_id] == (d, 0.0 if not r else sql_round(d / len(r), 4)), p.pair_id

@@ -337,3 +337,15 @@ def rule_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RULE_TEXTS_SQL = "SELECT " + ", ".join(_RTEXT_COLS) + " FROM events"
+
+
+# ---------------------------------------------------------------- long-document pairs
+def document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents (up to ~20,000 words) as reference; the hypothesis
+    replaces every 7th token with ``uh`` and drops every 13th."""
+    docs = table(spark, sf_dir, "documents")
+    toks = docs.select("doc_id", F.filter(F.split(F.lower("text"), WS_RUN), lambda x: x != "").alias("r"))
+    hyp = F.filter(F.transform("r", lambda x, i: F.when((i + 1) % 7 == 0, F.lit("uh"))
+                               .when((i + 1) % 13 == 0, F.lit("")).otherwise(x)), lambda x: x != "")
+    return toks.select(F.col("doc_id").alias("pair_id"), F.array_join(hyp, " ").alias("model_output"),
+                       F.array_join("r", " ").alias("correct_transcription"))

@@ -62,6 +62,13 @@ def q_pair_wer_report(spark, sf_dir):
     return wer_by_user(pair_wer(X.pairs(spark, sf_dir)))
 
 
+@register("wer_documents")
+def q_wer_documents(spark, sf_dir):
+    """F1 on whole documents (up to ~20,000 words).  No SQL twin: a SQL DP
+    over such texts is too slow; tests compare with a numpy DP."""
+    return pair_wer(X.document_pairs(spark, sf_dir)).select("pair_id", "ref_words", "errors", "wer")
+
+
 # ------------------------------------------------------------------ F2
 def duck_char_codes(expr: str, alphabet: str) -> str:
     """Re-encode a string with one byte per distinct character of the pair

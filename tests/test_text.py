@@ -134,3 +134,15 @@ def test_wer_documents_against_numpy_dp(spark):
         a, b = AL._codes(r, h)
         d = AL.distance(a, b)
         assert got[p.pair_id] == (d, 0.0 if not r else sql_round(d / len(r), 4)), p.pair_id
+
+
+def test_pair_wer_fallback_path_is_exact(spark, monkeypatch):
+    """Pairs beyond the code space (shrunk here to 3 tokens) get their
+    distance from the numpy DP, identical to brute force."""
+    monkeypatch.setattr(T, "MAX_DISTINCT_TOKENS", 3)
+    data = [("a b c d e", "a x c d"), ("a b", "a b"), ("", "q r s t")]
+    df = spark.createDataFrame(data, "correct_transcription string, model_output string")
+    got = [(r.errors, r.wer) for r in pair_wer(df).collect()]
+    assert got == [(brute_distance(r.split(), h.split()), brute_wer(r, h)) for r, h in data]
+    nulls = [r.errors for r in pair_wer(df, exact_fallback=False).collect()]
+    assert nulls[0] is None and nulls[1] == 0

@@ -67,6 +67,13 @@ def token_edit_distance(ref_tokens: Column, hyp_tokens: Column) -> Column:
     return let(F.struct(ref_tokens.alias("r"), hyp_tokens.alias("h")), body)
 
 
+def token_edit_distance_vocab(ref_tokens: Column, hyp_tokens: Column, vocab: Column) -> Column:
+    """``token_edit_distance`` with the pair's distinct tokens given (a
+    column computed once, shared with other uses)."""
+    return F.when(F.size(vocab) <= MAX_DISTINCT_TOKENS,
+                  F.levenshtein(_encode(ref_tokens, vocab), _encode(hyp_tokens, vocab)))
+
+
 def wer_from_tokens(ref_tokens: Column, hyp_tokens: Column, distance: Column | None = None) -> Column:
     d = token_edit_distance(ref_tokens, hyp_tokens) if distance is None else distance
     n = F.size(ref_tokens)

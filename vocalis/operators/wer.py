@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vocalis.functions.text import MAX_DISTINCT_TOKENS, cer, token_edit_distance, tokenize
+from vocalis.functions.text import cer, token_edit_distance, tokenize
 from vocalis.operators.relational import spread
 
 
@@ -19,22 +19,26 @@ def pair_wer(pairs: DataFrame, ref: str = "correct_transcription", hyp: str = "m
              exact_fallback: bool = True) -> DataFrame:
     """Adds ``ref_words``, ``errors`` (token edit distance) and ``wer``.
 
-    A pair with more distinct tokens than the code space goes through the
-    numpy DP (every other row sends NULLs through that Arrow hop, about 3 %
+    A pair with more distinct tokens than the code space (distance NULL in
+    the expression) goes through the numpy DP (every other row sends NULLs through that Arrow hop, about 3 %
     extra time); ``exact_fallback=False`` leaves such pairs NULL instead.
     """
-    df = spread(pairs).withColumn("_r", tokenize(ref)).withColumn("_h", tokenize(hyp))
-    dist = token_edit_distance(F.col("_r"), F.col("_h"))
+    # the pair's distinct tokens are bound once per row inside the
+    # expression (a lambda variable keeps them as an object array; reading
+    # them back from a row column would allocate on every element access)
+    df = spread(pairs).withColumn("_r", tokenize(ref)).withColumn("_h", tokenize(hyp)) \
+        .withColumn("_d", token_edit_distance(F.col("_r"), F.col("_h")))
+    dist = F.col("_d")
     if exact_fallback:
         from vocalis.operators.alignment import python_token_distance
-        big = F.size(F.array_distinct(F.concat("_r", "_h"))) > MAX_DISTINCT_TOKENS
+        big = F.col("_d").isNull()
         slow = python_token_distance()(F.when(big, F.col("_r")), F.when(big, F.col("_h")))
         dist = F.coalesce(dist, slow)
     n = F.size("_r")
     return (df.withColumn("errors", dist)
               .withColumn("ref_words", n)
               .withColumn("wer", F.when(n == 0, F.lit(0.0)).otherwise(F.round(F.col("errors") / n, 4)))
-              .drop("_r", "_h"))
+              .drop("_r", "_h", "_d"))
 
 
 def wer_by_user(scored: DataFrame, key: str = "username") -> DataFrame:

@@ -97,3 +97,28 @@ def test_synth_results_means(spark):
     assert res.select("speaker").distinct().count() == 15
     assert sorted(r[0] for r in synth_results(spark, 1000, variant="root").select("augmentation").distinct()
                   .collect()) == sorted(["none", "pitch_shift", "time_stretch", "time_shift"])
+
+
+def test_apply_rules_token_map_equals_sequential(spark):
+    """Single-token rules take the composed-map path; it must equal applying
+    the rules one after another (chains and case-insensitivity included)."""
+    import random
+    import re
+    rng = random.Random(11)
+    vocab = ["a", "b", "c", "d", "e", "F", "g"]
+    rules = []
+    for i in range(12):
+        rules.append(("u", rng.choice(vocab), rng.choice(vocab).upper() if i % 3 == 0 else rng.choice(vocab),
+                      round(rng.random(), 2), i))
+    texts = [("u", " ".join(rng.choice(vocab + ["A", "x"]) for _ in range(rng.randint(0, 12))) + rng.choice(["", "\t"]))
+             for _ in range(40)]
+    rdf = spark.createDataFrame(rules, "username string, stt_output string, intended string, confidence double, "
+                                       "first_seq long")
+    tdf = spark.createDataFrame(texts, "username string, model_output string")
+    got = [r.corrected for r in K.apply_rules(tdf, rdf).collect()]
+
+    def sequential(text):
+        for _, stt, rep, _, _ in sorted(rules, key=lambda r: (-r[3], r[4])):
+            text = re.sub(r"(?i)(?<!\S)" + re.escape(stt) + r"(?!\S)", lambda m: rep, text)
+        return text
+    assert got == [sequential(t) for _, t in texts]

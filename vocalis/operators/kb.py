@@ -420,8 +420,10 @@ def substitutions(pairs: DataFrame, key: str = "username", ref: str = "correct_t
     """
     from vocalis.operators.alignment import align_tokens
     t = pairs.select(key, tokenize(ref).alias("_r"), tokenize(hyp).alias("_h"))
-    pos = t.filter(F.size("_r") == F.size("_h")) \
-        .select(key, F.explode(F.arrays_zip(F.col("_h").alias("h"), F.col("_r").alias("r"))).alias("z")) \
+    # no filter here: pushed below the projection it would re-tokenize; the
+    # zip is simply empty for pairs of unequal length
+    zipped = F.when(F.size("_r") == F.size("_h"), F.arrays_zip(F.col("_h").alias("h"), F.col("_r").alias("r")))
+    pos = t.select(key, F.explode(zipped).alias("z")) \
         .select(key, F.col("z.h").alias("hyp_tok"), F.col("z.r").alias("ref_tok")) \
         .filter(F.col("hyp_tok") != F.col("ref_tok"))
     al = align_tokens(t.filter(F.size("_r") != F.size("_h")), [key]) \

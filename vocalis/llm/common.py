@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,3 +42,23 @@ def let(value: Column, fn: Callable[[Column], Column]) -> Column:
 
 def text_or_empty(col: str | Column = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
+
+
+def with_columns_from_text(df: DataFrame, make: Callable[[], Callable[[list[str | None]], list[pa.Array]]],
+                           added: str) -> DataFrame:
+    """``df`` without its column ``_text``, with columns computed from it in Arrow batches.
+
+    ``make`` runs once per task and gives the function from a batch's texts to the arrays of ``added`` (a DDL
+    schema).  The other columns pass through as they are.
+    """
+    names = [c for c in df.columns if c != "_text"]
+    fields = ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names)
+    new = [f.split()[0] for f in added.split(",")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn = make()
+        for batch in batches:
+            arrays = fn(batch.column("_text").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + arrays, names=names + new)
+
+    return df.mapInArrow(run, f"{fields}, {added}" if fields else added)

@@ -8,7 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vocalis.llm import decontaminate, host_reputation, merkle, preference, secret_index
+from vocalis.llm import (
+    decontaminate,
+    host_reputation,
+    language_id,
+    merkle,
+    ngram_join,
+    packing,
+    page_diff,
+    preference,
+    secret_index,
+    toxicity,
+)
 from vocalis.llm.common import ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +43,34 @@ def _lower(col: str) -> str:
     return f"translate({col}, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
 
 
+def fold(doc_id: str = "doc_id"):
+    """crc32 of the id as text modulo 5; 0 is the held-out fold."""
+    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5))
+
+
+# ------------------------------------------------------------------ op1
+@register("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), fold() != 0)
+    return toxicity.score(docs, model, "doc_id").select(
+        "doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+# ------------------------------------------------------------------ op2
+@register("op2_ngram_join")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+# ------------------------------------------------------------------ op3
+@register("op3_page_diff")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_diff.extract(table(spark, sf_dir, "pages")) \
+        .withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 # ------------------------------------------------------------------ op4
 _RULE_SQL = " UNION ALL ".join(f"SELECT '{k}' AS kind, '{h}' AS rhost, '{p}' AS rpath" for k, h, p in host_reputation.RULES)
 _OP4_SQL = f"""
@@ -158,6 +197,15 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "paired", "n_common", "prompt", "chosen", "rejected", mask("chosen_mask"), mask("rejected_mask"))
 
 
+# ------------------------------------------------------------------ op7
+@register("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    dictionaries = language_id.train(docs.where(fold() != 0).select("lang", "text"))
+    return language_id.identify(docs, dictionaries, "doc_id").select(
+        "doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 # ------------------------------------------------------------------ op8
 def _print_sql(col: str) -> str:
     leaf = (f"array_to_string(list_transform(regexp_extract_all(l, '(?s).{{1,{merkle.PIECE}}}'), "
@@ -244,6 +292,19 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     base = F.filter("spans", lambda s: s["ord"] < len(secret_index.BASE_RULES))
     return found.select(
-        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        "row.doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
         F.sha2(secret_index.span_text(base), 256).alias("base_sha256"),
         secret_index.span_text(F.col("spans")).alias("spans"))
+
+
+# ------------------------------------------------------------------ op10
+def tokenizer_path() -> str:
+    """The public byte-level vocabulary; read on the driver."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register("op10_packing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())

@@ -198,13 +198,15 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
 
 
 def find_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """All columns of ``docs`` with ``spans``: (start, ord, kind, end), sorted by start and rule order."""
-    found = candidates(build_index(docs, rules), rules).withColumnRenamed("doc_id", "_doc")
-    joined = docs.join(found, docs["doc_id"].eqNullSafe(found["_doc"]), "left")
-    per_rule = [
-        F.when(F.array_contains("kinds", r.kind), _spans(text_or_empty(), r, k)).otherwise(F.array().cast(_SPAN))
-        if trigram_query(r.pattern) else _spans(text_or_empty(), r, k) for k, r in enumerate(rules)]
-    return joined.select(*[docs[c] for c in docs.columns], F.sort_array(F.concat(*per_rule)).alias("spans"))
+    """row (all columns of ``docs``) and spans: (start, ord, kind, end), sorted by start and rule order."""
+    found = candidates(build_index(docs, rules), rules)
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    joined = rows.join(found, rows["row.doc_id"].eqNullSafe(found["doc_id"]), "left")
+    text = text_or_empty("row.text")
+    none = F.array().cast(_SPAN)
+    per_rule = [F.when(F.array_contains("kinds", r.kind), _spans(text, r, k)).otherwise(none)
+                if trigram_query(r.pattern) else _spans(text, r, k) for k, r in enumerate(rules)]
+    return joined.select("row", F.sort_array(F.concat(*per_rule)).alias("spans"))
 
 
 def span_text(spans: Column) -> Column:
@@ -229,8 +231,11 @@ def redact(text: Column, spans: Column, mask: str = MASK) -> Column:
 
 def redact_documents(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """``docs`` with secrets masked in ``text``; ``n_chars`` follows the new text where the column is there."""
-    out = find_secrets(docs, rules).withColumn("text", F.when(F.col("text").isNotNull(), redact(F.col("text"), F.col("spans"))))
+    text = F.col("row.text")
+    out = find_secrets(docs, rules).select(
+        "row", F.size("spans").alias("found"), F.when(text.isNotNull(), redact(text, F.col("spans"))).alias("clean"))
+    new = {"text": F.col("clean")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("spans") == 0, F.col("n_chars")).otherwise(
-            F.char_length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.when(F.col("found") == 0, F.col("row.n_chars")).otherwise(
+            F.char_length("clean").cast(docs.schema["n_chars"].dataType))
+    return out.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])

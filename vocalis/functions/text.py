@@ -17,10 +17,11 @@ PY_WHITESPACE = (
 )
 WS_RUN = PY_WHITESPACE + "+"
 
-# Token codes are BMP characters from U+0100 up to U+D7FF (below the
-# surrogate block), so one pair may hold this many distinct tokens.
+# Token codes are characters from U+0100 on without the surrogate block, so
+# one pair may hold this many distinct tokens; more is an error.
 _CODE_BASE = 0x100
-MAX_DISTINCT_TOKENS = 0xD800 - _CODE_BASE
+_SURROGATES, _N_SURROGATES = 0xD800, 0x800
+MAX_DISTINCT_TOKENS = 0x110000 - _N_SURROGATES - _CODE_BASE
 
 
 def _c(c: Column | str) -> Column:
@@ -45,35 +46,28 @@ def let(value: Column, body) -> Column:
 
 
 def _encode(tokens: Column, vocab: Column) -> Column:
-    """Map every token to one BMP character (its index in ``vocab``)."""
-    hexes = F.transform(
-        tokens,
-        lambda x: F.lpad(F.hex(F.array_position(vocab, x) + F.lit(_CODE_BASE - 1)), 4, "0"),
-    )
-    return F.decode(F.unhex(F.array_join(hexes, "")), "UTF-16BE")
+    """Map every token to one character (its index in ``vocab``)."""
+    def code(x: Column) -> Column:
+        return let(F.array_position(vocab, x) + F.lit(_CODE_BASE - 1), lambda c: F.lpad(F.hex(
+            F.when(c >= _SURROGATES, c + _N_SURROGATES).otherwise(c)), 8, "0"))
+    return F.decode(F.unhex(F.array_join(F.transform(tokens, code), "")), "UTF-32")
 
 
 def token_edit_distance(ref_tokens: Column, hyp_tokens: Column) -> Column:
     """Levenshtein distance over token arrays, computed by the built-in
     character ``levenshtein`` after encoding each distinct token of the
-    pair as one character.  NULL when a pair holds more distinct tokens
-    than there are code characters (see ``vocalis.operators.wer``).
+    pair as one character.  A pair with more distinct tokens than there are
+    characters (over a million) raises an error.
     """
     def body(p):
         vocab = F.array_distinct(F.concat(p["r"], p["h"]))
         return let(vocab, lambda v: F.when(
             F.size(v) <= MAX_DISTINCT_TOKENS,
-            F.levenshtein(_encode(p["r"], v), _encode(p["h"], v))))
+            F.levenshtein(_encode(p["r"], v), _encode(p["h"], v)))
+            .otherwise(F.raise_error(F.lit("too many distinct tokens in one pair")).cast("int")))
     return let(F.struct(ref_tokens.alias("r"), hyp_tokens.alias("h")), body)
 
 
-def token_edit_distance_vocab(ref_tokens: Column, hyp_tokens: Column, vocab: Column) -> Column:
-    """``token_edit_distance`` with the pair's distinct tokens given (a
-    column computed once, shared with other uses)."""
-    return F.when(F.size(vocab) <= MAX_DISTINCT_TOKENS,
-                  F.levenshtein(_encode(ref_tokens, vocab), _encode(hyp_tokens, vocab)))
-
-
 def wer_from_tokens(ref_tokens: Column, hyp_tokens: Column, distance: Column | None = None) -> Column:
     d = token_edit_distance(ref_tokens, hyp_tokens) if distance is None else distance
     n = F.size(ref_tokens)
@@ -107,9 +101,9 @@ def is_blank(c: Column | str) -> Column:
 
 
 def strip_fences(c: Column | str) -> Column:
-    """if the text starts with a code fence, drop the first line and a
-    trailing fence, then trim."""
-    x = _c(c)
+    """trim; if the text starts with a code fence, drop the first line and
+    a trailing fence and trim again."""
+    x = strip_ws(c)
     body = F.regexp_replace(x, r"^[^\n]*(\n|$)", "")
     body = F.regexp_replace(body, r"```" + PY_WHITESPACE + r"*$", "")
     return F.when(x.startswith("```"), strip_ws(body)).otherwise(x)

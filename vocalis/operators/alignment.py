@@ -3,12 +3,15 @@
 The DP is vectorised per row of the matrix with numpy: with
 ``d[j] = min(prev[j] + 1, prev[j-1] + cost[j])`` the insertion chain is a
 prefix minimum, ``row[j] = j + min_{k<=j}(d[k] - k)``, so a row costs one
-``np.minimum.accumulate``.  Long pairs use Hirschberg's split so memory
-stays linear in the shorter side.
+``np.minimum.accumulate``.  Every k-th row is kept (k about the square root
+of the row count) and the rows between are computed again block by block on
+the way back, so memory stays far below the matrix and the path is the same
+at every size: match or substitution first, then deletion, then insertion.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,8 +21,6 @@ from pyspark.sql import functions as F
 
 from vocalis.functions.text import tokenize
 
-FULL_MATRIX_CELLS = 4_000_000
-
 
 def _codes(r: list[str], h: list[str]) -> tuple[np.ndarray, np.ndarray]:
     vocab: dict[str, int] = {}
@@ -50,45 +51,33 @@ def distance(a: np.ndarray, b: np.ndarray) -> int:
     return int(last_row(a, b)[-1])
 
 
-def _full_align(a: np.ndarray, b: np.ndarray, ia: int, ib: int, out: list):
+def align(a: np.ndarray, b: np.ndarray) -> list:
+    """Optimal alignment as (op, ref_pos, hyp_pos) triples."""
     n, m = len(a), len(b)
     ramp = np.arange(m + 1, dtype=np.int64)
-    mat = np.empty((n + 1, m + 1), dtype=np.int64)
-    mat[0] = ramp
+    step = max(1, math.isqrt(n))
+    row, kept = ramp, [ramp]
     for i in range(1, n + 1):
-        mat[i] = _next_row(mat[i - 1], i, a[i - 1], b, ramp)
-    i, j, ops = n, m, []
+        row = _next_row(row, i, a[i - 1], b, ramp)
+        if i % step == 0:
+            kept.append(row)
+    i, j, ops, base, rows = n, m, [], -1, []
     while i > 0 or j > 0:
-        if i > 0 and j > 0 and mat[i, j] == mat[i - 1, j - 1] + (a[i - 1] != b[j - 1]):
-            ops.append(("hit" if a[i - 1] == b[j - 1] else "sub", ia + i - 1, ib + j - 1))
+        if i and (i - 1) // step * step != base:
+            base = (i - 1) // step * step
+            rows = [kept[base // step]]
+            for r in range(base + 1, i + 1):
+                rows.append(_next_row(rows[-1], r, a[r - 1], b, ramp))
+        if i and j and rows[i - base][j] == rows[i - base - 1][j - 1] + (a[i - 1] != b[j - 1]):
+            ops.append(("hit" if a[i - 1] == b[j - 1] else "sub", i - 1, j - 1))
             i, j = i - 1, j - 1
-        elif i > 0 and mat[i, j] == mat[i - 1, j] + 1:
-            ops.append(("del", ia + i - 1, None))
+        elif i and rows[i - base][j] == rows[i - base - 1][j] + 1:
+            ops.append(("del", i - 1, None))
             i -= 1
         else:
-            ops.append(("ins", None, ib + j - 1))
+            ops.append(("ins", None, j - 1))
             j -= 1
-    out.extend(reversed(ops))
-
-
-def align(a: np.ndarray, b: np.ndarray, ia: int = 0, ib: int = 0, out: list | None = None) -> list:
-    """Optimal alignment as (op, ref_pos, hyp_pos) triples."""
-    out = [] if out is None else out
-    n, m = len(a), len(b)
-    if n == 0:
-        out.extend(("ins", None, ib + j) for j in range(m))
-    elif m == 0:
-        out.extend(("del", ia + i, None) for i in range(n))
-    elif (n + 1) * (m + 1) <= FULL_MATRIX_CELLS or n == 1:
-        _full_align(a, b, ia, ib, out)
-    else:
-        mid = n // 2
-        fwd = last_row(a[:mid], b)
-        bwd = last_row(a[mid:][::-1], b[::-1])[::-1]
-        j = int(np.argmin(fwd + bwd))
-        align(a[:mid], b[:j], ia, ib, out)
-        align(a[mid:], b[j:], ia + mid, ib + j, out)
-    return out
+    return ops[::-1]
 
 
 def _ops_rows(r, h):
@@ -113,33 +102,16 @@ def _make_batches(carry: list[str]):
     return run
 
 
-def align_tokens(df: DataFrame, carry: list[str]) -> DataFrame:
+def align_tokens(df: DataFrame, carry: list[str], partitions: int | None = None) -> DataFrame:
     """Alignment steps for a frame holding ``carry`` columns plus token
     arrays ``_r`` (reference) and ``_h`` (hypothesis)."""
     fields = [df.schema[c].simpleString() for c in carry]
     schema = ", ".join(fields + ["op string", "ref_pos int", "hyp_pos int", "ref_tok string", "hyp_tok string"])
     from vocalis.operators.relational import spread
-    return spread(df.select(*carry, "_r", "_h")).mapInPandas(_make_batches(carry), schema)
+    return spread(df.select(*carry, "_r", "_h"), partitions).mapInPandas(_make_batches(carry), schema)
 
 
-def edit_ops(df: DataFrame, key: str, ref: str, hyp: str) -> DataFrame:
+def edit_ops(df: DataFrame, key: str, ref: str, hyp: str, partitions: int | None = None) -> DataFrame:
     """one row per alignment step (hit / sub / del / ins) of every pair."""
     toks = df.select(F.col(key).cast("long").alias("pair_id"), tokenize(ref).alias("_r"), tokenize(hyp).alias("_h"))
-    return align_tokens(toks, ["pair_id"])
-
-
-def _distance_series(r: pd.Series, h: pd.Series) -> pd.Series:
-    out = []
-    for x, y in zip(r, h):
-        if x is None or y is None:
-            out.append(None)
-        else:
-            a, b = _codes(list(x), list(y))
-            out.append(distance(a, b))
-    return pd.Series(out, dtype="Int64")
-
-
-def python_token_distance():
-    """Exact token distance as a pandas UDF (used only for pairs beyond the
-    built-in expression's code space)."""
-    return F.pandas_udf(_distance_series, "long")
+    return align_tokens(toks, ["pair_id"], partitions)

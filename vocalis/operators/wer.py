@@ -1,9 +1,7 @@
 """Per-utterance WER over text pairs and reports on top of it.
 
 ``pair_wer`` stays in the JVM: tokens, the per-pair code mapping and the
-Levenshtein DP are built-in expressions.  Only a pair with more distinct
-tokens than the code space (55,040) needs the Python DP; its inputs are
-passed as NULL for every other row so the Arrow hop carries almost nothing.
+Levenshtein DP are built-in expressions.
 """
 
 from __future__ import annotations
@@ -16,29 +14,20 @@ from vocalis.operators.relational import spread
 
 
 def pair_wer(pairs: DataFrame, ref: str = "correct_transcription", hyp: str = "model_output",
-             exact_fallback: bool = True) -> DataFrame:
+             partitions: int | None = None) -> DataFrame:
     """Adds ``ref_words``, ``errors`` (token edit distance) and ``wer``.
 
-    A pair with more distinct tokens than the code space (distance NULL in
-    the expression) goes through the numpy DP (every other row sends NULLs through that Arrow hop, about 3 %
-    extra time); ``exact_fallback=False`` leaves such pairs NULL instead.
+    ``partitions`` spreads a table of few splits over that many tasks.
     """
     # the pair's distinct tokens are bound once per row inside the
     # expression (a lambda variable keeps them as an object array; reading
     # them back from a row column would allocate on every element access)
-    df = spread(pairs).withColumn("_r", tokenize(ref)).withColumn("_h", tokenize(hyp)) \
-        .withColumn("_d", token_edit_distance(F.col("_r"), F.col("_h")))
-    dist = F.col("_d")
-    if exact_fallback:
-        from vocalis.operators.alignment import python_token_distance
-        big = F.col("_d").isNull()
-        slow = python_token_distance()(F.when(big, F.col("_r")), F.when(big, F.col("_h")))
-        dist = F.coalesce(dist, slow)
+    df = spread(pairs, partitions).withColumn("_r", tokenize(ref)).withColumn("_h", tokenize(hyp)) \
+        .withColumn("errors", token_edit_distance(F.col("_r"), F.col("_h")))
     n = F.size("_r")
-    return (df.withColumn("errors", dist)
-              .withColumn("ref_words", n)
+    return (df.withColumn("ref_words", n)
               .withColumn("wer", F.when(n == 0, F.lit(0.0)).otherwise(F.round(F.col("errors") / n, 4)))
-              .drop("_r", "_h", "_d"))
+              .drop("_r", "_h"))
 
 
 def wer_by_user(scored: DataFrame, key: str = "username") -> DataFrame:
@@ -53,7 +42,7 @@ def wer_by_user(scored: DataFrame, key: str = "username") -> DataFrame:
     )
 
 
-def pair_cer(pairs: DataFrame, ref: str = "correct_transcription", hyp: str = "model_output") -> DataFrame:
-    """Adds ``cer`` (F2) per pair; the character DP is the costly part, so
-    small inputs are spread over all cores first."""
-    return spread(pairs).withColumn("cer", cer(ref, hyp))
+def pair_cer(pairs: DataFrame, ref: str = "correct_transcription", hyp: str = "model_output",
+             partitions: int | None = None) -> DataFrame:
+    """Adds ``cer`` (F2) per pair."""
+    return spread(pairs, partitions).withColumn("cer", cer(ref, hyp))

@@ -9,6 +9,7 @@ from vocalis.functions import text as T
 from vocalis.operators import wer_reports as R
 from vocalis.operators.alignment import edit_ops
 from vocalis.operators.wer import pair_wer, wer_by_user
+from vocalis.plans import clips as C
 from vocalis.plans import fixtures as X
 from vocalis.plans.catalog import register, with_cte
 
@@ -49,7 +50,7 @@ _PAIR_TOKENS = (f"SELECT username, pair_id, {duck_tokens('correct_transcription'
 @register("wer", with_cte(f"SELECT pair_id, username, {duck_wer('r', 'h')} AS wer FROM toks",
                           pairs=X.PAIRS_SQL, toks=_PAIR_TOKENS))
 def q_wer(spark, sf_dir):
-    return pair_wer(X.pairs(spark, sf_dir)).select("pair_id", "username", "wer")
+    return pair_wer(X.pairs(spark, sf_dir), partitions=C.partitions(spark)).select("pair_id", "username", "wer")
 
 
 @register("pair_wer_report", with_cte(
@@ -59,14 +60,14 @@ def q_wer(spark, sf_dir):
     "GROUP BY username", pairs=X.PAIRS_SQL, toks=_PAIR_TOKENS))
 def q_pair_wer_report(spark, sf_dir):
     """Bridge the reference lacks: text pairs -> per-utterance WER -> report."""
-    return wer_by_user(pair_wer(X.pairs(spark, sf_dir)))
+    return wer_by_user(pair_wer(X.pairs(spark, sf_dir), partitions=C.partitions(spark)))
 
 
 @register("wer_documents")
 def q_wer_documents(spark, sf_dir):
     """F1 on whole documents (up to ~20,000 words).  No SQL twin: a SQL DP
     over such texts is too slow; tests compare with a numpy DP."""
-    return pair_wer(X.document_pairs(spark, sf_dir)).select("pair_id", "ref_words", "errors", "wer")
+    return pair_wer(X.document_pairs(spark, sf_dir), partitions=C.partitions(spark)).select("pair_id", "ref_words", "errors", "wer")
 
 
 # ------------------------------------------------------------------ F2
@@ -84,13 +85,20 @@ def duck_char_codes(expr: str, alphabet: str) -> str:
     pairs=X.PAIRS_SQL))
 def q_cer(spark, sf_dir):
     from vocalis.operators.wer import pair_cer
-    return pair_cer(X.pairs(spark, sf_dir)).select("pair_id", "cer")
+    return pair_cer(X.pairs(spark, sf_dir), partitions=C.partitions(spark)).select("pair_id", "cer")
 
 
 # ------------------------------------------------------------------ F3 (property-tested)
-@register("edit_ops")
+@register("edit_ops", with_cte(
+    f"SELECT pair_id, {duck_token_distance('r', 'h')}::BIGINT AS errors, len(r)::BIGINT AS n_ref, len(h)::BIGINT AS n_hyp "
+    "FROM toks WHERE len(r) + len(h) > 0", pairs=X.PAIRS_SQL, toks=_PAIR_TOKENS))
 def q_edit_ops(spark, sf_dir):
-    return edit_ops(X.pairs(spark, sf_dir), "pair_id", "correct_transcription", "model_output")
+    """Which optimal path is taken is a free choice; its counts are not: S + D + I is the distance, S + D + H the
+    reference length, S + I + H the hypothesis length."""
+    ops = edit_ops(X.pairs(spark, sf_dir), "pair_id", "correct_transcription", "model_output", C.partitions(spark))
+    return ops.groupBy("pair_id").agg(
+        F.count_if(F.col("op") != "hit").alias("errors"), F.count_if(F.col("op") != "ins").alias("n_ref"),
+        F.count_if(F.col("op") != "del").alias("n_hyp"))
 
 
 # ------------------------------------------------------------------ F5 / F6
@@ -107,13 +115,13 @@ def q_word_list(spark, sf_dir):
 # ------------------------------------------------------------------ F7
 _FENCED = ("CASE event_id % 4 WHEN 0 THEN concat('```json', chr(10), props, chr(10), '```') "
            "WHEN 1 THEN concat('```', chr(10), props, chr(10), '```  ', chr(10)) "
-           "WHEN 2 THEN props ELSE concat('```', props) END")
+           "WHEN 2 THEN concat('  ', props) ELSE concat(chr(10), ' ```', props) END")
 
 
 @register("strip_fences", with_cte(
     "SELECT event_id, CASE WHEN starts_with(t, '```') THEN "
     + duck_strip(f"regexp_replace(regexp_replace(t, '^[^\\n]*(\\n|$)', ''), '```{T.PY_WHITESPACE}*$', '')")
-    + " ELSE t END AS text FROM f", f=f"SELECT event_id, {_FENCED} AS t FROM events"))
+    + " ELSE t END AS text FROM f", f=f"SELECT event_id, {duck_strip(_FENCED)} AS t FROM events"))
 def q_strip_fences(spark, sf_dir):
     ev = X.table(spark, sf_dir, "events").selectExpr("event_id", _FENCED.replace("chr(10)", "char(10)") + " AS t")
     return ev.select("event_id", T.strip_fences("t").alias("text"))

@@ -9,20 +9,18 @@ from vocalis.operators import ordering as O
 def test_bounded_sample_hot_key(spark):
     df = spark.range(0, 5000).select(F.when(F.col("id") < 4000, F.lit("hot")).otherwise(
         (F.col("id") % 7).cast("string")).alias("user"), F.col("id").alias("seq"))
-    s = O.bounded_sample(df, "user", 100, ["seq"], seed=1, salts=8)
+    s = O.bounded_sample(df, "user", 100, ["seq"], seed=1)
     counts = {r.user: r["count"] for r in s.groupBy("user").count().collect()}
     assert counts["hot"] == 100 and all(v <= 100 for v in counts.values())
     o = O.sample_order(["seq"], 1)
     ref = df.withColumn("_o", o).withColumn("rn", F.row_number().over(Window.partitionBy("user").orderBy("_o", "seq"))) \
         .filter("rn <= 100").select("user", "seq")
     assert sorted(s.collect()) == sorted(ref.collect())
-    again = O.bounded_sample(df, "user", 100, ["seq"], seed=1, salts=3)
-    assert sorted(again.collect()) == sorted(s.collect())
 
 
 def test_global_row_number(spark):
     df = spark.range(0, 3000).select((F.col("id") % 3).alias("k"), ((F.col("id") * 7919) % 10007).alias("o"))
-    got = O.global_row_number(df, "k", "o", bucket_width=64)
+    got = O.global_row_number(df, "k", "o", buckets=9)
     ref = df.withColumn("rn2", F.row_number().over(Window.partitionBy("k").orderBy("o")))
     j = got.join(ref, ["k", "o"])
     assert j.filter(F.col("rn") != F.col("rn2")).count() == 0 and j.count() == 3000
@@ -84,3 +82,29 @@ def test_rate_limit_hot_client_segments(spark):
         assert got == want
     segs = O.idle_segments(df.select("client_id", "request_id", F.col("t").alias("ts_us")), 60_000_000, 30_000_000)
     assert segs.filter("client_id = 0").select("_seg").distinct().count() > 10
+
+
+def test_global_row_number_on_timestamps(spark):
+    df = spark.range(0, 2000).select((F.col("id") % 2).alias("k"),
+                                     F.timestamp_seconds(F.col("id") * 7919 % 10007 * 86_400).alias("o"))
+    got = O.global_row_number(df, "k", "o", buckets=7)
+    ref = df.withColumn("rn2", F.row_number().over(Window.partitionBy("k").orderBy("o")))
+    assert got.join(ref, ["k", "o"]).filter("rn = rn2").count() == 2000
+
+
+def test_admit_matches_the_plain_rule():
+    import random
+
+    import numpy as np
+
+    from vocalis.operators.admission import admit
+    rng = random.Random(2)
+    for _ in range(300):
+        limit, window = rng.randint(1, 4), rng.randint(1, 30)
+        ts = sorted(rng.randrange(80) for _ in range(rng.randint(0, 40)))
+        want = brute_rate([(0, t, i) for i, t in enumerate(ts)], limit, window)
+        cut, recent, got = rng.randint(0, len(ts)), [], []
+        for part in (ts[:cut], ts[cut:]):
+            a, w = admit(np.array(part, dtype=np.int64), limit, window, recent)
+            got += list(zip(a.tolist(), w.tolist()))
+        assert got == [want[i] for i in range(len(ts))]

@@ -2,8 +2,8 @@
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
-from vocalis.operators import audio as A
 from vocalis.operators import ordering as O
+from vocalis.plans import clips as C
 from vocalis.plans import fixtures as X
 from vocalis.streaming import features as SF
 
@@ -17,7 +17,7 @@ def test_stream_features_equal_batch(spark):
 
 
 def test_stream_features_batch_frame(spark):
-    clips = A.synth_clips(X.signals(spark, SF_SMALL))
+    clips = C.synth_clips(X.signals(spark, SF_SMALL))
     msgs = clips.selectExpr("cast('{\"speaker\":\"s\",\"gender\":\"F\",\"filename\":\"x.wav\"}' as binary) AS key",
                             "content AS value", "current_timestamp() AS timestamp")
     rows = SF.stream_features(msgs).collect()
@@ -64,7 +64,7 @@ def test_reassembly_event_time_timeout(spark, tmp_path):
     spark.createDataFrame(first, schema).coalesce(1).write.mode("append").parquet(inbox)
     spark.createDataFrame(later, schema).coalesce(1).write.mode("append").parquet(inbox)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(inbox)
-    runs = ST.stream_reassembly(stream, event_time="et", timeout="30 minutes")
+    runs = ST.stream_reassembly(stream, "et", timeout="30 minutes")
     out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
     SS.drain(SS.start_sink(runs, out, ck, available_now=True), timeout_s=180)
     rows = sorted((r.file_id, r.from_index, r.text, r.done) for r in spark.read.parquet(out).collect())
@@ -72,3 +72,50 @@ def test_reassembly_event_time_timeout(spark, tmp_path):
     assert (3, 0, "z", True) in rows
     assert (1, 0, "a", False) in rows
     assert (1, 1, "c", False) in rows, rows  # flushed by the event-time timeout
+
+
+def _drain_files(spark, tmp_path, batches, schema, build):
+    from vocalis.streaming import sources as SS
+    inbox, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(inbox)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    q = SS.drain(SS.start_sink(build(stream), out, ck, available_now=True), timeout_s=240)
+    return spark.read.parquet(out).collect(), q
+
+
+def test_reassembly_ignores_retransmitted_and_late_chunks(spark, tmp_path):
+    import datetime as dt
+
+    from vocalis.streaming import stateful as ST
+    t0 = dt.datetime(2024, 1, 1)
+    at = [t0 + dt.timedelta(hours=h) for h in range(9)]
+    schema = "file_id long, chunk_index long, text string, total long, et timestamp"
+    batches = [[(1, 0, "a", 2, at[0]), (1, 1, "b", 2, at[0]), (2, 0, "x", 3, at[0])], [(1, 0, "a", 2, at[0])],
+               [(9, 0, "z", 1, at[2])], [(8, 0, "y", 1, at[4])], [(7, 0, "w", 1, at[6])], [(1, 0, "a", 2, at[0]), (2, 1, "q", 3, at[0])]]
+    rows, q = _drain_files(spark, tmp_path, batches, schema, lambda s: ST.stream_reassembly(s, "et", timeout="30 minutes"))
+    assert sorted((r.file_id, r.text) for r in rows) == [(1, "a b"), (2, "x"), (7, "w"), (8, "y"), (9, "z")]
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2
+
+
+def test_stream_rate_limit_drops_old_state(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from vocalis.streaming import stateful as ST
+    day = 86_400
+    batches = [[(c, 1_704_067_200 + day * b, 100 * b + c) for c in range(b * 10, b * 10 + 10)] for b in range(5)]
+    rows, q = _drain_files(spark, tmp_path, batches, "client_id long, s long, request_id long",
+                           lambda s: ST.stream_rate_limit(s.withColumn("ts", F.timestamp_seconds("s"))))
+    assert len(rows) == 50 and all(r.allowed for r in rows)
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 20
+
+
+def test_drain_raises_on_timeout(spark, tmp_path):
+    import pytest
+
+    from vocalis.streaming import sources as SS
+    stream = spark.readStream.format("rate").load()
+    q = SS.start_sink(stream, str(tmp_path / "out"), str(tmp_path / "ck"), trigger="1 second")
+    with pytest.raises(TimeoutError):
+        SS.drain(q, timeout_s=2)
+    assert not q.isActive

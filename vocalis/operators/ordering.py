@@ -2,8 +2,7 @@
 
 None of these sorts a whole key group inside one task when the work can be
 split: reassembly concatenates buckets of chunks in parallel first,
-sampling keeps a top-k per salted sub-group before the final top-k, and
-batch numbering adds per-bucket offsets to per-bucket row numbers.  The
+sampling keeps each task's top-k before the shuffle, and batch numbering adds per-bucket offsets to per-bucket row numbers.  The
 rate limiter is inherently sequential per client; it streams a sorted
 partition with state bounded by the limit, never materialising a group.
 """
@@ -18,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vocalis.functions.text import strip_ws
+from vocalis.operators.admission import admit
 from vocalis.operators.relational import epoch_micros
 
 
@@ -54,31 +54,38 @@ def sample_order(cols: Sequence[str], seed: int) -> Column:
 
 
 def bounded_sample(df: DataFrame, key: Sequence[str] | str, k: int, id_cols: Sequence[str],
-                   seed: int = 42, salts: int = 16) -> DataFrame:
+                   seed: int = 42) -> DataFrame:
     """At most ``k`` rows per key, uniform without replacement (all rows
     when the key has ``k`` or fewer), reproducible for a seed.
 
-    Two-stage top-k: first per (key, salt) sub-group, then per key over at
-    most ``k * salts`` candidates.  Exact, since the key's top-k is a subset
-    of the union of its sub-groups' top-k.
+    Spark keeps only each task's first ``k`` rows per key before the shuffle
+    (``WindowGroupLimit``), so a hot key moves ``k`` rows per map task.
     """
-    ks = _keys(key)
-    o = sample_order(id_cols, seed)
-    scored = df.withColumn("_o", o).withColumn("_salt", F.pmod(F.xxhash64("_o"), F.lit(salts)))
-    w1 = Window.partitionBy(*ks, "_salt").orderBy("_o", *id_cols)
-    cand = scored.withColumn("_rn", F.row_number().over(w1)).filter(F.col("_rn") <= k)
-    w2 = Window.partitionBy(*ks).orderBy("_o", *id_cols)
-    return cand.withColumn("_rn", F.row_number().over(w2)).filter(F.col("_rn") <= k).drop("_o", "_salt", "_rn")
+    w = Window.partitionBy(*_keys(key)).orderBy("_o", *id_cols)
+    return df.withColumn("_o", sample_order(id_cols, seed)).withColumn("_rn", F.row_number().over(w)) \
+        .filter(F.col("_rn") <= k).drop("_o", "_rn")
 
 
 # ------------------------------------------------------------------ W3
-def global_row_number(df: DataFrame, key: Sequence[str] | str, order: str, bucket_width: int = 1 << 16,
+def _order_bounds(df: DataFrame, order: str, buckets: int) -> list:
+    """Approximate quantiles that cut the order column into ``buckets`` parts (a few values, read on the driver)."""
+    shares = [i / buckets for i in range(1, buckets)]
+    found = df.agg(F.percentile_approx(order, shares, 10_000)).first()[0] if shares else None
+    return sorted(set(found or []))
+
+
+def global_row_number(df: DataFrame, key: Sequence[str] | str, order: str, buckets: int | None = None,
                       out: str = "rn") -> DataFrame:
-    """1-based row number per key ordered by a numeric column, without one
-    task sorting a whole key: rows are numbered inside (key, order bucket)
-    and shifted by the row counts of the earlier buckets of the key."""
+    """1-based row number per key by a number, date or time column, without
+    one task sorting a whole key: rows are numbered inside (key, order
+    bucket) and shifted by the row counts of the earlier buckets of the key.
+    The buckets are cut at quantiles of the column, so there are few of them
+    however sparse its values are (default: one per shuffle partition)."""
     ks = _keys(key)
-    b = df.withColumn("_b", F.floor(F.col(order) / bucket_width))
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = [F.lit(v).cast(df.schema[order].dataType) for v in _order_bounds(df, order, n)]
+    below = F.size(F.filter(F.array(*bounds), lambda v: v <= F.col(order))) if bounds else F.lit(0)
+    b = df.withColumn("_b", below)
     counts = b.groupBy(*ks, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     w_off = Window.partitionBy(*ks).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(w_off), F.lit(0))) \
@@ -92,10 +99,10 @@ def global_row_number(df: DataFrame, key: Sequence[str] | str, order: str, bucke
 
 
 def batch_number(df: DataFrame, key: Sequence[str] | str, order: str, size: int = 50,
-                 bucket_width: int = 1 << 16) -> DataFrame:
+                 buckets: int | None = None) -> DataFrame:
     """Consecutive batches of ``size`` per key: 1-based batch number,
     1-based position inside the batch, and the key's batch count."""
-    n = global_row_number(df, key, order, bucket_width)
+    n = global_row_number(df, key, order, buckets)
     return (n.withColumn("batch_no", F.floor((F.col("rn") - 1) / size) + 1)
              .withColumn("pair_no", (F.col("rn") - 1) % size + 1)
              .withColumn("n_batches", F.ceil(F.col("rn_total") / size))
@@ -108,24 +115,16 @@ RATE_SCHEMA = "client_id long, request_id long, ts_us long, allowed boolean, wai
 
 def _rate_fold(limit: int, window_us: int):
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, kept = None, []
+        group, recent = None, []
         for pdf in it:
-            cid = pdf["client_id"].to_numpy()
-            seg = pdf["_seg"].to_numpy()
-            ts = pdf["ts_us"].to_numpy()
+            cid, seg, ts = (pdf[c].to_numpy() for c in ("client_id", "_seg", "ts_us"))
             allowed = np.empty(len(pdf), dtype=bool)
             wait = np.zeros(len(pdf), dtype=np.int64)
-            for i in range(len(pdf)):
-                if (cid[i], seg[i]) != group:
-                    group, kept = (cid[i], seg[i]), []
-                now = int(ts[i])
-                kept = [t for t in kept if now - t < window_us]
-                if len(kept) >= limit:
-                    allowed[i] = False
-                    wait[i] = max(0, window_us - (now - kept[0]))
-                else:
-                    allowed[i] = True
-                    kept.append(now)
+            starts = np.flatnonzero(np.concatenate([[True], (cid[1:] != cid[:-1]) | (seg[1:] != seg[:-1])]))
+            for i, j in zip(starts.tolist(), [*starts[1:].tolist(), len(pdf)]):
+                if (cid[i], seg[i]) != group:  # else the group goes on from the batch before
+                    group, recent = (cid[i], seg[i]), []
+                allowed[i:j], wait[i:j] = admit(ts[i:j], limit, window_us, recent)
             yield pd.DataFrame({"client_id": cid, "request_id": pdf["request_id"].to_numpy(), "ts_us": ts,
                                 "allowed": allowed, "wait_us": wait})
     return run

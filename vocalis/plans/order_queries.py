@@ -40,8 +40,7 @@ def q_bounded_sample(spark, sf_dir):
     "cast(ceil(cnt / 50) AS BIGINT) AS n_batches FROM (SELECT username, seq, row_number() OVER (PARTITION BY username ORDER BY seq) AS rn, "
     "count(*) OVER (PARTITION BY username) AS cnt FROM rules_raw)", rules_raw=X.RULES_RAW_SQL))
 def q_batch_number(spark, sf_dir):
-    b = O.batch_number(X.rules_raw(spark, sf_dir).select("username", "seq"), "username", "seq", size=50,
-                       bucket_width=1024)
+    b = O.batch_number(X.rules_raw(spark, sf_dir).select("username", "seq"), "username", "seq", size=50)
     return b.select("username", "seq", F.col("batch_no").cast("bigint").alias("batch_no"),
                     F.col("pair_no").cast("bigint").alias("pair_no"), F.col("n_batches").cast("bigint").alias("n_batches"))
 

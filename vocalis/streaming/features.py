@@ -66,15 +66,10 @@ def _batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def stream_features(messages: DataFrame, partitions: int | None = None) -> DataFrame:
     """Messages -> (kafka_ts, speaker, gender, filename, mel_features,
     duration_s); empty or undecodable audio -> [] and -1.0.  Works on batch
-    and streaming frames alike."""
+    and streaming frames alike.
+
+    A micro-batch has as many tasks as the source has splits (Kafka:
+    ``minPartitions``).  ``partitions`` moves the audio to that many tasks.
+    """
     parsed = parse_audio_message(messages).drop("meta_json")
-    if messages.isStreaming and partitions != 0:
-        # a micro-batch has as many partitions as source splits (files or
-        # Kafka partitions); decoding is CPU-bound, so spread it over cores
-        try:
-            n = partitions or parsed.sparkSession.sparkContext.defaultParallelism
-        except Exception:  # noqa: BLE001 - no SparkContext (Connect): keep the source split
-            n = None
-        if n:
-            parsed = parsed.repartition(n)
-    return parsed.mapInPandas(_batches, STREAM_FEATURE_SCHEMA)
+    return (parsed.repartition(partitions) if partitions else parsed).mapInPandas(_batches, STREAM_FEATURE_SCHEMA)

@@ -62,6 +62,14 @@ def start_sink(df: DataFrame, out: str | None, checkpoint: str, trigger: str | N
     return w.start(out) if out and fmt not in ("console", "memory") else w.start()
 
 
+def start_numbered_sink(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Drain in rate-limited micro-batches, each written with its ``batch_id``; a repeated batch replaces itself."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
+
+    return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def preview(df: DataFrame, n: int = 20, truncate: bool = True) -> None:
     """Console preview of a batch frame (20 rows, like the reports)."""
     df.show(n, truncate=truncate)
@@ -75,7 +83,9 @@ def preview_rows(df: DataFrame, n: int = 20) -> DataFrame:
 
 def drain(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
     """Wait for an ``availableNow`` query to finish and surface its error."""
-    query.awaitTermination(timeout_s)
+    if query.awaitTermination(timeout_s) is False:
+        query.stop()
+        raise TimeoutError(f"the query did not finish within {timeout_s} s")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return query

@@ -2,12 +2,11 @@
 
 Both use ``applyInPandasWithState``: state lives in the checkpointed state
 store, partitioned by key, so a restart resumes exactly where the last
-committed batch left it.  State per key is bounded: T4 keeps at most
-``limit`` timestamps; T3 keeps only chunks that arrived ahead of a gap.
-Abandoned files are flushed by an *event-time* timeout (watermark driven)
-when the chunks carry an event time.  Processing-time timeouts are not
-used: they make Spark schedule an empty batch after every batch, so an
-``availableNow`` drain would never finish.
+committed batch left it.  State is bounded per key (T4: at most ``limit``
+timestamps; T3: chunks that arrived ahead of a gap) and in the number of keys:
+event-time timeouts drop it once the watermark has passed.  Processing-time
+timeouts are not used: they make Spark schedule an empty batch after every
+batch, so an ``availableNow`` drain would never finish.
 """
 
 from __future__ import annotations
@@ -19,116 +18,130 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from vocalis.operators.admission import admit
 from vocalis.operators.relational import epoch_micros
 
 # ------------------------------------------------------------------ T3
 REASSEMBLY_OUTPUT = "file_id long, from_index long, to_index long, text string, done boolean, total long"
-REASSEMBLY_STATE = "next_index long, total long, pending_idx array<long>, pending_text array<string>"
+REASSEMBLY_STATE = "next_index long, total long, closed boolean, pending_idx array<long>, pending_text array<string>"
 
 
 def _clean(t) -> str:
     return "" if t is None else str(t).strip()
 
 
-def _reassembly_fn(timeout_ms: int | None):
+def _reassembly_fn(timeout_ms: int):
+    def out(*row) -> pd.DataFrame:
+        return pd.DataFrame([row], columns=["file_id", "from_index", "to_index", "text", "done", "total"])
+
+    def wait(state: GroupState, last_ms: int = 0) -> None:
+        state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), last_ms) + timeout_ms)
+
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         file_id = int(key[0])
         if state.hasTimedOut:
-            nxt, total, p_idx, p_txt = state.get
+            nxt, total, closed, p_idx, p_txt = state.get
+            if closed:
+                state.remove()
+                return
+            # give up on the gap; the closed file stays known for another timeout so late chunks are ignored
             pending = sorted(zip(p_idx, p_txt))
-            text = " ".join(t for _, t in pending if t)
-            state.remove()
+            state.update((nxt, total, True, [], []))
+            wait(state)
             if pending:
-                yield pd.DataFrame([(file_id, nxt, pending[-1][0], text, False, total)],
-                                   columns=["file_id", "from_index", "to_index", "text", "done", "total"])
+                yield out(file_id, nxt, pending[-1][0], " ".join(t for _, t in pending if t), False, total)
             return
-        if state.exists:
-            nxt, total, p_idx, p_txt = state.get
-            pending = dict(zip(p_idx, p_txt))
-        else:
-            nxt, total, pending = 0, None, {}
+        known = state.exists
+        nxt, total, closed, p_idx, p_txt = state.get if known else (0, None, False, [], [])
+        pending = dict(zip(p_idx, p_txt))
+        watermark = state.getCurrentWatermarkMs()
+        fresh, last_ms = known, 0
         for pdf in pdfs:
-            for idx, txt, tot in zip(pdf["chunk_index"], pdf["text"], pdf["total"]):
-                if int(idx) >= nxt:
+            for idx, txt, tot, at in zip(pdf["chunk_index"], pdf["text"], pdf["total"], pdf["_et_ms"]):
+                if not known and at < watermark - timeout_ms:
+                    continue  # older than any state kept: its file is over
+                fresh, last_ms = True, max(last_ms, int(at))
+                if int(idx) >= nxt and not closed:
                     pending[int(idx)] = _clean(txt)
                 if tot is not None and not pd.isna(tot):
                     total = int(tot)
+        if not fresh:
+            return
         start, parts = nxt, []
         while nxt in pending:
             parts.append(pending.pop(nxt))
             nxt += 1
         done = total is not None and nxt >= total
-        if done:
-            state.remove()
-        else:
-            state.update((nxt, total, list(pending.keys()), list(pending.values())))
-            if timeout_ms is not None:
-                state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + timeout_ms)
+        state.update((nxt, total, closed or done, list(pending.keys()), list(pending.values())))
+        wait(state, last_ms)
         if nxt > start:
-            yield pd.DataFrame([(file_id, start, nxt - 1, " ".join(p for p in parts if p), done, total)],
-                               columns=["file_id", "from_index", "to_index", "text", "done", "total"])
+            yield out(file_id, start, nxt - 1, " ".join(p for p in parts if p), done, total)
     return fn
 
 
-def stream_reassembly(chunks: DataFrame, key: str = "file_id", index: str = "chunk_index", text: str = "text",
-                      total: str = "total", event_time: str | None = None, timeout: str = "10 minutes") -> DataFrame:
+def stream_reassembly(chunks: DataFrame, event_time: str, key: str = "file_id", index: str = "chunk_index",
+                      text: str = "text", total: str = "total", timeout: str = "10 minutes") -> DataFrame:
     """Buffer out-of-order chunks per file and emit each newly
     contiguous run (trimmed, empties dropped, space-joined) as soon as it is
     complete; ``done`` when the run reaches ``total``.  Joining a file's
     emitted runs in order gives the batch W1 transcript.
 
-    With ``event_time`` the stream gets a watermark of ``timeout`` and a
-    file that stops receiving chunks for ``timeout`` of event time is
-    flushed (``done`` false) and its state dropped.
+    The stream gets a watermark of ``timeout``.  A file that stops receiving
+    chunks for that long is flushed (``done`` false).  Finished and flushed
+    files stay known for another timeout, so a chunk sent again is not
+    emitted again; chunks older than that are dropped.
     """
     c = chunks.select(F.col(key).cast("long").alias("file_id"), F.col(index).cast("long").alias("chunk_index"),
                       F.col(text).alias("text"), F.col(total).cast("long").alias("total"),
-                      *([F.col(event_time).alias("_et")] if event_time else []))
-    if event_time:
-        c = c.withWatermark("_et", timeout)
-        conf, ms = GroupStateTimeout.EventTimeTimeout, _duration_ms(timeout)
-    else:
-        conf, ms = GroupStateTimeout.NoTimeout, None
-    return c.groupBy("file_id").applyInPandasWithState(
-        _reassembly_fn(ms), REASSEMBLY_OUTPUT, REASSEMBLY_STATE, "append", conf)
+                      F.col(event_time).alias("_et"), F.unix_millis(event_time).alias("_et_ms"))
+    return c.withWatermark("_et", timeout).groupBy("file_id").applyInPandasWithState(
+        _reassembly_fn(_duration_ms(timeout)), REASSEMBLY_OUTPUT, REASSEMBLY_STATE, "append",
+        GroupStateTimeout.EventTimeTimeout)
 
 
 # ------------------------------------------------------------------ T4
 RATE_OUTPUT = "client_id long, request_id long, ts_us long, allowed boolean, wait_us long"
-RATE_STATE = "kept array<long>, last_us long"
+RATE_STATE = "kept array<long>"
 
 
 def _rate_fn(limit: int, window_us: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        kept = list(state.get[0]) if state.exists else []
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts_us", "request_id"], kind="mergesort")
-        allowed, wait = [], []
-        for now in pdf["ts_us"].tolist():
-            kept = [t for t in kept if now - t < window_us]
-            if len(kept) >= limit:
-                allowed.append(False)
-                wait.append(max(0, window_us - (now - kept[0])))
-            else:
-                allowed.append(True)
-                wait.append(0)
-                kept.append(now)
-        state.update((kept, int(pdf["ts_us"].max())))
-        yield pd.DataFrame({"client_id": int(key[0]), "request_id": pdf["request_id"].to_numpy(),
-                            "ts_us": pdf["ts_us"].to_numpy(), "allowed": allowed, "wait_us": wait})
+        if state.hasTimedOut:
+            state.remove()
+            return
+        kept = [int(t) for t in state.get[0]] if state.exists else []
+        last = 0
+        for pdf in pdfs:
+            ts = pdf["ts_us"].to_numpy()
+            allowed, wait = admit(ts, limit, window_us, kept)
+            last = int(ts[-1])
+            yield pd.DataFrame({"client_id": int(key[0]), "request_id": pdf["request_id"].to_numpy(), "ts_us": ts,
+                                "allowed": allowed, "wait_us": wait})
+        state.update((kept,))
+        # nothing admitted counts any more once the watermark is a window past the last request
+        state.setTimeoutTimestamp(max((last + window_us) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
     return fn
 
 
 def stream_rate_limit(events: DataFrame, key: str = "client_id", ts: str = "ts", tie: str = "request_id",
-                      limit: int = 3, window_us: int = 60_000_000) -> DataFrame:
+                      limit: int = 3, window_us: int = 60_000_000, lateness: str = "10 minutes") -> DataFrame:
     """T4: the W4 limiter on a stream keyed by client.  Each micro-batch's
     requests of a client are decided in (time, tie) order against the
-    admitted timestamps kept in state (at most ``limit`` per client, so no
-    timeout is needed to bound it).  Requests of a client are expected in
-    time order across batches; a late one is decided in arrival order."""
+    admitted timestamps kept in state (at most ``limit`` per client, dropped
+    one window after the client's last request).  Requests of a client are
+    expected in time order across batches; one that comes late is decided in
+    arrival order, one later than ``lateness`` is dropped by the watermark."""
     e = events.select(F.col(key).cast("long").alias("client_id"), F.col(tie).cast("long").alias("request_id"),
-                      epoch_micros(events, ts).alias("ts_us"))
-    return e.groupBy("client_id").applyInPandasWithState(
-        _rate_fn(limit, window_us), RATE_OUTPUT, RATE_STATE, "append", GroupStateTimeout.NoTimeout)
+                      epoch_micros(events, ts).alias("ts_us")).withColumn("_et", F.timestamp_micros("ts_us"))
+
+    def sorted_fn(key_, pdfs, state):
+        if state.hasTimedOut:
+            return _rate_fn(limit, window_us)(key_, pdfs, state)
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts_us", "request_id"], kind="mergesort")
+        return _rate_fn(limit, window_us)(key_, iter([pdf]), state)
+
+    return e.withWatermark("_et", lateness).groupBy("client_id").applyInPandasWithState(
+        sorted_fn, RATE_OUTPUT, RATE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def _duration_ms(text: str) -> int:

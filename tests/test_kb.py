@@ -81,7 +81,6 @@ def test_valid_and_append_pairs(spark):
     assert K.append_pairs(df, df.limit(1)).count() == 3
     assert K.alias_top3(spark.createDataFrame([(["a", "b", "c", "d"],)], "aliases array<string>")).first()[0] == \
         ["a", "b", "c"]
-    assert F is not None
 
 
 def test_synth_results_means(spark):
@@ -99,26 +98,68 @@ def test_synth_results_means(spark):
                   .collect()) == sorted(["none", "pitch_shift", "time_stretch", "time_shift"])
 
 
-def test_apply_rules_token_map_equals_sequential(spark):
-    """Single-token rules take the composed-map path; it must equal applying
-    the rules one after another (chains and case-insensitivity included)."""
+RULES = "username string, stt_output string, intended string, confidence double, first_seq long"
+
+
+def test_apply_rules_is_sequential(spark):
+    """Chains, multi-word replacements, phrases, letter case: as if the rules ran one after the other."""
     import random
     import re
     rng = random.Random(11)
-    vocab = ["a", "b", "c", "d", "e", "F", "g"]
+    vocab = ["a", "b", "c", "d", "e", "F", "g", "É", "a b", "c d e"]
     rules = []
-    for i in range(12):
-        rules.append(("u", rng.choice(vocab), rng.choice(vocab).upper() if i % 3 == 0 else rng.choice(vocab),
-                      round(rng.random(), 2), i))
-    texts = [("u", " ".join(rng.choice(vocab + ["A", "x"]) for _ in range(rng.randint(0, 12))) + rng.choice(["", "\t"]))
-             for _ in range(40)]
-    rdf = spark.createDataFrame(rules, "username string, stt_output string, intended string, confidence double, "
-                                       "first_seq long")
-    tdf = spark.createDataFrame(texts, "username string, model_output string")
-    got = [r.corrected for r in K.apply_rules(tdf, rdf).collect()]
-
-    def sequential(text):
-        for _, stt, rep, _, _ in sorted(rules, key=lambda r: (-r[3], r[4])):
-            text = re.sub(r"(?i)(?<!\S)" + re.escape(stt) + r"(?!\S)", lambda m: rep, text)
+    for u in ("u", "v", "w"):
+        for i in range(12):
+            stt = rng.choice(vocab[:7] if u == "u" else vocab)
+            rules.append((u, stt, rng.choice([*vocab, "b a", "$1 x"]), round(rng.random(), 2), i))
+    texts = [(i, rng.choice("uvwx"), "".join(rng.choice(vocab + ["A", "x", "é"]) + rng.choice([" ", "  ", "\t"])
+                                              for _ in range(rng.randint(0, 12)))) for i in range(120)]
+    out = K.apply_rules(spark.createDataFrame(texts, "id long, username string, model_output string"),
+                        spark.createDataFrame(rules, RULES)).collect()
+
+    def sequential(user, text):
+        for _, stt, rep, _, _ in sorted((r for r in rules if r[0] == user), key=lambda r: (-r[3], r[4])):
+            pattern = r"\s+".join(map(re.escape, stt.split(" ")))
+            text = re.sub(r"(?i)(?<!\S)" + pattern + r"(?!\S)", lambda m: rep, text)
         return text
-    assert got == [sequential(t) for _, t in texts]
+    assert {r.id: r.corrected for r in out} == {i: sequential(u, t) for i, u, t in texts}
+
+
+def test_unrelated_rule_changes_nothing(spark):
+    rules = [("u", "gonna", "going to", 0.9, 1), ("u", "to", "two", 0.8, 2)]
+    texts = spark.createDataFrame([("u", "gonna é É")], "username string, model_output string")
+    plain = K.apply_rules(texts, spark.createDataFrame(rules, RULES)).first().corrected
+    more = K.apply_rules(texts, spark.createDataFrame([*rules, ("u", "some phrase", "x", 0.5, 3)], RULES)).first().corrected
+    assert plain == more == "going two é É"
+    accents = K.apply_rules(texts, spark.createDataFrame([("u", "É", "x", 0.5, 3)], RULES)).first().corrected
+    assert accents == "gonna x x"
+
+
+def test_mining_aligns_shifted_pairs(spark):
+    pairs = spark.createDataFrame([("u", "b c d e x", "a b c d e")],
+                                  "username string, model_output string, correct_transcription string")
+    assert K.mine_corrections(pairs).count() == 0
+
+
+def test_extraction_after_whitespace_and_merge_without_info(spark):
+    rows = [("u", 1, '\n{"speaker_info": {"domain": "tech"}, "corrections": [{"stt_output": "a", "intended": "b"}]}'),
+            ("u", 2, '  ```json\n{"corrections": [{"stt_output": "A", "intended": "B"}, {"stt_output": "c", "intended": "d"}]}\n```')]
+    p = K.parse_extraction(spark.createDataFrame(rows, "username string, batch_no long, response string"), "response")
+    assert [r.parsed for r in p.collect()] == [True, True]
+    merged = K.merge_batches(p).first()
+    assert merged.speaker_info.domain == "tech" and merged.last_batch == 2 and merged.batches == 2
+    assert [(r.stt_output, r.intended) for r in K.dedupe_rules(K.batch_rules(p)).orderBy("first_seq").collect()] == \
+        [("a", "b"), ("c", "d")]
+
+
+def test_pair_files_over_lines(spark, tmp_path):
+    (tmp_path / "p.txt").write_text('[("a", "b"),\n ("c",\n   "d")]\n')
+    assert sorted(map(tuple, SP.read_pair_files(spark, str(tmp_path)).collect())) == [("a", "b"), ("c", "d")]
+
+
+def test_rendered_rules_are_sorted(spark):
+    rule = "struct<stt_output:string,intended:string,confidence:double>"
+    doc = spark.createDataFrame([("u", "s", [("x", "1", 0.5), ("y", "2", 0.9)], [], ("en",))],
+                                f"name string, speaker_id string, corrections array<{rule}>, "
+                                "vocabulary array<struct<term:string,aliases:array<string>>>, style struct<preferred_spelling:string>")
+    assert K.render_rules(doc).first().corrections_table.endswith("| y | 2 |\n| x | 1 |")

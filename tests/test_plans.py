@@ -55,12 +55,15 @@ def test_epoch_micros_ignores_session_time_zone(spark):
     assert ny == df.select(epoch_micros(df, "ts")).first()[0] == 1704067201000000
 
 
-def test_spread_only_when_needed(spark):
+def test_spread_is_explicit(spark):
     from vocalis.operators.relational import spread
     small = spark.range(0, 10, numPartitions=1)
-    assert spread(small).rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 10, numPartitions=64)
-    assert spread(wide) is wide
-    two = spark.range(0, 10, numPartitions=2)
-    shuffled = two.groupBy((two.id % 2).alias("k")).count()
-    assert spread(shuffled) is shuffled
+    assert spread(small, None) is small and spread(small, 6).rdd.getNumPartitions() == 6
+
+
+def test_first_rows_use_hash_aggregates(spark):
+    from vocalis.operators import kb as K
+    rules, vocab, log = (f(spark, SF_SMALL) for f in (X.rules_raw, X.vocab_raw, X.mapping_log))
+    batches = spark.createDataFrame([("u", 1, None)], "username string, batch_no long, speaker_info struct<domain:string>")
+    for df in (K.dedupe_rules(rules), K.dedupe_vocab(vocab), K.latest_mapping(log), K.merge_batches(batches)):
+        assert "SortAggregate" not in plan(df)

@@ -1,8 +1,9 @@
 """Knowledge-base tables: correction rules and vocabulary per speaker.
 
-Everything is keyed by user (or speaker id) and written as hash
-aggregates whose partial step combines map-side, so a user holding a third
-of all rows still shuffles only one partial row per map task and key.
+Everything is keyed by user (or speaker id).  Which row comes first is found
+by hash aggregates that combine map-side (a user holding a third of all rows
+shuffles one partial row per map task and key); the rows themselves are then
+fetched by equi-joins that adaptive execution can split.
 Rule/vocabulary collections are built only after de-duplication, so their
 size is bounded by the distinct rules of a speaker, not by raw rows.
 """
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vocalis.functions.formatting import freq_to_confidence
-from vocalis.functions.text import is_blank, strip_ws, tokenize
+from vocalis.operators.relational import first_rows
+from vocalis.functions.text import DEFAULT_FILLERS, is_blank, strip_ws, tokenize
 
 # Rule sources and speaking-style defaults of a profile.
 SOURCE_LLM, SOURCE_FEEDBACK, SOURCE_MANUAL = "llm_suggested", "auto_feedback", "manual"
@@ -25,7 +27,6 @@ DEFAULT_FORMALITY = "professional"
 DEFAULT_DOMAIN = "general"
 DEFAULT_LANGUAGES = ["en"]
 DEFAULT_SPELLING = "en-US"
-DEFAULT_FILLERS = ["um", "uh", "like", "you know"]
 
 
 def _keys(key: Sequence[str] | str) -> list[str]:
@@ -65,22 +66,18 @@ def dedupe_rules(raw: DataFrame, key: Sequence[str] | str = ("username",)) -> Da
     confidence; each repeat adds 0.1, capped at 1.0, rounded to 4 dp.
     """
     k = _keys(key)
-    r = clean_rules(raw)
-    first = F.min_by(F.struct("seq", "stt_output", "intended", "frequency",
-                              F.col("explanation").alias("context_hint")), F.col("seq"))
-    g = r.groupBy(*k, F.lower("stt_output").alias("_ks"), F.lower("intended").alias("_ki")).agg(
-        first.alias("f"), F.count(F.lit(1)).alias("repeats"))
-    conf = F.round(F.least(F.lit(1.0), freq_to_confidence("f.frequency") + F.lit(0.1) * (F.col("repeats") - 1)), 4)
-    return g.select(
-        *k,
-        F.col("f.stt_output").alias("stt_output"),
-        F.col("f.intended").alias("intended"),
-        conf.alias("confidence"),
-        F.lit(1).alias("occurrences"),
-        F.lit(SOURCE_LLM).alias("source"),
-        F.col("f.context_hint").alias("context_hint"),
-        F.col("f.seq").alias("first_seq"),
-    )
+    keys = [*k, "_ks", "_ki"]
+    r = clean_rules(raw).withColumn("_ks", F.lower("stt_output")).withColumn("_ki", F.lower("intended"))
+    first = first_rows(r, keys, "seq").alias("f")
+    n = r.groupBy(*[F.col(c).alias(f"n{c}") for c in keys]).agg(F.count(F.lit(1)).alias("repeats"))
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"n{c}"))
+    conf = F.round(F.least(F.lit(1.0), freq_to_confidence("frequency") + F.lit(0.1) * (F.col("repeats") - 1)), 4)
+    return first.join(n, same).select(
+        *k, "stt_output", "intended", conf.alias("confidence"), F.lit(1).alias("occurrences"),
+        F.lit(SOURCE_LLM).alias("source"), F.col("explanation").alias("context_hint"),
+        F.col("seq").alias("first_seq"))
 
 
 def rules_by_confidence(rules: DataFrame) -> DataFrame:
@@ -95,28 +92,21 @@ def dedupe_vocab(raw: DataFrame, key: Sequence[str] | str = ("username",)) -> Da
     The first row supplies term, category (``general`` when missing) and
     definition.  Aliases are merged in arrival order, case-insensitively
     new only (the first row's own list is de-duplicated as well, a
-    deliberate tightening).  Two aggregates, no join: per alias first, then
-    per term.
+    deliberate tightening).
     """
     k = _keys(key)
     v = clean_vocab(raw).withColumn("_kt", F.lower("term"))
-    info = F.struct("seq", "term", F.coalesce("category", F.lit("general")).alias("category"), "definition")
-    ex = v.select(*k, "_kt", "seq", info.alias("info"),
-                  F.posexplode_outer("misheard_as").alias("pos", "alias"))
-    per_alias = ex.groupBy(*k, "_kt", F.lower("alias").alias("_ka")).agg(
-        F.min_by("info", "seq").alias("info"),
-        F.min_by(F.struct("seq", "pos", "alias"), F.struct("seq", "pos")).alias("first_alias"))
-    per_term = per_alias.groupBy(*k, "_kt").agg(
-        F.min_by("info", F.col("info.seq")).alias("info"),
-        F.array_sort(F.collect_list(F.when(F.col("_ka").isNotNull(), F.col("first_alias")))).alias("al"))
-    return per_term.select(
-        *k,
-        F.col("info.term").alias("term"),
-        F.col("info.category").alias("category"),
-        F.col("info.definition").alias("definition"),
-        F.transform("al", lambda s: s["alias"]).alias("aliases"),
-        F.col("info.seq").alias("first_seq"),
-    )
+    aliases = v.select(*k, "_kt", "seq", F.posexplode("misheard_as").alias("_pos", "alias")) \
+        .where(F.col("alias").isNotNull()).withColumn("_ka", F.lower("alias")) \
+        .withColumn("_at", F.col("seq") * F.lit(1 << 20) + F.col("_pos"))
+    heard = first_rows(aliases, [*k, "_kt", "_ka"], "_at").groupBy(*[F.col(c).alias(f"h{c}") for c in [*k, "_kt"]]).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_at", "alias"))), lambda s: s["alias"]).alias("aliases"))
+    same = F.lit(True)
+    for c in [*k, "_kt"]:
+        same = same & F.col(c).eqNullSafe(F.col(f"h{c}"))
+    return first_rows(v, [*k, "_kt"], "seq").join(heard, same, "left").select(
+        *k, "term", F.coalesce("category", F.lit("general")).alias("category"), "definition",
+        F.coalesce("aliases", F.array().cast("array<string>")).alias("aliases"), F.col("seq").alias("first_seq"))
 
 
 def alias_top3(vocab: DataFrame) -> DataFrame:
@@ -128,9 +118,8 @@ def alias_top3(vocab: DataFrame) -> DataFrame:
 def latest_mapping(log: DataFrame, key: str = "username", value: str = "speaker_id",
                    ts: str = "updated_at", tie: str = "seq") -> DataFrame:
     """Username -> speaker id, last write wins (ties by ``tie``)."""
-    return log.groupBy(key).agg(
-        F.max_by(F.struct(value, ts), F.struct(ts, tie)).alias("m")).select(
-        key, F.col(f"m.{value}").alias(value), F.col(f"m.{ts}").alias(ts))
+    latest = first_rows(log, [key], ts, largest=True)
+    return first_rows(latest, [key], tie, largest=True).select(key, value, ts)
 
 
 def list_users(mapping: DataFrame, key: str = "username") -> DataFrame:
@@ -224,11 +213,29 @@ def build_profiles(mapping: DataFrame, rules: DataFrame, vocab: DataFrame, info:
 
 
 # ------------------------------------------------------------------ A15 / J2
-def kb_status(usernames: DataFrame, mapping: DataFrame, profiles: DataFrame, key: str = "username") -> DataFrame:
+def summarise_profiles(profiles: DataFrame) -> DataFrame:
+    """Counts of stored profile documents, as ``kb_status`` takes them."""
+    return profiles.select("speaker_id", "name", "domain", "topics",
+                           F.size("corrections").cast("long").alias("n_corrections"),
+                           F.size("vocabulary").cast("long").alias("n_vocabulary"))
+
+
+def profile_summaries(mapping: DataFrame, rules: DataFrame, vocab: DataFrame, info: DataFrame,
+                      key: str = "username") -> DataFrame:
+    """The same counts from the de-duplicated tables, without building documents."""
+    r = rules.groupBy(key).agg(F.count(F.lit(1)).alias("n_corrections"))
+    v = vocab.groupBy(key).agg(F.count(F.lit(1)).alias("n_vocabulary"))
+    return mapping.join(info.select(key, "domain", "topics"), key, "left").join(r, key, "left").join(v, key, "left").select(
+        "speaker_id", F.col(key).alias("name"), F.coalesce("domain", F.lit(DEFAULT_DOMAIN)).alias("domain"),
+        F.coalesce("topics", F.array().cast("array<string>")).alias("topics"),
+        F.coalesce("n_corrections", F.lit(0)).alias("n_corrections"),
+        F.coalesce("n_vocabulary", F.lit(0)).alias("n_vocabulary"))
+
+
+def kb_status(usernames: DataFrame, mapping: DataFrame, summaries: DataFrame, key: str = "username") -> DataFrame:
     """Per username: exists, speaker id, domain, rule/vocabulary counts,
     topics; a user without mapping or profile gets exists=false, zeros."""
-    prof = profiles.select(F.col("speaker_id").alias("_sid"), "domain", "topics",
-                           F.size("corrections").alias("n_corrections"), F.size("vocabulary").alias("n_vocabulary"))
+    prof = summaries.select(F.col("speaker_id").alias("_sid"), "domain", "topics", "n_corrections", "n_vocabulary")
     j = usernames.select(key).join(mapping.select(key, "speaker_id"), key, "left") \
         .join(prof, F.col("speaker_id") == F.col("_sid"), "left")
     exists = F.col("_sid").isNotNull()
@@ -246,7 +253,7 @@ def attach_profile(requests: DataFrame, mapping: DataFrame, profiles: DataFrame,
     """Request -> mapping -> profile by two left equi-joins; ``used_kb``
     is true only when both hops resolve.  AQE picks broadcast when the
     mapping/profile side is small and splits skewed user keys otherwise."""
-    prof = profiles.select(F.col("speaker_id").alias("_sid"), "corrections", "vocabulary", "style")
+    prof = profiles.withColumnRenamed("speaker_id", "_sid")
     j = requests.join(mapping.select(key, "speaker_id"), key, "left") \
         .join(prof, F.col("speaker_id") == F.col("_sid"), "left")
     return j.withColumn("used_kb", F.col("_sid").isNotNull()).drop("_sid")
@@ -261,63 +268,51 @@ def _replacement_quote(c: Column) -> Column:
     return F.regexp_replace(c, r"([\\$])", r"\\$1")
 
 
-def _composed_map(rules: Column) -> Column:
-    """For single-token rules: map lower(token) -> final text after applying
-    every rule in order (a rule fires when the current text equals its
-    ``stt`` case-insensitively, so chains x -> y -> z compose exactly)."""
-    keys = F.array_distinct(F.transform(rules, lambda r: F.lower(r["stt"])))
-
-    def final(k):
-        start = F.struct(k.alias("cur"), F.lit(None).cast("string").alias("val"))
-        return F.aggregate(rules, start, lambda acc, r: F.when(
-            F.lower(r["stt"]) == acc["cur"], F.struct(F.lower(r["rep_text"]).alias("cur"), r["rep_text"].alias("val"))
-        ).otherwise(acc))["val"]
-    return F.map_from_arrays(keys, F.transform(keys, final))
-
-
-# word / whitespace runs: split between a whitespace and a non-whitespace char
-_RUNS = r"(?<=\s)(?=\S)|(?<=\S)(?=\s)"
+def _folded(c: Column) -> Column:
+    """Case folding for the cheap test before a rule's expression runs."""
+    return F.lower(F.upper(c))
 
 
 def apply_rules(texts: DataFrame, rules: DataFrame, text_col: str = "model_output",
                 key: str = "username", out_col: str = "corrected") -> DataFrame:
     """Apply a speaker's rules to raw text, highest confidence first.
 
-    Case-insensitive whole-phrase replacement: a phrase must sit between
-    whitespace or the text ends.  Rules are grouped per user and joined on
-    the user key (never crossed with all texts).
-
-    A user whose rules are all single tokens gets one composed
-    token -> replacement map, applied to the text's word runs in one pass
-    (exactly the result of the sequential replacements, chains included,
-    and no per-row regex compilation).  A user with any multi-word rule
-    falls back to the sequential regex fold.
+    One semantics for all rules: they run one after the other (confidence
+    descending, then first seen), each on what the earlier ones left, so
+    replacements chain.  A rule replaces its phrase, in any letter case,
+    where it stands between whitespace or the text's ends; blanks inside a
+    phrase match any whitespace.  A rule whose first word is not in the text
+    is passed over without running its expression.  Rules are grouped per
+    user and joined on the user key (never crossed with all texts).
     """
     per_user = rules.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(
         (-F.col("confidence")).alias("_o1"), F.col("first_seq").alias("_o2"),
-        F.col("stt_output").alias("stt"), F.col("intended").alias("rep_text"),
-        F.concat(F.lit("(?i)(?<=^|\\s)"), F.regexp_replace(_regex_quote(F.col("stt_output")), " +", r"\\s+"),
+        _folded(F.substring_index("stt_output", " ", 1)).alias("first"),
+        F.concat(F.lit("(?iu)(?<=^|\\s)"), F.regexp_replace(_regex_quote(F.col("stt_output")), " +", r"\\s+"),
                  F.lit("(?=\\s|$)")).alias("pat"),
         _replacement_quote(F.col("intended")).alias("rep")))).alias("_rules"))
-    per_user = per_user.select(
-        key, "_rules",
-        F.exists("_rules", lambda r: r["stt"].rlike("\\s")).alias("_phrases"),
-        _composed_map(F.col("_rules")).alias("_map"))
     j = texts.join(per_user, key, "left")
     text = F.col(text_col)
-    fold = F.aggregate(F.col("_rules"), text, lambda acc, r: F.regexp_replace(acc, r["pat"], r["rep"]))
-    mapped = F.array_join(F.transform(F.split(text, _RUNS, -1),
-                                      lambda t: F.coalesce(F.try_element_at(F.col("_map"), F.lower(t)), t)), "")
-    out = F.when(F.col("_rules").isNull() | (F.size("_rules") == 0), text) \
-        .when(F.col("_phrases"), fold).otherwise(mapped)
-    return j.withColumn(out_col, out).drop("_rules", "_phrases", "_map")
+    fold = F.aggregate(F.col("_rules"), text, lambda acc, r: F.when(
+        F.contains(_folded(acc), r["first"]), F.regexp_replace(acc, r["pat"], r["rep"])).otherwise(acc))
+    return j.withColumn(out_col, F.when(F.col("_rules").isNull(), text).otherwise(fold)).drop("_rules")
+
+
+def profile_rules(profiles: DataFrame, key: str = "name") -> DataFrame:
+    """The stored corrections of profile documents as a rule table for ``apply_rules``."""
+    return profiles.select(F.col(key).alias("username"), F.posexplode("corrections").alias("first_seq", "r")).select(
+        "username", F.col("r.stt_output").alias("stt_output"), F.col("r.intended").alias("intended"),
+        F.col("r.confidence").alias("confidence"), "first_seq")
 
 
 # ------------------------------------------------------------------ F15
 def render_rules(profiles: DataFrame) -> DataFrame:
-    """Markdown rule table (confidence order as stored) and vocabulary
-    lines with at most three aliases; ``(none)`` when empty."""
-    rows = F.transform("corrections", lambda r: F.concat(F.lit("| "), r["stt_output"], F.lit(" | "),
+    """Markdown rule table (confidence descending, stored order among
+    ties) and vocabulary lines with at most three aliases; ``(none)`` when
+    empty."""
+    ordered = F.transform(F.array_sort(F.transform("corrections", lambda r, i: F.struct(
+        (-F.coalesce(r["confidence"], F.lit(0.0))).alias("o"), i.alias("i"), r.alias("r")))), lambda s: s["r"])
+    rows = F.transform(ordered, lambda r: F.concat(F.lit("| "), r["stt_output"], F.lit(" | "),
                                                          r["intended"], F.lit(" |")))
     table = F.when(F.size("corrections") > 0, F.concat(F.lit("| STT Error | Correct |\n|---|---|\n"),
                                                       F.array_join(rows, "\n"))).otherwise(F.lit("(none)"))
@@ -366,11 +361,35 @@ def parse_extraction(df: DataFrame, col: str = "response") -> DataFrame:
 
 # ------------------------------------------------------------------ U2
 def merge_batches(batches: DataFrame, key: Sequence[str] | str = ("username",), batch: str = "batch_no") -> DataFrame:
-    """Speaker info of the last batch per key (rule and vocabulary rows
-    are simply the union of the batches' rows)."""
+    """Speaker info of the last batch that has any, per key (rule and
+    vocabulary lists: ``batch_rules``, ``batch_vocab``)."""
     k = _keys(key)
-    return batches.groupBy(*k).agg(F.max_by("speaker_info", batch).alias("speaker_info"),
-                                    F.max(batch).alias("last_batch"), F.count(F.lit(1)).alias("batches"))
+    has = F.when(F.col("speaker_info").isNotNull(), F.col(batch))
+    counts = batches.groupBy(*k).agg(F.max(has).alias("_info"), F.max(batch).alias("last_batch"),
+                                     F.count(F.lit(1)).alias("batches"))
+    info = batches.where(F.col("speaker_info").isNotNull()).select(
+        *k, F.col(batch).alias("_info"), "speaker_info")
+    return counts.join(info, [*k, "_info"], "left").select(*k, "speaker_info", "last_batch", "batches")
+
+
+#: Places of one batch's list items in the order over all batches.
+_BATCH_ITEMS = 1 << 20
+
+
+def _batch_items(batches: DataFrame, items: str, key: Sequence[str] | str, batch: str) -> DataFrame:
+    k = _keys(key)
+    return batches.select(*k, batch, F.posexplode(items).alias("_pos", "_item")).select(
+        *k, (F.col(batch) * _BATCH_ITEMS + F.col("_pos")).cast("long").alias("seq"), "_item.*")
+
+
+def batch_rules(batches: DataFrame, key: Sequence[str] | str = ("username",), batch: str = "batch_no") -> DataFrame:
+    """The rules of all batches in batch order, as ``dedupe_rules`` takes them."""
+    return _batch_items(batches, "corrections", key, batch)
+
+
+def batch_vocab(batches: DataFrame, key: Sequence[str] | str = ("username",), batch: str = "batch_no") -> DataFrame:
+    """The vocabulary of all batches in batch order, as ``dedupe_vocab`` takes it."""
+    return _batch_items(batches, "vocabulary", key, batch)
 
 
 # ------------------------------------------------------------------ A19
@@ -412,23 +431,12 @@ def grade(count: Column) -> Column:
 
 
 def substitutions(pairs: DataFrame, key: str = "username", ref: str = "correct_transcription",
-                  hyp: str = "model_output") -> DataFrame:
-    """Token substitutions (key, hyp_tok, ref_tok) of every pair.
-
-    Equal-length token lists are aligned position by position (built-in
-    ``arrays_zip``); the rest go through the F3 edit-op alignment.
-    """
+                  hyp: str = "model_output", partitions: int | None = None) -> DataFrame:
+    """Token substitutions (key, hyp_tok, ref_tok) of every pair, from the F3
+    alignment."""
     from vocalis.operators.alignment import align_tokens
     t = pairs.select(key, tokenize(ref).alias("_r"), tokenize(hyp).alias("_h"))
-    # no filter here: pushed below the projection it would re-tokenize; the
-    # zip is simply empty for pairs of unequal length
-    zipped = F.when(F.size("_r") == F.size("_h"), F.arrays_zip(F.col("_h").alias("h"), F.col("_r").alias("r")))
-    pos = t.select(key, F.explode(zipped).alias("z")) \
-        .select(key, F.col("z.h").alias("hyp_tok"), F.col("z.r").alias("ref_tok")) \
-        .filter(F.col("hyp_tok") != F.col("ref_tok"))
-    al = align_tokens(t.filter(F.size("_r") != F.size("_h")), [key]) \
-        .filter(F.col("op") == "sub").select(key, "hyp_tok", "ref_tok")
-    return pos.unionByName(al)
+    return align_tokens(t, [key], partitions).filter(F.col("op") == "sub").select(key, "hyp_tok", "ref_tok")
 
 
 def mine_corrections(pairs: DataFrame, min_count: int = 1, key: str = "username", **kw) -> DataFrame:

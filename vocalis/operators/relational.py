@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,26 +29,23 @@ def drop_columns(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*names)
 
 
-def spread(df: DataFrame, factor: int = 2) -> DataFrame:
-    """Give a CPU-heavy per-row stage enough tasks.
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Round-robin ``df`` over ``partitions`` tasks for a CPU-heavy per-row stage; None leaves it as it is."""
+    return df.repartition(partitions) if partitions else df
+
+
+def first_rows(df: DataFrame, keys: Sequence[str], order: str, largest: bool = False) -> DataFrame:
+    """The rows with the smallest (largest) ``order`` value per key.
 
-    Only when the input has fewer partitions than the cluster can run at
-    once (a small table, one big row group) is it round-robin repartitioned
-    to ``factor x defaultParallelism``; a large scan already has more splits
-    than cores and is left alone, so no shuffle is added at scale.
-    Streaming frames, and frames whose plan already has a shuffle (their
-    partitions are spread; asking an adaptive plan for its partition count
-    would run that shuffle), are returned unchanged.
+    A hash aggregate finds the value and an equi-join (null-safe on the keys)
+    fetches the rows; ``min_by`` of a struct would sort the whole input.
     """
-    try:
-        if df.isStreaming or "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-            return df
-        target = df.sparkSession.sparkContext.defaultParallelism * factor
-        if df.rdd.getNumPartitions() >= target // factor:
-            return df
-    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a Connect session): leave the plan as is
-        return df
-    return df.repartition(target)
+    best = df.groupBy(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]).agg(
+        (F.max(order) if largest else F.min(order)).alias("_best"))
+    same = F.col(order) == F.col("_best")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    return df.join(best, same).drop("_best", *[f"_key{i}" for i in range(len(keys))])
 
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"

@@ -264,13 +264,15 @@ _MAP_COLS = [
 
 
 def mapping_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """username -> speaker id writes (users 0-14 of 20 are ever mapped)."""
-    return table(spark, sf_dir, "events").filter("user_id % 20 < 15").selectExpr(*_MAP_COLS)
+    """username -> speaker id writes of all users."""
+    return table(spark, sf_dir, "events").selectExpr(*_MAP_COLS)
 
 
-MAPPING_LOG_SQL = "SELECT " + ", ".join(_MAP_COLS) + " FROM events WHERE user_id % 20 < 15"
+MAPPING_LOG_SQL = "SELECT " + ", ".join(_MAP_COLS) + " FROM events"
 
-# Users whose profile is missing although mapped, and whose lists are empty.
+# Gaps of the two lookup queries: users never mapped, users mapped without a
+# profile, users with empty lists.
+UNMAPPED_USERS = [f"user_{n}" for n in range(15, 20)]
 MISSING_PROFILE_USER = "user_14"
 EMPTY_PROFILE_USER = "user_13"
 

@@ -44,19 +44,26 @@ LATEST_MAPPING_SQL = """SELECT username, speaker_id, updated_at FROM (
     SELECT *, row_number() OVER (PARTITION BY username ORDER BY updated_at DESC, seq DESC) AS rn FROM mapping_log)
   WHERE rn = 1"""
 
-# one row per existing profile with its counts (users mapped, minus the missing one)
-PROFILE_COUNTS_SQL = f"""SELECT m.username AS name, m.speaker_id, coalesce(i.domain, 'general') AS domain,
+def _profile_counts_sql(gaps: bool) -> str:
+    """One row per profile with its counts; ``gaps``: without the missing profile and with an empty one."""
+    empty = f"m.username = '{X.EMPTY_PROFILE_USER}'" if gaps else "false"
+    where = f"WHERE m.username <> '{X.MISSING_PROFILE_USER}'" if gaps else ""
+    return f"""SELECT m.username AS name, m.speaker_id, coalesce(i.domain, 'general') AS domain,
     coalesce(i.topics, []::VARCHAR[]) AS topics,
-    CASE WHEN m.username = '{X.EMPTY_PROFILE_USER}' THEN 0 ELSE (SELECT count(*) FROM rules r WHERE r.username = m.username) END AS n_corrections,
-    CASE WHEN m.username = '{X.EMPTY_PROFILE_USER}' THEN 0 ELSE (SELECT count(*) FROM vocab v WHERE v.username = m.username) END AS n_vocabulary,
+    CASE WHEN {empty} THEN 0 ELSE (SELECT count(*) FROM rules r WHERE r.username = m.username) END AS n_corrections,
+    CASE WHEN {empty} THEN 0 ELSE (SELECT count(*) FROM vocab v WHERE v.username = m.username) END AS n_vocabulary,
     coalesce(i.preferred_spelling, 'en-US') AS spelling
-  FROM latest m LEFT JOIN info i USING (username) WHERE m.username <> '{X.MISSING_PROFILE_USER}'"""
+  FROM latest m LEFT JOIN info i USING (username) {where}"""
 
 
-def _kb_ctes(**extra: str) -> dict[str, str]:
+_UNMAPPED_SQL = ", ".join(f"'{u}'" for u in X.UNMAPPED_USERS)
+
+
+def _kb_ctes(gaps: bool = False, **extra: str) -> dict[str, str]:
+    mapped = f" AND username NOT IN ({_UNMAPPED_SQL})" if gaps else ""
     base = dict(rules_raw=X.RULES_RAW_SQL, vocab_raw=X.VOCAB_RAW_SQL, mapping_log=X.MAPPING_LOG_SQL,
-                rules=DEDUPE_RULES_SQL, vocab=DEDUPE_VOCAB_SQL, latest=LATEST_MAPPING_SQL,
-                info=X.SPEAKER_INFO_SQL, profiles=PROFILE_COUNTS_SQL)
+                rules=DEDUPE_RULES_SQL, vocab=DEDUPE_VOCAB_SQL, latest=LATEST_MAPPING_SQL + mapped,
+                info=X.SPEAKER_INFO_SQL, profiles=_profile_counts_sql(gaps))
     base.update(extra)
     return base
 
@@ -76,10 +83,18 @@ def _mapping(spark, sf_dir):
 
 def profiles(spark, sf_dir):
     """Profile documents built from the de-duplicated tables (S10 shape)."""
-    mapping = _mapping(spark, sf_dir).filter(F.col("username") != X.MISSING_PROFILE_USER)
-    rules = _rules(spark, sf_dir).filter(F.col("username") != X.EMPTY_PROFILE_USER)
-    vocab = _vocab(spark, sf_dir).filter(F.col("username") != X.EMPTY_PROFILE_USER)
-    return K.build_profiles(mapping, rules, vocab, X.speaker_info(spark, sf_dir))
+    return K.build_profiles(_mapping(spark, sf_dir), _rules(spark, sf_dir), _vocab(spark, sf_dir),
+                            X.speaker_info(spark, sf_dir))
+
+
+def _with_gaps(spark, sf_dir):
+    """Mapping and profile counts of the lookup queries: some users have no mapping, one has no profile."""
+    mapping = _mapping(spark, sf_dir).filter(~F.col("username").isin(X.UNMAPPED_USERS))
+    counts = K.profile_summaries(
+        mapping.filter(F.col("username") != X.MISSING_PROFILE_USER),
+        _rules(spark, sf_dir).filter(F.col("username") != X.EMPTY_PROFILE_USER),
+        _vocab(spark, sf_dir).filter(F.col("username") != X.EMPTY_PROFILE_USER), X.speaker_info(spark, sf_dir))
+    return mapping, counts
 
 
 # ------------------------------------------------------------------ A13 / O3 / P9
@@ -133,24 +148,22 @@ def q_list_users(spark, sf_dir):
     "coalesce(p.n_corrections, 0) AS n_corrections, coalesce(p.n_vocabulary, 0) AS n_vocabulary, "
     "coalesce(p.topics, []::VARCHAR[]) AS topics "
     "FROM (SELECT DISTINCT username FROM rules_raw) u LEFT JOIN latest m USING (username) "
-    "LEFT JOIN profiles p ON p.speaker_id = m.speaker_id", **_kb_ctes()))
+    "LEFT JOIN profiles p ON p.speaker_id = m.speaker_id", **_kb_ctes(gaps=True)))
 def q_kb_status(spark, sf_dir):
     users = X.rules_raw(spark, sf_dir).select("username").distinct()
-    out = K.kb_status(users, _mapping(spark, sf_dir), profiles(spark, sf_dir))
-    return out.withColumn("n_corrections", F.col("n_corrections").cast("bigint")) \
-              .withColumn("n_vocabulary", F.col("n_vocabulary").cast("bigint"))
+    return K.kb_status(users, *_with_gaps(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ J2
 @register("profile_lookup", with_cte(
     "SELECT q.pair_id, q.username, p.speaker_id, p.speaker_id IS NOT NULL AS used_kb, "
     "coalesce(p.n_corrections, 0) AS n_rules FROM pairs q LEFT JOIN latest m USING (username) "
-    "LEFT JOIN profiles p ON p.speaker_id = m.speaker_id", **_kb_ctes(pairs=X.PAIRS_SQL)))
+    "LEFT JOIN profiles p ON p.speaker_id = m.speaker_id", **_kb_ctes(gaps=True, pairs=X.PAIRS_SQL)))
 def q_profile_lookup(spark, sf_dir):
     req = X.pairs(spark, sf_dir).select("pair_id", "username")
-    j = K.attach_profile(req, _mapping(spark, sf_dir), profiles(spark, sf_dir))
+    j = K.attach_profile(req, *_with_gaps(spark, sf_dir))
     return j.select("pair_id", "username", F.when(F.col("used_kb"), F.col("speaker_id")).alias("speaker_id"),
-                    "used_kb", F.coalesce(F.size("corrections"), F.lit(0)).cast("bigint").alias("n_rules"))
+                    "used_kb", F.coalesce("n_corrections", F.lit(0)).cast("bigint").alias("n_rules"))
 
 
 # ------------------------------------------------------------------ F15 / F14 / S10
@@ -290,14 +303,23 @@ def q_append_pairs(spark, sf_dir):
     return K.append_pairs(existing, new)
 
 
+# every 7th response is fenced, every 13th of the rest begins with blank lines, every 9th has no speaker info
 _EXTRACT = ("CASE WHEN event_id % 11 = 0 THEN 'not json at all' "
-            "WHEN event_id % 7 = 0 THEN concat('```json', chr(10), '{\"speaker_info\": {\"domain\": \"', event_type, '\"}}', chr(10), '```') "
-            "ELSE concat('{\"speaker_info\": {\"domain\": \"', event_type, '\", \"topics\": [\"t', cast(user_id % 3 AS string), "
+            "WHEN event_id % 7 = 0 THEN concat('  ```json', chr(10), '{\"speaker_info\": {\"domain\": \"', event_type, '\"}}', chr(10), '```') "
+            "WHEN event_id % 9 = 0 THEN '{\"corrections\": [{\"stt_output\": \"no info\", \"intended\": \"x\"}]}' "
+            "ELSE concat(CASE WHEN event_id % 13 = 0 THEN concat(' ', chr(10)) ELSE '' END, '{\"speaker_info\": {\"domain\": \"', event_type, '\", \"topics\": [\"t', cast(user_id % 3 AS string), "
             "'\"]}, \"corrections\": [{\"stt_output\": \"', event_type, '\", \"intended\": \"term', cast(user_id % 7 AS string), "
             "'\", \"frequency\": \"high\"}], \"vocabulary\": []}') END")
 
 
-@register("parse_extraction")
+_EVENT_TWIN = ("SELECT concat('user_', cast(user_id % 20 AS string)) AS username, event_id AS batch_no, event_type, user_id, "
+               "event_id % 11 <> 0 AS ok, event_id % 11 <> 0 AND event_id % 7 <> 0 AND event_id % 9 = 0 AS bare, "
+               "event_id % 11 <> 0 AND event_id % 7 = 0 AS fenced FROM events")
+
+
+@register("parse_extraction", with_cte(
+    "SELECT username, batch_no, ok AS parsed, CASE WHEN ok AND NOT bare THEN event_type END AS domain, "
+    "CASE WHEN ok AND NOT fenced THEN 1 ELSE 0 END AS n_corrections, 0 AS n_vocabulary FROM ev", ev=_EVENT_TWIN))
 def q_parse_extraction(spark, sf_dir):
     ev = X.table(spark, sf_dir, "events").selectExpr(
         "concat('user_', cast(user_id % 20 AS string)) AS username", "event_id AS batch_no",
@@ -308,9 +330,8 @@ def q_parse_extraction(spark, sf_dir):
 
 
 @register("merge_batches", with_cte(
-    "SELECT username, arg_max(domain, batch_no) AS domain, max(batch_no) AS last_batch, count(*) AS batches "
-    "FROM (SELECT concat('user_', cast(user_id % 20 AS string)) AS username, event_id AS batch_no, event_type AS domain "
-    "FROM events WHERE event_id % 11 <> 0) GROUP BY username"))
+    "SELECT username, arg_max(event_type, batch_no) FILTER (WHERE NOT bare) AS domain, max(batch_no) AS last_batch, "
+    "count(*) AS batches FROM ev WHERE ok GROUP BY username", ev=_EVENT_TWIN))
 def q_merge_batches(spark, sf_dir):
     ev = X.table(spark, sf_dir, "events").selectExpr(
         "concat('user_', cast(user_id % 20 AS string)) AS username", "event_id AS batch_no",
@@ -318,3 +339,52 @@ def q_merge_batches(spark, sf_dir):
     ok = K.parse_extraction(ev, "response").filter("parsed")
     m = K.merge_batches(ok, "username", "batch_no")
     return m.select("username", F.col("speaker_info.domain").alias("domain"), "last_batch", "batches")
+
+
+# ------------------------------------------------------------------ composed jobs
+def _extracted(spark, sf_dir):
+    ev = X.table(spark, sf_dir, "events").selectExpr(
+        "concat('user_', cast(user_id % 20 AS string)) AS username", "event_id AS batch_no",
+        _EXTRACT.replace("chr(10)", "char(10)") + " AS response")
+    return K.parse_extraction(ev, "response").filter("parsed")
+
+
+@register("kb_build", with_cte(
+    "SELECT m.speaker_id, m.username AS name, i.domain, (SELECT count(DISTINCT (lower(event_type), user_id % 7)) FROM ev e "
+    "WHERE e.username = m.username AND ok AND NOT fenced AND NOT bare) + (SELECT count(DISTINCT bare) FROM ev e "
+    "WHERE e.username = m.username AND bare) AS n_corrections, 0::BIGINT AS n_vocabulary "
+    "FROM latest m JOIN (SELECT username, arg_max(event_type, batch_no) FILTER (WHERE NOT bare) AS domain FROM ev WHERE ok "
+    "GROUP BY username) i USING (username)", mapping_log=X.MAPPING_LOG_SQL, latest=LATEST_MAPPING_SQL, ev=_EVENT_TWIN))
+def q_kb_build(spark, sf_dir):
+    """Extraction responses to stored profiles: parse, merge, de-duplicate, assemble, write, read back."""
+    from vocalis.session import scratch_path
+    from vocalis.sources.profiles import read_profiles, write_profiles
+    ok = _extracted(spark, sf_dir)
+    info = K.merge_batches(ok).select("username", "speaker_info.*").withColumnRenamed("style_notes", "notes")
+    built = K.build_profiles(_mapping(spark, sf_dir).join(info.select("username"), "username"),
+                             K.dedupe_rules(K.batch_rules(ok)), K.dedupe_vocab(K.batch_vocab(ok)), info)
+    path = scratch_path(spark, "kb-build")
+    write_profiles(built, path)
+    return K.summarise_profiles(read_profiles(spark, path)).drop("topics")
+
+
+@register("corrected_requests", with_cte(
+    "SELECT t.text_id, t.username, m.speaker_id IS NOT NULL AS used_kb, "
+    "CASE WHEN m.speaker_id IS NULL THEN t.model_output ELSE "
+    "(SELECT string_agg(coalesce(b.intended, w.tok), ' ' ORDER BY w.pos) FROM "
+    " (SELECT unnest(string_split(t.model_output, ' ')) AS tok, unnest(range(len(string_split(t.model_output, ' ')))) AS pos) w "
+    " LEFT JOIN best b ON b.username = t.username AND b.k = lower(w.tok)) END AS corrected "
+    f"FROM texts t LEFT JOIN (SELECT * FROM latest WHERE username NOT IN ({_UNMAPPED_SQL}, '{X.MISSING_PROFILE_USER}')) m "
+    "USING (username)",
+    rules_raw=X.RULES_RAW_SQL, rules=DEDUPE_RULES_SQL, texts=X.RULE_TEXTS_SQL, mapping_log=X.MAPPING_LOG_SQL,
+    latest=LATEST_MAPPING_SQL,
+    best="SELECT username, k, intended FROM (SELECT username, lower(stt_output) AS k, intended, row_number() OVER "
+         "(PARTITION BY username, lower(stt_output) ORDER BY confidence DESC, first_seq) AS rn FROM rules) WHERE rn = 1"))
+def q_corrected_requests(spark, sf_dir):
+    """Request to mapping to profile to corrected text, with the rules stored in the profile."""
+    mapping = _mapping(spark, sf_dir).filter(~F.col("username").isin(X.UNMAPPED_USERS))
+    docs = profiles(spark, sf_dir).join(
+        mapping.filter(F.col("username") != X.MISSING_PROFILE_USER).select("speaker_id"), "speaker_id", "left_semi")
+    req = K.attach_profile(X.rule_texts(spark, sf_dir), mapping, docs.select("speaker_id", "style")) \
+        .select("text_id", "username", "model_output", "used_kb")
+    return K.apply_rules(req, K.profile_rules(docs)).select("text_id", "username", "used_kb", "corrected")

@@ -26,11 +26,10 @@ def parse_pairs(text_df: DataFrame, col: str = "value") -> DataFrame:
                     unescape_quotes("p.b").alias("correct_transcription"))
 
 
-def read_pair_files(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
-    """Read pair files.  Line mode (default) splits files across tasks; use
-    ``whole_files`` when a tuple may span lines."""
-    reader = spark.read.option("wholetext", whole_files)
-    return parse_pairs(reader.text(path))
+def read_pair_files(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
+    """Read pair files whole, so a tuple may span lines; ``whole_files=False``
+    splits large files of one tuple per line across tasks."""
+    return parse_pairs(spark.read.text(path, wholetext=whole_files))
 
 
 def pairs_to_text(pairs: DataFrame) -> DataFrame:

@@ -67,9 +67,10 @@ def _extract_batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         })
 
 
-def extract_features(files: DataFrame) -> DataFrame:
-    """(filename, speaker, gender, content) -> log-Mel feature rows."""
-    return spread(files.select("filename", "speaker", "gender", "content")).mapInPandas(_extract_batches, FEATURE_SCHEMA)
+def extract_features(files: DataFrame, partitions: int | None = None) -> DataFrame:
+    """(filename, speaker, gender, content) -> log-Mel feature rows, on ``partitions`` tasks (default: as read)."""
+    cols = files.select("filename", "speaker", "gender", "content")
+    return spread(cols, partitions).mapInPandas(_extract_batches, FEATURE_SCHEMA)
 
 
 def _augment_batches(techniques: Sequence[str], seed: int):
@@ -101,62 +102,10 @@ def _augment_batches(techniques: Sequence[str], seed: int):
     return run
 
 
-def augment_extract(files: DataFrame, techniques: Sequence[str] = TECHNIQUES, seed: int = 0) -> DataFrame:
+def augment_extract(files: DataFrame, techniques: Sequence[str] = TECHNIQUES, seed: int = 0,
+                    partitions: int | None = None) -> DataFrame:
     """D11 (J1 + D1-D9): every file x every technique, decoded once per file,
     augmentation seeded by (filename, technique, seed) so re-runs and task
     retries give identical rows."""
-    return spread(files.select("filename", "speaker", "gender", "content")).mapInPandas(
+    return spread(files.select("filename", "speaker", "gender", "content"), partitions).mapInPandas(
         _augment_batches(list(techniques), seed), AUGMENTED_SCHEMA)
-
-
-# ------------------------------------------------------------------ synthetic clips from table rows
-CLIP_SCHEMA = "vec_id long, rel_path string, content binary"
-
-
-def clip_rate(vec_id: int) -> int:
-    return (16000, 8000, 22050)[vec_id % 3]
-
-
-def clip_channels(vec_id: int) -> int:
-    return 2 if vec_id % 4 == 1 else 1
-
-
-def clip_samples(vec_id: int) -> int:
-    return clip_rate(vec_id) * (250 + (vec_id % 7) * 125) // 1000
-
-
-def clip_rel_path(vec_id: int) -> str:
-    group = ("Male_group", "Female_group", "other_group")[vec_id % 3]
-    return f"{group}/speaker_{vec_id % 5}/clip_{vec_id}.wav"
-
-
-def _synth_batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in it:
-        paths, blobs = [], []
-        for vid, emb in zip(pdf["vec_id"], pdf["embedding"]):
-            vid = int(vid)
-            sr, n = clip_rate(vid), clip_samples(vid)
-            t = np.arange(n) / sr
-            e = np.asarray(emb if emb is not None else [], dtype=np.float64)[:8]
-            y = 0.3 * np.sin(2 * np.pi * (220.0 + 10.0 * (vid % 20)) * t)
-            for k, a in enumerate(e):
-                y += 0.02 * np.tanh(a) * np.sin(2 * np.pi * (300.0 + 40.0 * k) * t)
-            blob = S.encode_pcm16(y, sr, clip_channels(vid))
-            if vid % 50 == 7:
-                blob = b"NOTAWAVE" + blob[8:]
-            paths.append(clip_rel_path(vid))
-            blobs.append(blob)
-        yield pd.DataFrame({"vec_id": pdf["vec_id"], "rel_path": paths, "content": blobs})
-
-
-def synth_clips(signals: DataFrame) -> DataFrame:
-    """Deterministic WAV clips derived from table rows (rate 16/8/22.05 kHz,
-    mono or stereo, 0.25-1.0 s, tones shaped by the row's values; every
-    50th row starting at 7 is corrupted)."""
-    return spread(signals.select("vec_id", "embedding")).mapInPandas(_synth_batches, CLIP_SCHEMA)
-
-
-def clips_as_files(clips: DataFrame, root: str = "/audio") -> DataFrame:
-    """Shape synthetic clips like a ``binaryFile`` listing (path, content)."""
-    return clips.select(F.concat(F.lit(root.rstrip("/") + "/"), "rel_path").alias("path"),
-                        F.length("content").cast("long").alias("length"), "content")

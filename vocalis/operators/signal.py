@@ -10,6 +10,7 @@ from __future__ import annotations
 import functools
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -145,18 +146,22 @@ def mel_filterbank(sr: int = SAMPLE_RATE, n_fft: int = N_FFT, n_mels: int = N_ME
 
 def stft_power(y: np.ndarray, n_fft: int = N_FFT, hop: int = HOP_LENGTH) -> np.ndarray:
     """|STFT|^2 of a centred (zero-padded) signal, shape (1 + n_fft//2, 1 + len // hop)."""
+    return np.concatenate(list(_power_blocks(y, n_fft, hop)), axis=1)
+
+
+def _power_blocks(y: np.ndarray, n_fft: int, hop: int, block: int = 2048) -> Iterator[np.ndarray]:
+    """``stft_power`` in runs of ``block`` frames."""
     pad = n_fft // 2
-    yp = np.pad(np.asarray(y, dtype=np.float64), (pad, pad))
-    n_frames = 1 + (len(yp) - n_fft) // hop
-    idx = np.arange(n_fft)[None, :] + hop * np.arange(n_frames)[:, None]
-    frames = yp[idx] * hann(n_fft)[None, :]
-    return (np.abs(np.fft.rfft(frames, axis=1)) ** 2).T
+    frames = np.lib.stride_tricks.sliding_window_view(np.pad(np.asarray(y, dtype=np.float64), (pad, pad)), n_fft)[::hop]
+    for i in range(0, len(frames), block):
+        yield (np.abs(np.fft.rfft(frames[i:i + block] * hann(n_fft), axis=1)) ** 2).T
 
 
 def mel_spectrogram(y: np.ndarray, sr: int = SAMPLE_RATE, n_mels: int = N_MELS, hop: int = HOP_LENGTH,
                     n_fft: int = N_FFT) -> np.ndarray:
-    """Mel power spectrogram, shape (n_mels, n_frames)."""
-    return mel_filterbank(sr, n_fft, n_mels) @ stft_power(y, n_fft, hop)
+    """Mel power spectrogram, shape (n_mels, n_frames), block by block."""
+    bank = mel_filterbank(sr, n_fft, n_mels)
+    return np.concatenate([bank @ p for p in _power_blocks(y, n_fft, hop)], axis=1)
 
 
 def power_to_db(m: np.ndarray, amin: float = AMIN, top_db: float = TOP_DB) -> np.ndarray:

@@ -155,10 +155,3 @@ def wer_all_dimensions(results: DataFrame, sets: dict[str, tuple[str, ...]] | No
     )
     return out.select("report", *DIMENSIONS, "samples", "sum_baseline_wer", "sum_finetuned_wer",
                       "baseline_WER_pct", "finetuned_WER_pct", "improvement_pct")
-
-
-def report_from_all(all_dims: DataFrame, report: str) -> DataFrame:
-    """Slice one report back out of ``wer_all_dimensions``."""
-    keys = REPORT_SETS[report]
-    return all_dims.filter(F.col("report") == report).select(
-        *keys, "samples", "baseline_WER_pct", "finetuned_WER_pct", "improvement_pct")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from vocalis.operators import audio as A
 from vocalis.operators import signal as S
+from vocalis.plans import clips as C
 from vocalis.plans import fixtures as X
 from vocalis.plans.catalog import register, with_cte
 from vocalis.session import scratch_path
@@ -36,12 +37,12 @@ _ERR = "'error: not a RIFF/WAVE stream'"
 
 
 def _files(spark, sf_dir):
-    clips = A.synth_clips(X.signals(spark, sf_dir))
-    return A.with_path_metadata(A.clips_as_files(clips))
+    clips = C.synth_clips(X.signals(spark, sf_dir))
+    return A.with_path_metadata(C.clips_as_files(clips))
 
 
 def _features(spark, sf_dir):
-    return A.extract_features(_files(spark, sf_dir))
+    return A.extract_features(_files(spark, sf_dir), C.partitions(spark))
 
 
 # ------------------------------------------------------------------ S1
@@ -49,8 +50,7 @@ def _features(spark, sf_dir):
     f"SELECT {_META}, 44 + n_in * 2 * ch AS length FROM clips", clips=CLIPS_SQL))
 def q_scan_audio(spark, sf_dir):
     root = scratch_path(spark, "audio")
-    written = SA.write_binary_files(A.synth_clips(X.signals(spark, sf_dir)), root).agg(F.sum("bytes")).collect()
-    assert written is not None
+    SA.write_binary_files(C.synth_clips(X.signals(spark, sf_dir)), root).write.format("noop").mode("overwrite").save()
     listing = A.with_path_metadata(SA.scan_audio(spark, root))
     return listing.select("filename", "speaker", "gender", "length")
 
@@ -91,32 +91,41 @@ def q_write_features(spark, sf_dir):
 
 # ------------------------------------------------------------------ per-clip signal operators
 def _per_clip(spark, sf_dir, fn: Callable[[int, np.ndarray, int], dict], schema: str):
-    """Decode every synthetic clip once and apply ``fn`` in an Arrow batch."""
+    """Decode every fixture clip once and apply ``fn`` in an Arrow batch; -1 in every column of a clip that fails."""
+    cols = [c.split()[0] for c in schema.split(", ")]
+
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             rows = []
             for vid, blob in zip(pdf["vec_id"], pdf["content"]):
                 try:
                     y, sr = S.decode_wav(bytes(blob))
+                    rows.append({"vec_id": int(vid), **fn(int(vid), y, sr)})
                 except S.AudioDecodeError:
-                    continue
-                rows.append({"vec_id": int(vid), **fn(int(vid), y, sr)})
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
-    clips = A.synth_clips(X.signals(spark, sf_dir))
+                    rows.append({"vec_id": int(vid), **dict.fromkeys(cols[1:], -1)})
+            yield pd.DataFrame(rows, columns=cols)
+    clips = C.synth_clips(X.signals(spark, sf_dir))
     return clips.select("vec_id", "content").mapInPandas(run, schema)
 
 
-_OK_CLIPS = "FROM clips WHERE NOT broken"
+def _per_clip_sql(**cols: str) -> str:
+    """Twin of ``_per_clip``: column = (expression, type), -1 for broken clips."""
+    return "SELECT vec_id, " + ", ".join(
+        f"CAST(CASE WHEN broken THEN -1 ELSE {e} END AS {t}) AS {c}" for c, (e, t) in cols.items()) + " FROM clips"
+
+
+_FRAMES = "1 + n_out // 160"
 
 
-@register("decode_wav", with_cte(f"SELECT vec_id, 16000 AS sample_rate, n_out AS n_samples {_OK_CLIPS}", clips=CLIPS_SQL))
+@register("decode_wav", with_cte(_per_clip_sql(sample_rate=("16000", "INTEGER"), n_samples=("n_out", "BIGINT")),
+                                 clips=CLIPS_SQL))
 def q_decode_wav(spark, sf_dir):
     return _per_clip(spark, sf_dir, lambda v, y, sr: {"sample_rate": sr, "n_samples": len(y)},
                      "vec_id long, sample_rate int, n_samples long")
 
 
-@register("mel_spectrogram", with_cte(
-    f"SELECT vec_id, 80 AS n_mels, cast(1 + n_out // 160 AS INTEGER) AS n_frames {_OK_CLIPS}", clips=CLIPS_SQL))
+@register("mel_spectrogram", with_cte(_per_clip_sql(n_mels=("80", "INTEGER"), n_frames=(_FRAMES, "INTEGER")),
+                                      clips=CLIPS_SQL))
 def q_mel_spectrogram(spark, sf_dir):
     def fn(v, y, sr):
         m = S.mel_spectrogram(y, sr)
@@ -124,16 +133,14 @@ def q_mel_spectrogram(spark, sf_dir):
     return _per_clip(spark, sf_dir, fn, "vec_id long, n_mels int, n_frames int")
 
 
-@register("flatten_features", with_cte(
-    f"SELECT vec_id, 80 * (1 + n_out // 160) AS n_values {_OK_CLIPS}", clips=CLIPS_SQL))
+@register("flatten_features", with_cte(_per_clip_sql(n_values=(f"80 * ({_FRAMES})", "BIGINT")), clips=CLIPS_SQL))
 def q_flatten_features(spark, sf_dir):
     return _per_clip(spark, sf_dir, lambda v, y, sr: {"n_values": int(S.log_mel_features(y, sr)[0].size)},
                      "vec_id long, n_values long")
 
 
-@register("frame_stats", with_cte(
-    f"SELECT vec_id, cast(n_out / 16000 AS FLOAT) AS duration_s, cast(1 + n_out // 160 AS INTEGER) AS n_frames {_OK_CLIPS}",
-    clips=CLIPS_SQL))
+@register("frame_stats", with_cte(_per_clip_sql(duration_s=("n_out / 16000", "FLOAT"), n_frames=(_FRAMES, "INTEGER")),
+                                  clips=CLIPS_SQL))
 def q_frame_stats(spark, sf_dir):
     def fn(v, y, sr):
         _, dur, frames = S.log_mel_features(y, sr)
@@ -144,7 +151,7 @@ def q_frame_stats(spark, sf_dir):
 _AUG_SEED = 7
 
 
-@register("aug_gaussian_noise", with_cte(f"SELECT vec_id, n_out AS n_samples {_OK_CLIPS}", clips=CLIPS_SQL))
+@register("aug_gaussian_noise", with_cte(_per_clip_sql(n_samples=("n_out", "BIGINT")), clips=CLIPS_SQL))
 def q_aug_gaussian_noise(spark, sf_dir):
     def fn(v, y, sr):
         rng = np.random.default_rng(S.clip_seed(str(v), "gaussian_noise", _AUG_SEED))
@@ -152,7 +159,7 @@ def q_aug_gaussian_noise(spark, sf_dir):
     return _per_clip(spark, sf_dir, fn, "vec_id long, n_samples long")
 
 
-@register("aug_pitch_shift", with_cte(f"SELECT vec_id, n_out AS n_samples {_OK_CLIPS}", clips=CLIPS_SQL))
+@register("aug_pitch_shift", with_cte(_per_clip_sql(n_samples=("n_out", "BIGINT")), clips=CLIPS_SQL))
 def q_aug_pitch_shift(spark, sf_dir):
     def fn(v, y, sr):
         rng = np.random.default_rng(S.clip_seed(str(v), "pitch_shift", _AUG_SEED))
@@ -160,18 +167,41 @@ def q_aug_pitch_shift(spark, sf_dir):
     return _per_clip(spark, sf_dir, fn, "vec_id long, n_samples long")
 
 
-@register("aug_time_stretch")
+@register("aug_time_stretch", with_cte(
+    _per_clip_sql(rate_pct=("85 + vec_id * 37 % 31", "INTEGER"), n_in=("n_out", "BIGINT"),
+                  n_samples=("round(n_out / ((85 + vec_id * 37 % 31) / 100.0::double))", "BIGINT")), clips=CLIPS_SQL))
 def q_aug_time_stretch(spark, sf_dir):
+    """Every clip stretched at a rate between 0.85 and 1.15 that depends on its number."""
     def fn(v, y, sr):
-        rng = np.random.default_rng(S.clip_seed(str(v), "time_stretch", _AUG_SEED))
-        rate = rng.uniform(*S.STRETCH_RANGE)
-        return {"rate": float(rate), "n_in": len(y), "n_samples": len(S.time_stretch(y, rate))}
-    return _per_clip(spark, sf_dir, fn, "vec_id long, rate double, n_in long, n_samples long")
+        pct = 85 + v * 37 % 31
+        return {"rate_pct": pct, "n_in": len(y), "n_samples": len(S.time_stretch(y, pct / 100.0))}
+    return _per_clip(spark, sf_dir, fn, "vec_id long, rate_pct int, n_in long, n_samples long")
 
 
 # ------------------------------------------------------------------ D11
 @register("augment_extract")
 def q_augment_extract(spark, sf_dir):
-    f = A.augment_extract(_files(spark, sf_dir), seed=_AUG_SEED)
+    f = A.augment_extract(_files(spark, sf_dir), seed=_AUG_SEED, partitions=C.partitions(spark))
     return f.select("filename", "speaker", "gender", "augmentation", "duration_s", "n_frames",
                     F.size("mel_features").alias("n_mel"), "status")
+
+
+# ------------------------------------------------------------------ the whole job and its reports
+@register("audio_job_report", with_cte(
+    "SELECT augmentation, CASE WHEN vec_id % 3 = 0 THEN 'M' ELSE 'F' END AS gender, count(*) AS total, "
+    "count(*) FILTER (WHERE NOT broken) AS success, count(*) FILTER (WHERE broken) AS failed "
+    "FROM clips, (SELECT unnest(['gaussian_noise', 'pitch_shift', 'time_stretch', 'time_shift']) AS augmentation) t "
+    "GROUP BY ALL", clips=CLIPS_SQL))
+def q_audio_job_report(spark, sf_dir):
+    """Scan, decode, augment, extract, write once; outcomes (A9) per technique and gender and the summary (A11) are read
+    from what was written."""
+    from vocalis.operators import features as FE
+    path = scratch_path(spark, "augmented")
+    A.augment_extract(_files(spark, sf_dir), seed=_AUG_SEED, partitions=C.partitions(spark)) \
+        .write.mode("overwrite").parquet(path)
+    written = spark.read.parquet(path)
+    outcome = written.groupBy("augmentation", "gender").agg(
+        F.count(F.lit(1)).alias("total"), F.count_if(F.col("status") == "ok").alias("success"),
+        F.count_if(F.col("status") != "ok").alias("failed"))
+    summary = FE.augmentation_summary(written).select("augmentation", "gender", F.col("files").alias("success"))
+    return outcome.join(summary, ["augmentation", "gender", "success"])

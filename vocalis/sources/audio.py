@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import logging
 import os
 from collections.abc import Iterator
 
@@ -10,8 +9,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-log = logging.getLogger(__name__)
-
 
 def scan_audio(spark: SparkSession, root: str, pattern: str = "*.wav") -> DataFrame:
     """Recursive ``*.wav`` discovery -> (path, length, content).

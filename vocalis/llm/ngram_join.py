@@ -8,12 +8,15 @@ copies are never paired.
    sketch of how often shingles repeat within a few MB of text.  The sketch,
    summed over all tasks, ranks shingles: the global order is (sketch count,
    hash), so shingles that many documents share come last.
-2. Prefixes.  Sets that link share a shingle among their first
-   ``n - ceil(3n/4) + 1`` in any fixed order.  These prefixes travel as packed
-   arrays to one task per hash range; classes that share a prefix shingle and
-   whose sizes allow a link become a group, named after its smallest class
-   (its hub).  The copies of one text mostly share one hub, so a class joins few
-   groups however many shingles it shares.
+2. Prefixes.  In any fixed order, the first ``e`` shingles that two linking sets
+   share lie among each set's first ``n - ceil(3n/4) + e``; here e is 1 + n/8.
+   These prefixes travel as packed arrays to one task per hash range; classes
+   that share a prefix shingle and whose sizes allow a link become a group,
+   named after its smallest class (its hub).  A class that shares fewer prefix
+   shingles with others than any link needs is left out, and so are the
+   rarest of its hubs as long as they hold under half of that number: then two
+   linking sets still meet at one hub at least (``kept``).  Most copies of one text
+   share one hub, so a class joins few groups however many shingles it shares.
 3. Prefix trees.  The sets of the grouped classes meet by hub, in blocks of at most
    ``BLOCK`` classes.  Each block's sets, in global order, form a trie; a set
    traverses it with shared partial overlaps and leaves a subtree as soon as
@@ -169,8 +172,44 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
     return ((hashes * np.uint64(0x9FB21C651E98DF25)) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
+def _extra(n: np.ndarray) -> np.ndarray:
+    return 1 + n // 8
+
+
 def prefix_length(n: np.ndarray) -> np.ndarray:
-    return n - (3 * n + 3) // 4 + 1
+    """Each set's first so many shingles hold the first ``_extra(n)`` that it shares with any set it links with."""
+    return n - (3 * n + 3) // 4 + _extra(n)
+
+
+def needed(n: np.ndarray) -> np.ndarray:
+    """Shingles that a set of size ``n`` and any set it links with have in both prefixes, at least."""
+    return _extra((3 * n + 3) // 4)
+
+
+def kept(hub: np.ndarray, cls: np.ndarray, shared: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hub, cls) to compare, from the number of prefix shingles that each class shares in groups of each hub.
+
+    Two linking sets share ``needed`` prefix shingles, so a class with fewer in all has no link.  If each of the two
+    drops hubs with under half of its ``needed`` shingles in all, one shared shingle's hub stays with both.
+    """
+    order = np.lexsort((hub, cls))
+    hub, cls, shared, n = hub[order], cls[order], shared[order], n[order]
+    first = np.ones(len(cls), dtype=bool)
+    first[1:] = (hub[1:] != hub[:-1]) | (cls[1:] != cls[:-1])
+    shared = np.add.reduceat(shared, np.flatnonzero(first)) if len(cls) else shared
+    hub, cls, n = hub[first], cls[first], n[first]
+    order = np.lexsort((shared, cls))
+    hub, cls, shared, n = hub[order], cls[order], shared[order], n[order]
+    start = np.ones(len(cls), dtype=bool)
+    start[1:] = cls[1:] != cls[:-1]
+    begin = np.flatnonzero(start)
+    many = np.diff(np.append(begin, len(cls)))
+    running = np.cumsum(shared)
+    running -= np.repeat(running[begin] - shared[begin], many) if len(begin) else 0
+    total = np.repeat(running[begin + many - 1], many) if len(begin) else running
+    need = needed(n)
+    keep = (total >= need) & (2 * running > need - 1)
+    return hub[keep], cls[keep]
 
 
 def order_keys(hashes: np.ndarray, sketch: np.ndarray) -> np.ndarray:
@@ -251,6 +290,7 @@ def groups(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
     shared = spark.sparkContext.broadcast(sketch)
     rows = docs.where(F.col("doc_id").isNotNull()).select(text_or_empty().alias("text"))
     names = ["part", "shingles", "owners", "classes", "sizes"]
+    kinds = {"hubs": "<u8", "classes": "<u8", "shared": "<u4", "sizes": "<u4"}
 
     def packed(hashes: np.ndarray, n: np.ndarray, cls: np.ndarray) -> pa.RecordBatch:
         part = ((hashes >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
@@ -322,23 +362,49 @@ def groups(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
         fresh[1:] = (s[1:] != s[:-1]) | (4 * n[:-1] < 3 * n[1:])  # sizes too far apart to link
         again = np.zeros(len(s), dtype=bool)
         again[1:] = ~fresh[1:] & (c[1:] == c[:-1])
-        c, fresh = c[~again], fresh[~again]
+        c, n, fresh = c[~again], n[~again], fresh[~again]
         first = np.flatnonzero(fresh)
         if not len(first):
             return
         many = np.diff(np.append(first, len(c)))
         hub = np.repeat(np.minimum.reduceat(c, first), many)
         keep = np.repeat(many > 1, many)
-        hub, c = hub[keep], c[keep]
-        order = np.lexsort((c, hub))
-        hub, c = hub[order], c[order]
+        hub, c, n = hub[keep], c[keep], n[keep]
+        order = np.lexsort((hub, c))
+        hub, c, n = hub[order], c[order], n[order]
         new = np.ones(len(c), dtype=bool)
         new[1:] = (hub[1:] != hub[:-1]) | (c[1:] != c[:-1])
-        yield pa.RecordBatch.from_arrays([pa.array(hub[new].view(np.int64)), pa.array(c[new].view(np.int64))],
-                                         names=["hub", "cls"])
+        at = np.flatnonzero(new)
+        shared_here = np.diff(np.append(at, len(c)))
+        hub, c, n = hub[at], c[at], n[at]
+        part = ((_mix(c) >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        edge = np.searchsorted(part[order], np.arange(parts + 1))
+        cols: list[list] = [[], [], [], [], []]
+        for p in np.flatnonzero(np.diff(edge)):
+            mine = order[edge[p]:edge[p + 1]]
+            for col, v in zip(cols, (int(p), hub[mine].astype("<u8").tobytes(), c[mine].astype("<u8").tobytes(),
+                                     shared_here[mine].astype("<u4").tobytes(), n[mine].astype("<u4").tobytes())):
+                col.append(v)
+        if cols[0]:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cols[0], pa.int32()), *(pa.array(x, pa.binary()) for x in cols[1:])],
+                names=["part", "hubs", "classes", "shared", "sizes"])
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: dict[str, list[np.ndarray]] = {name: [] for name in kinds}
+        for batch in batches:
+            for name, kind in kinds.items():
+                got[name].extend(np.frombuffer(x, kind) for x in batch.column(name).to_pylist())
+        if got["hubs"]:
+            hub, c, times, n = (np.concatenate(got[name]) for name in kinds)
+            hub, c = kept(hub, c, times.astype(np.int64), n.astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(hub.view(np.int64)), pa.array(c.view(np.int64))], names=["hub", "cls"])
 
     posted = rows.mapInArrow(prefixes, "part int, shingles binary, owners binary, classes binary, sizes binary")
-    return posted.repartitionById(parts, F.col("part")).mapInArrow(grouped, "hub long, cls long").distinct()
+    counted = posted.repartitionById(parts, F.col("part")) \
+        .mapInArrow(grouped, "part int, hubs binary, classes binary, shared binary, sizes binary")
+    return counted.repartitionById(parts, F.col("part")).mapInArrow(chosen, "hub long, cls long")
 
 
 # ------------------------------------------------------------------ 3: prefix trees

@@ -65,5 +65,7 @@ def test_first_rows_use_hash_aggregates(spark):
     from vocalis.operators import kb as K
     rules, vocab, log = (f(spark, SF_SMALL) for f in (X.rules_raw, X.vocab_raw, X.mapping_log))
     batches = spark.createDataFrame([("u", 1, None)], "username string, batch_no long, speaker_info struct<domain:string>")
-    for df in (K.dedupe_rules(rules), K.dedupe_vocab(vocab), K.latest_mapping(log), K.merge_batches(batches)):
+    stored = spark.createDataFrame([], "username string, stt_output string, intended string, confidence double, source string, "
+                                       "context_hint string, occurrences long, created_at timestamp, last_seen timestamp, seq long")
+    for df in (K.upsert_rules(stored, stored), K.dedupe_rules(rules), K.dedupe_vocab(vocab), K.latest_mapping(log), K.merge_batches(batches)):
         assert "SortAggregate" not in plan(df)

@@ -33,6 +33,14 @@ def _keys(key: Sequence[str] | str) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def _same_keys(keys: Sequence[str]) -> Column:
+    """Null-safe equality with the columns of the same names behind ``n``."""
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"n{c}"))
+    return same
+
+
 # ------------------------------------------------------------------ P6 / P9 / U1
 def valid_pairs(df: DataFrame, a: str = "model_output", b: str = "correct_transcription") -> DataFrame:
     """Both sides non-blank after trimming all whitespace."""
@@ -68,13 +76,10 @@ def dedupe_rules(raw: DataFrame, key: Sequence[str] | str = ("username",)) -> Da
     k = _keys(key)
     keys = [*k, "_ks", "_ki"]
     r = clean_rules(raw).withColumn("_ks", F.lower("stt_output")).withColumn("_ki", F.lower("intended"))
-    first = first_rows(r, keys, "seq").alias("f")
+    first = first_rows(r, keys, "seq")
     n = r.groupBy(*[F.col(c).alias(f"n{c}") for c in keys]).agg(F.count(F.lit(1)).alias("repeats"))
-    same = F.lit(True)
-    for c in keys:
-        same = same & F.col(c).eqNullSafe(F.col(f"n{c}"))
     conf = F.round(F.least(F.lit(1.0), freq_to_confidence("frequency") + F.lit(0.1) * (F.col("repeats") - 1)), 4)
-    return first.join(n, same).select(
+    return first.join(n, _same_keys(keys)).select(
         *k, "stt_output", "intended", conf.alias("confidence"), F.lit(1).alias("occurrences"),
         F.lit(SOURCE_LLM).alias("source"), F.col("explanation").alias("context_hint"),
         F.col("seq").alias("first_seq"))
@@ -99,12 +104,9 @@ def dedupe_vocab(raw: DataFrame, key: Sequence[str] | str = ("username",)) -> Da
     aliases = v.select(*k, "_kt", "seq", F.posexplode("misheard_as").alias("_pos", "alias")) \
         .where(F.col("alias").isNotNull()).withColumn("_ka", F.lower("alias")) \
         .withColumn("_at", F.col("seq") * F.lit(1 << 20) + F.col("_pos"))
-    heard = first_rows(aliases, [*k, "_kt", "_ka"], "_at").groupBy(*[F.col(c).alias(f"h{c}") for c in [*k, "_kt"]]).agg(
+    heard = first_rows(aliases, [*k, "_kt", "_ka"], "_at").groupBy(*[F.col(c).alias(f"n{c}") for c in [*k, "_kt"]]).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_at", "alias"))), lambda s: s["alias"]).alias("aliases"))
-    same = F.lit(True)
-    for c in [*k, "_kt"]:
-        same = same & F.col(c).eqNullSafe(F.col(f"h{c}"))
-    return first_rows(v, [*k, "_kt"], "seq").join(heard, same, "left").select(
+    return first_rows(v, [*k, "_kt"], "seq").join(heard, _same_keys([*k, "_kt"]), "left").select(
         *k, "term", F.coalesce("category", F.lit("general")).alias("category"), "definition",
         F.coalesce("aliases", F.array().cast("array<string>")).alias("aliases"), F.col("seq").alias("first_seq"))
 
@@ -405,20 +407,22 @@ def upsert_rules(old: DataFrame, new: DataFrame, key: Sequence[str] | str = ("us
     """
     k = _keys(key)
     both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)
-    g = both.groupBy(*k, F.lower("stt_output").alias("_ks"), F.lower("intended").alias("_ki")).agg(
-        F.min_by(F.struct("stt_output", "intended", "confidence", "source", "context_hint", "created_at"),
-                 F.struct("_new", "created_at", "seq")).alias("f"),
-        F.sum("occurrences").alias("occurrences"),
-        F.max("last_seen").alias("last_seen"),
-        F.sum("_new").alias("_n_new"),
-        (F.min("_new") == 0).alias("_has_old"))
+    keys = [*k, "_ks", "_ki"]
+    both = both.withColumn("_ks", F.lower("stt_output")).withColumn("_ki", F.lower("intended")) \
+        .withColumn("_at", F.coalesce("created_at", F.lit(0).cast("timestamp").cast(both.schema["created_at"].dataType)))
+    first = both
+    for order in ("_new", "_at", "seq"):  # stored before new, then the earliest
+        first = first_rows(first, keys, order)
+    sums = both.groupBy(*[F.col(c).alias(f"n{c}") for c in keys]).agg(
+        F.sum("occurrences").alias("_occurrences"), F.max("last_seen").alias("_last_seen"),
+        F.sum("_new").alias("_n_new"), (F.min("_new") == 0).alias("_has_old"))
+    g = first.join(sums, _same_keys(keys))
     extra = F.when(F.col("_has_old"), F.col("_n_new")).otherwise(F.col("_n_new") - 1)
-    conf = F.round(F.least(F.lit(1.0), F.col("f.confidence") + F.lit(0.1) * extra), 4)
-    src = F.when(F.col("_has_old"), F.col("f.source")).otherwise(F.lit(SOURCE_FEEDBACK))
-    return g.select(*k, F.col("f.stt_output").alias("stt_output"), F.col("f.intended").alias("intended"),
-                    F.col("occurrences").cast("int").alias("occurrences"), conf.alias("confidence"),
-                    src.alias("source"), F.col("f.context_hint").alias("context_hint"),
-                    F.col("f.created_at").alias("created_at"), "last_seen")
+    conf = F.round(F.least(F.lit(1.0), F.col("confidence") + F.lit(0.1) * extra), 4)
+    src = F.when(F.col("_has_old"), F.col("source")).otherwise(F.lit(SOURCE_FEEDBACK))
+    return g.select(*k, "stt_output", "intended", F.col("_occurrences").cast("int").alias("occurrences"),
+                    conf.alias("confidence"), src.alias("source"), "context_hint", "created_at",
+                    F.col("_last_seen").alias("last_seen"))
 
 
 # ------------------------------------------------------------------ G1

@@ -44,9 +44,9 @@ from pyspark.sql import functions as F
 
 from vocalis.llm.common import text_or_empty, with_columns_from_text
 
-SAMPLE_DOCS = 1500
-SAMPLE_SENTENCES = 200
-SENTENCE_CHARS = 400
+SAMPLE_DOCS = 800
+SAMPLE_SENTENCES = 100
+SENTENCE_CHARS = 300
 LANDMARKS = 128
 UNIT_CHARS = 24
 DECAY = 0.6
@@ -248,19 +248,30 @@ def fit(sentences: list[str], text_of: np.ndarray, toxic: np.ndarray, landmarks:
     norm = _norms()[length]
 
     # how much more often a subsequence is in toxic texts than in clean ones, in standard errors
-    codes = [(unit_at[at], code, w) for at, code, w in subsequences(kstream, kstart)]
-    cu, cc, cw = (np.concatenate(x) for x in zip(*[(u, c, np.full(len(u), w, np.float32)) for u, c, w in codes]))
+    found = [(unit_at[at].astype(np.int32), code, np.full(len(at), w, np.float32))
+             for at, code, w in subsequences(kstream, kstart)]
+    cu, cc, cw = (np.concatenate(x) for x in zip(*found))
+    del found
     seen, inv = np.unique(cc, return_inverse=True)
     order = np.argsort(cu, kind="stable")
-    cu, inv, cw = cu[order], inv[order], cw[order]
-    bounds = np.searchsorted(cu, np.arange(len(kinds) + 1))
-    reps = np.diff(bounds)[kind]
-    flat = np.repeat(bounds[:-1][kind] - np.concatenate([[0], np.cumsum(reps)[:-1]]), reps) + np.arange(reps.sum())
-    tc = _distinct(np.repeat(text, reps) * np.int64(len(seen)) + inv[flat])
-    label = toxic[tc // len(seen)]
+    inv, cw = inv[order].astype(np.int32), cw[order]
+    bounds = np.searchsorted(cu[order], np.arange(len(kinds) + 1))
+    cu = cu[order]
+    del cc, order
+
+    def places(ks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position in ``ks``, place in ``inv``) of all subsequences of some units."""
+        reps = np.diff(bounds)[ks]
+        first = bounds[:-1][ks] - np.concatenate([[0], np.cumsum(reps)[:-1]])
+        return np.repeat(np.arange(len(ks)), reps), np.repeat(first, reps) + np.arange(reps.sum())
+
+    count = np.zeros((2, len(seen)))
+    edge = np.searchsorted(text, np.arange(len(toxic) + 1))
+    for t, (i, j) in enumerate(zip(edge[:-1], edge[1:])):
+        if i < j:
+            count[toxic[t], _distinct(inv[places(kind[i:j])[1]])] += 1
     n1, n0 = toxic.sum(), (1 - toxic).sum()
-    f1 = np.bincount(tc % len(seen), weights=label, minlength=len(seen)) / n1
-    f0 = np.bincount(tc % len(seen), weights=1 - label, minlength=len(seen)) / n0
+    f1, f0 = count[1] / n1, count[0] / n0
     lift = (f1 - f0) / np.sqrt((f1 + 1 / n1) / n1 + (f0 + 1 / n0) / n0)
     score = np.bincount(cu, weights=lift[inv] * cw, minlength=len(kinds)) / norm
 
@@ -279,23 +290,20 @@ def fit(sentences: list[str], text_of: np.ndarray, toxic: np.ndarray, landmarks:
         if len(chosen) >= landmarks - landmarks // 2:
             break
     chosen = list(dict.fromkeys(chosen + [int(k) for k in common]))
-    marks = np.zeros((len(chosen), len(seen)), dtype=np.float32)
-    for j, k in enumerate(chosen):
-        np.add.at(marks[j], inv[bounds[k]:bounds[k + 1]], cw[bounds[k]:bounds[k + 1]] / norm[k])
-    used = np.flatnonzero(marks.any(axis=0))
-    slot = np.full(len(seen), -1, dtype=np.int64)
+    row, at = places(np.array(chosen))
+    used, column = np.unique(inv[at], return_inverse=True)
+    marks = np.zeros((len(chosen), len(used)), dtype=np.float32)
+    np.add.at(marks, (row, column), cw[at] / norm[np.array(chosen)][row])
+    slot = np.full(len(seen), -1, dtype=np.int32)
     slot[used] = np.arange(len(used))
-    marks = marks[:, used]
-
     columns = marks.T.copy()
 
     def kernel(ks: np.ndarray) -> np.ndarray:
         """Kernel of units against the landmarks, from the subsequences that some landmark has."""
         out = np.zeros((len(ks), len(chosen)), dtype=np.float32)
-        reps = np.diff(bounds)[ks]
-        flat = np.repeat(bounds[:-1][ks] - np.concatenate([[0], np.cumsum(reps)[:-1]]), reps) + np.arange(reps.sum())
-        row, s = np.repeat(np.arange(len(ks)), reps), slot[inv[flat]]
-        row, s, weight = row[s >= 0], s[s >= 0], cw[flat][s >= 0]
+        row, at = places(ks)
+        s = slot[inv[at]]
+        row, s, weight = row[s >= 0], s[s >= 0], cw[at][s >= 0]
         if len(row):
             first = np.flatnonzero(np.diff(np.concatenate([[-1], row])))
             out[row[first]] = np.add.reduceat(columns[s] * weight[:, None], first)

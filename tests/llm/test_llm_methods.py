@@ -248,12 +248,16 @@ def test_merkle_roots_and_sections(spark):
     assert row["d"] == [17 // merkle.SECTION] and row["same"] == [] and 0.8 < row["near"] < 1 and not row["equal"]
 
 
-def test_next_ids_over_partitions(spark):
+def test_next_documents_over_parts(spark):
     ids = [random.Random(2).randrange(10 ** 12) for _ in range(500)] + [-5, 0]
-    docs = spark.createDataFrame([(i, "t") for i in ids], "doc_id long, text string")
-    got = {r["owner"]: r["next_id"] for r in merkle.next_ids(docs).collect()}
+    rows = [(i, f"t{k}") for k, i in enumerate(ids)] + [(0, "a"), (0, "zz"), (None, "n")]
+    got = merkle.next_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     order = sorted(set(ids))
-    assert got == {x: order[k - 1] for k, x in enumerate(order)}
+    text = {i: min(t for j, t in rows if j == i) for i in order}
+    before = {x: order[k - 1] for k, x in enumerate(order)}
+    assert len(got) == len(rows)
+    for r in got:
+        assert r["next"] is None if r["doc_id"] is None else tuple(r["next"]) == (before[r["doc_id"]], text[before[r["doc_id"]]])
 
 
 # ------------------------------------------------------------------ op9

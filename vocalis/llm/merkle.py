@@ -14,15 +14,18 @@ document of a row is the one with the largest smaller ``doc_id``, of the
 smallest the one with the largest (itself when alone); of several rows with
 that id the smallest text counts; rows without ``doc_id`` have an empty next
 document; repeated rows are each reported; an empty table gives an empty
-result; other columns are ignored.
+result; doc_id is an integer; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vocalis.llm.common import let, materialize, text_or_empty
+from vocalis.llm.common import let, text_or_empty
 
 PIECE = 32
 SECTION = 8
@@ -78,50 +81,71 @@ def differing_sections(a: Column, b: Column) -> Column:
         F.transform(zs, lambda z, i: F.when(z["x"].eqNullSafe(z["y"]), F.lit(-1)).otherwise(i)), lambda i: i >= 0))
 
 
-def next_ids(docs: DataFrame) -> DataFrame:
-    """owner, next_id, owner_chars: for each distinct doc_id the next one downwards, the last wraps to the first.
+def _bounds(docs: DataFrame, parts: int) -> list[int]:
+    """Approximate quantiles of doc_id that cut the table into ``parts``: one number per part, read on the driver."""
+    shares = [k / parts for k in range(1, parts)]
+    return sorted(set(docs.agg(F.percentile_approx("doc_id", shares, 10_000)).first()[0] or [])) if shares else []
+
+
+def _part(doc_id: Column, bounds: list[int]) -> Column:
+    """How many bounds are not above ``doc_id``, by runs of about the square root of their number."""
+    if not bounds:
+        return F.lit(0)
+    width = math.isqrt(len(bounds)) + 1
+    runs = [bounds[k:k + width] for k in range(0, len(bounds), width)]
+
+    def upto(values: Column) -> Column:
+        return F.size(F.filter(values, lambda b: b <= doc_id))
+
+    run = upto(F.lit(np.array([r[0] for r in runs])))
+    return F.when(run == 0, 0).otherwise(
+        (run - 1) * width + upto(F.get(F.array(*[F.lit(np.array(r)) for r in runs]), run - 1)))
+
+
+def next_documents(docs: DataFrame) -> DataFrame:
+    """doc_id, text, next (doc_id, text) for every row: the document with the largest smaller doc_id.
 
-    Ids are range-partitioned and written with their partition; the order inside a partition comes from a
-    window per partition, the step across partitions from one row per partition.
+    Rows are cut into parts at quantiles of doc_id, and a text moves once, to its part.  Inside a part the next
+    document comes from a window; the first one of a part finds it in a table of one row per part, the last
+    document of each.
     """
-    ids = docs.where(F.col("doc_id").isNotNull()) \
-        .groupBy("doc_id").agg(F.max(F.char_length(text_or_empty())).alias("owner_chars"))
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = materialize(ids.repartitionByRange(n, "doc_id").withColumn("part", F.spark_partition_id()), "merkle-ids")
-    tops = placed.groupBy("part").agg(F.max("doc_id").alias("top"))  # one row per partition
+    n = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = F.col("doc_id").isNotNull()
+    part = F.when(known, _part(F.col("doc_id"), _bounds(docs.select("doc_id"), n))) \
+        .otherwise(-1 - F.pmod(F.xxhash64("text"), F.lit(n)).cast("int"))
+    rows = docs.select("doc_id", text_or_empty().alias("text")).select("doc_id", "text", part.alias("part"))
+
+    tops = rows.where(known).groupBy("part").agg(F.max("doc_id").alias("top"))
+    order = Window.orderBy("part")  # one row per part
     below = tops.select("part", F.coalesce(
-        F.lag("top").over(Window.orderBy("part")),
-        F.max("top").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-        .alias("below"))
-    inside = placed.withColumn("next_id", F.lag("doc_id").over(Window.partitionBy("part").orderBy("doc_id")))
-    return inside.join(F.broadcast(below), "part").select(
-        F.col("doc_id").alias("owner"), F.coalesce("next_id", "below").alias("next_id"), "owner_chars")
-
-
-def edited_pairs(docs: DataFrame) -> DataFrame:
-    """doc_id, text, next_head, next_fingerprint: every row with what it takes from the next document."""
-    texts = docs.select("doc_id", text_or_empty().alias("text"))
-    first = F.lag(F.lit(1)).over(Window.partitionBy("doc_id").orderBy("text")).isNull()
-    nexts = texts.where(F.col("doc_id").isNotNull()).withColumn("_first", first).where("_first") \
-        .join(next_ids(docs), F.col("doc_id") == F.col("next_id")) \
-        .select("owner", F.left("text", F.floor(F.col("owner_chars") / 3).cast("int")).alias("next_head"),
-                fingerprint(F.col("text")).alias("next_fingerprint"))
-    return texts.join(nexts, texts["doc_id"] == nexts["owner"], "left") \
-        .select("doc_id", "text", F.coalesce("next_head", F.lit("")).alias("next_head"),
-                F.coalesce("next_fingerprint", fingerprint(F.lit(""))).alias("next_fingerprint"))
-
-
-def edited_text(text: Column, next_head: Column) -> Column:
+        F.lag("top").over(order),
+        F.max("top").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("below"))
+    edges = rows.select(F.col("doc_id").alias("below"), "text") \
+        .join(F.broadcast(below), "below").groupBy("part", "below").agg(F.min("text").alias("text")) \
+        .select(F.col("part").alias("_part"), F.struct(F.col("below").alias("doc_id"), "text").alias("edge"))
+
+    inside = Window.partitionBy("part").orderBy("doc_id", "text")
+    marked = rows.withColumn("_first", F.coalesce(F.lag("doc_id").over(inside) != F.col("doc_id"), F.lit(True)))
+    before = F.last(F.when(F.col("_first"), F.struct("doc_id", "text")), ignorenulls=True)
+    marked = marked.withColumn("_before", before.over(inside.rowsBetween(Window.unboundedPreceding, -1)))
+    same = Window.partitionBy("part", "doc_id").orderBy("text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = marked.withColumn("_next", F.first("_before").over(same))  # repeated rows share the first one's
+    return marked.join(edges, F.col("part") == F.col("_part"), "left").select(
+        "doc_id", "text", F.when(known, F.coalesce("_next", "edge")).alias("next"))
+
+
+def edited_text(text: Column, next_text: Column) -> Column:
     """The last third (rounded down) of the code points replaced by the first as many of the next document."""
     cut = F.floor(F.char_length(text) / 3).cast("int")
-    return F.concat(F.left(text, F.char_length(text) - cut), F.left(next_head, cut))
+    return F.concat(F.left(text, F.char_length(text) - cut), F.left(next_text, cut))
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next for every row."""
-    pairs = edited_pairs(docs).select(
+    next_text = F.coalesce("next.text", F.lit(""))
+    pairs = next_documents(docs).select(
         "doc_id", F.char_length("text").cast("long").alias("n_chars"), fingerprint(F.col("text")).alias("fingerprint"),
-        edited_text(F.col("text"), F.col("next_head")).alias("edited"), "next_fingerprint")
+        edited_text(F.col("text"), next_text).alias("edited"), fingerprint(next_text).alias("next_fingerprint"))
     prints = pairs.select("doc_id", "n_chars", "edited", "fingerprint",
                           fingerprint(F.col("edited")).alias("edited_fingerprint"), "next_fingerprint")
     return prints.select("doc_id", "n_chars", "edited", "fingerprint", "edited_fingerprint",

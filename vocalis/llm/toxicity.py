@@ -22,7 +22,7 @@ broadcast; scoring is a streaming pass without shuffle over whole texts.
 
 Fit on a bounded sample: at most ``SAMPLE_DOCS`` labelled texts per class (those
 with the smallest hash), at most ``SAMPLE_SENTENCES`` sentences of each, at most
-``SENTENCE_CHARS`` code points per sentence; that is all the driver sees.
+``SENTENCE_CHARS`` code points per sentence, gathered in one task.
 
 Defined cases: null, empty or wordless text has no toxic word and gets the
 lowest score; null labels are ignored, of several labels the highest counts;
@@ -373,11 +373,23 @@ def training_sentences(docs: DataFrame, labels: DataFrame, trainable: Column, ma
 
 
 def train(docs: DataFrame, labels: DataFrame, trainable: Column) -> Model:
-    rows = training_sentences(docs, labels, trainable).collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["toxic"], r["sentences"]))
-    sentences = [s for r in rows for s in r["sentences"]]
-    text_of = np.repeat(np.arange(len(rows)), [len(r["sentences"]) for r in rows]).astype(np.int64)
-    return fit(sentences, text_of, np.array([r["toxic"] for r in rows], dtype=np.int64))
+    """Fit on the bounded sample, in one task; the driver sees the weights that are not zero."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r["doc_id"], r["toxic"], r["sentences"]) for batch in batches for r in batch.to_pylist())
+        text_of = np.repeat(np.arange(len(rows)), [len(r[2]) for r in rows]).astype(np.int64)
+        model = fit([s for r in rows for s in r[2]], text_of, np.array([r[1] for r in rows], dtype=np.int64))
+        code = np.flatnonzero(model.weights)
+        yield pa.RecordBatch.from_pydict({
+            "codes": [code.astype("<i4").tobytes()], "weights": [model.weights[code].astype("<f4").tobytes()],
+            "bias": [float(model.bias)], "slope": [float(model.slope)], "shift": [float(model.shift)]})
+
+    sample = training_sentences(docs, labels, trainable).repartition(1)
+    got = sample.mapInArrow(run, "codes binary, weights binary, bias double, slope double, shift double").first()
+    if got is None:  # no labelled row at all
+        return fit([], np.zeros(0, np.int64), np.zeros(0, np.int64))
+    weights = np.zeros(ALPHABET ** 4, dtype=np.float32)
+    weights[np.frombuffer(got["codes"], "<i4")] = np.frombuffer(got["weights"], "<f4")
+    return Model(weights, got["bias"], got["slope"], got["shift"])
 
 
 def score(docs: DataFrame, model: Model, *keep: str | Column) -> DataFrame:

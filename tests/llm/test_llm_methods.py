@@ -215,6 +215,36 @@ def test_copies_do_not_delete_each_other(spark):
     assert got[1].count("text") == 9 and got[2] == "\n".join(f"text {k}" for k in range(9)) and got[3] == "own"
 
 
+def test_heavy_templates_and_runs_of_copies(spark):
+    menu = "".join(f"<div>Menu {k}</div>" for k in range(20))
+
+    def page(k):
+        return f"<html><body>{menu}{''.join(f'<p>own {k} {i}</p>' for i in range(3))}<div>Rights</div></body></html>"
+
+    rows = [(k, f"http://h.example/a/{k:03}", page(k)) for k in range(12)]
+    rows += [(100 + k, f"http://h.example/a/005/{k}", page(5)) for k in range(7)]  # a run of copies
+    marked = "<div>Menu 1</div><main><p>Home &gt; news</p><p>story {0}</p><p>told {0}</p>{1}</main>"
+    rows += [(200 + k, f"http://m.example/{k:03}", marked.format(k, "<p>quoted</p>" if k in (3, 4) else "")) for k in range(9)]
+    got = {r["page_id"]: r["text"] for r in page_diff.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(12):
+        assert got[k] == "\n".join(f"own {k} {i}" for i in range(3))
+    assert {got[100 + k] for k in range(7)} == {got[5]}
+    for k in range(9):
+        assert got[200 + k] == f"story {k}\ntold {k}" + ("\nquoted" if k in (3, 4) else "")
+
+
+def test_alignment_in_halves(monkeypatch):
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        a, b = rng.integers(0, 5, rng.integers(0, 30)), rng.integers(0, 5, rng.integers(0, 30))
+        whole = page_diff.shared_lines(a, b).sum()
+        with monkeypatch.context() as m:
+            m.setattr(page_diff, "CELLS", 4)
+            got = page_diff.shared_lines(a, b)
+        rest = iter(b.tolist())
+        assert got.sum() == whole and all(x in rest for x in a[got].tolist())
+
+
 def test_containers():
     page = ("<header>top</header><div class='cookie-banner'>cookies</div><div id=sidebar>side</div><main><h1>T</h1><p>a <i>b</i>c"
             "<form>f</form><div class=\"comments\"><p>say</p></div><ul><li>x<li>y</ul><script>if (a<b) '</p>'</script></main>"

@@ -137,6 +137,25 @@ def test_ngram_join_equals_brute_force(spark, texts, block):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == {k: (len(s), want[k]) for k, s in sets.items()}
 
 
+def test_ngram_blocks_stay_small(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = []
+    for k in range(400):  # a template of 60 words and 10 or 11 of the text's own: no links
+        rows.append((k, " ".join([*(f"t{i}" for i in range(60)), *(f"own{k}x{i}" for i in range(10 + rng.randrange(2)))])))
+    seen = []
+    link = ngram_join._link_groups
+
+    def spy(members, *args):
+        seen.append(members.groupBy("hub", "block").count().agg(F.max("count")).first()[0])
+        return link(members, *args)
+
+    monkeypatch.setattr(ngram_join, "_link_groups", spy)
+    got = ngram_join.join_documents(spark.createDataFrame(rows, "doc_id long, text string"), 20).collect()
+    want = brute_components({k: shingles(t) for k, t in rows})
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+    assert len(seen) == 3 and max(seen) < 4 * 20  # two blocks dealt by hash
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.frozensets(st.integers(0, 25), min_size=1, max_size=20), min_size=2, max_size=14), st.integers(0, 3))
 def test_trie_equals_all_pairs(sets, seed):

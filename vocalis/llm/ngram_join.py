@@ -17,7 +17,7 @@ copies are never paired.
    rarest of its hubs as long as they hold under half of that number: then two
    linking sets still meet at one hub at least (``kept``).  Most copies of one text
    share one hub, so a class joins few groups however many shingles it shares.
-3. Prefix trees.  The sets of the grouped classes meet by hub, in blocks of at most
+3. Prefix trees.  The sets of the grouped classes meet by hub, in blocks of about
    ``BLOCK`` classes.  Each block's sets, in global order, form a trie; a set
    traverses it with shared partial overlaps and leaves a subtree as soon as
    the overlap so far and the lengths remaining cannot reach the threshold.
@@ -27,9 +27,11 @@ copies are never paired.
    small-star rounds over edge tables in the shared folder.
 
 Groups larger than a block are joined block-wise first, then through one
-set per component and block, and at last every set outside a group's largest
-component meets all blocks.  No link is lost, and a group of near copies, of
-which nearly all end in one component, costs in proportion to its size.
+set per component and block (again in blocks), and at last every block of sets
+outside a group's largest component meets every block of the group, a pair of
+blocks a task.  No link is lost, no task holds more than two blocks at once, and a
+group of near copies, of which nearly all end in one component, costs in
+proportion to its size.  Blocks are dealt by hash, so ``BLOCK`` is their mean.
 
 The sketch (``2 ** SKETCH_BITS`` counters, 4 MB) and the filter of wanted
 documents (``2 ** FILTER_BITS`` bits, 4 MB) are all that is broadcast; both are of
@@ -57,7 +59,7 @@ from vocalis.llm.common import materialize, text_or_empty
 WORDS = 5
 SKETCH_BITS = 20
 FILTER_BITS = 25
-#: Classes per trie at most.
+#: Classes per block (its mean at most); a trie holds two blocks at most.
 BLOCK = 4096
 #: Bytes of text hashed at once, shingles counted at once.
 TEXT_BYTES = 1 << 22
@@ -528,6 +530,18 @@ class Trie:
         return hit[hit != k]
 
 
+def connect_some(sets: list[np.ndarray], sketch: np.ndarray, asking: np.ndarray) -> np.ndarray:
+    """Component number of each set under the links that the sets ``asking`` have; each of them is probed."""
+    root = np.arange(len(sets))
+    if len(sets) > 1:
+        trie = Trie(sets, sketch)
+        for k in np.flatnonzero(asking).tolist():
+            joined = np.unique(root[np.append(trie.probe(k), k)])
+            if len(joined) > 1:
+                root[np.isin(root, joined)] = joined[0]
+    return root
+
+
 def connect(sets: list[np.ndarray], sketch: np.ndarray) -> np.ndarray:
     """Component number (its smallest index) of each set under links; equal to joining all linked pairs.
 
@@ -551,18 +565,23 @@ def connect(sets: list[np.ndarray], sketch: np.ndarray) -> np.ndarray:
 
 
 def _link_groups(members: DataFrame, sets: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """Edges (a, b) that connect the linked classes of each group; ``members`` has (hub, block, cls, rep)."""
+    """Edges (a, b) that connect the linked classes of each group; ``members`` has (hub, block, cls, rep).
+
+    With a column ``asking``, only links of the classes for which it holds.
+    """
+    some = "asking" in members.columns
     spark = members.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = spark.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, classes, own = None, [], []
+        key, classes, own, asks = None, [], [], []
 
         def edges() -> list[tuple[int, int]]:
             order = np.argsort(np.array(classes, dtype=np.int64).view(np.uint64), kind="stable")
             names = [classes[k] for k in order]
-            root = connect([own[k] for k in order], shared.value)
+            sets_ = [own[k] for k in order]
+            root = connect_some(sets_, shared.value, np.array(asks)[order]) if some else connect(sets_, shared.value)
             return [(names[k], names[r]) for k, r in enumerate(root.tolist()) if k != r]
 
         def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -570,19 +589,21 @@ def _link_groups(members: DataFrame, sets: DataFrame, sketch: np.ndarray) -> Dat
 
         for batch in batches:
             found: list[tuple[int, int]] = []
-            for hub, block, cls, blob in zip(*(batch.column(c).to_pylist() for c in ("hub", "block", "cls", "shingles"))):
+            for hub, block, cls, ask, blob in zip(*(batch.column(c).to_pylist() for c in columns)):
                 if (hub, block) != key:
                     if len(classes) > 1:
                         found.extend(edges())
-                    key, classes, own = (hub, block), [], []
+                    key, classes, own, asks = (hub, block), [], [], []
                 classes.append(cls)
+                asks.append(ask)
                 own.append(np.frombuffer(blob, "<u8"))
             if found:
                 yield out(found)
         if len(classes) > 1 and (found := edges()):
             yield out(found)
 
-    joined = members.join(sets, "rep").select("hub", "block", "cls", "shingles")
+    columns = ["hub", "block", "cls", "asking", "shingles"]
+    joined = (members if some else members.withColumn("asking", F.lit(True))).join(sets, "rep").select(*columns)
     return joined.repartition(parts, "hub", "block").sortWithinPartitions("hub", "block").mapInArrow(run, "a long, b long")
 
 
@@ -685,21 +706,26 @@ def _linked_edges(docs: DataFrame, described: DataFrame, sketch: np.ndarray, blo
         return large.join(components(e), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
 
     one = labelled(edges).groupBy("hub", "block", "root").agg(F.min(F.struct("cls", "rep")).alias("s")) \
-        .select("hub", F.pmod(F.xxhash64("root"), F.lit(8)).cast("int").alias("block"), "s.cls", "s.rep")
-    wide = Window.partitionBy("hub")
-    one = one.withColumn("block", F.when(F.count(F.lit(1)).over(wide) > block, F.col("block")).otherwise(F.lit(0)))
-    edges = materialize(edges.unionByName(_link_groups(one, sets, sketch)), "ngram-links")
+        .select("hub", "root", "s.cls", "s.rep")
+    ones = one.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / block).alias("ones"))
+    one = one.join(ones, "hub").withColumn("block", F.pmod(F.xxhash64("root"), "ones").cast("long"))
+    edges = materialize(edges.unionByName(_link_groups(one.select("hub", "block", "cls", "rep"), sets, sketch)), "ngram-links")
     now = materialize(labelled(edges), "ngram-labelled")
     counted = now.groupBy("hub", "root").agg(F.count(F.lit(1)).alias("many"))
-    main = counted.groupBy("hub").agg(F.max_by("root", F.struct("many", "root")).alias("main"))
-    marked = now.join(main, "hub")
-    outside = marked.where("root <> main")
-    if outside.limit(1).count() == 0:
+    main = counted.groupBy("hub").agg(
+        F.max_by("root", F.struct("many", "root")).alias("main"),
+        F.ceil((F.sum("many") - F.max("many")) / block).cast("long").alias("asked"))
+    marked = now.join(main.where("asked > 0"), "hub") \
+        .withColumn("asks", F.when(F.col("root") != F.col("main"), F.pmod(F.xxhash64("cls", F.lit(1)), "asked").cast("long")))
+    if marked.limit(1).count() == 0:
         return edges
-    spread = outside.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    inside = marked.where("root = main").join(outside.select("hub").distinct(), "hub", "left_semi")
-    last = inside.select("hub", "block", "cls", "rep").unionByName(spread.select("hub", "block", "cls", "rep"))
-    return materialize(edges.unionByName(_link_groups(last, sets, sketch)), "ngram-links")
+    # a task per block of sets outside and block of all sets
+    to_all = marked.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("asked") - 1))) \
+        .where(F.col("asks").isNull() | (F.col("asks") != F.col("k"))) \
+        .select("hub", (F.col("k") * F.col("blocks") + F.col("block")).alias("block"), "cls", "rep", F.lit(False).alias("asking"))
+    asking = marked.where("asks IS NOT NULL").withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+        .select("hub", (F.col("asks") * F.col("blocks") + F.col("k")).alias("block"), "cls", "rep", F.lit(True).alias("asking"))
+    return materialize(edges.unionByName(_link_groups(to_all.unionByName(asking), sets, sketch)), "ngram-links")
 
 
 def join_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:

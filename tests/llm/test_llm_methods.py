@@ -280,6 +280,16 @@ def test_language_id_held_out(spark, texts):
     assert len(rows) > 100 and sum(r["lang"] == r["lang_pred"] for r in rows) / len(rows) > 0.95
 
 
+def test_language_of_short_labelled_texts(spark):
+    rows = [("aa", f"alpha beta gamma {w}") for w in WORDS] + [("bb", f"uno dos tres {w}") for w in WORDS]
+    rows += [("cc", "long text " * 30)] + [("cc", f"short {w}") for w in WORDS] + [("dd", "x"), ("ee", "12 34")]
+    found = language_id.train(spark.createDataFrame(rows, "lang string, text string"))
+    assert list(found) == ["aa", "bb", "cc", "dd"] and b"long text" in found["cc"] and b"short" in found["cc"]
+    docs = spark.createDataFrame([(1, "beta gamma alpha"), (2, "dos tres uno")], "doc_id long, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(docs, found, "doc_id").collect()}
+    assert got == {1: "aa", 2: "bb"}
+
+
 def test_language_blocks_cover_whole_texts():
     comps = language_id.compressors({"aa": b"alpha beta gamma " * 50, "bb": b"uno dos tres cuatro " * 50})
     text = "alpha beta gamma " * 20 + "uno dos tres cuatro " * 2000

@@ -7,7 +7,8 @@ with the fewest bytes over all blocks wins.  Blocks keep the dictionary inside
 the compressor's window, so very long texts are judged whole and alike.
 
 Dictionaries come from a bounded sample: per language at most
-``SAMPLE_DOCS`` texts (those with the smallest hash) and ``SAMPLE_CHARS`` code
+``SAMPLE_DOCS`` texts (those with the smallest hash, of over ``SHORT`` code
+points first, shorter ones where these are too few) and ``SAMPLE_CHARS`` code
 points of each, so a dictionary has at most ``SAMPLE_DOCS * SAMPLE_CHARS`` code
 points; they are the only thing collected and broadcast, a few hundred KB per
 language.
@@ -32,6 +33,8 @@ from vocalis.llm.common import with_columns_from_text
 
 SAMPLE_DOCS = 160
 SAMPLE_CHARS = 800
+#: Texts of at most so many code points are sampled only where longer ones are too few.
+SHORT = 100
 BLOCK_BYTES = 8192
 LEVEL = 3
 MIN_MARGIN = 0.01
@@ -51,11 +54,12 @@ def normalised(text: str | None) -> str:
 def sample(labelled: DataFrame, docs: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> DataFrame:
     """(lang, text): per language the texts with the smallest hashes, cut to ``chars`` code points.
 
+    Texts of over ``SHORT`` code points go first and shorter ones fill up; texts without a letter say nothing.
     The ranking runs on (lang, hash, cut text); Spark keeps only ``docs`` rows per language and task before the shuffle.
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
-        "lang", F.xxhash64("text").alias("_h"), F.substring("text", 1, chars).alias("text")).where(F.length("text") > 100)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_h", "text"))
+        "lang", F.xxhash64("text").alias("_h"), F.substring("text", 1, chars).alias("text")).where(F.col("text").rlike(r"\p{L}"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.length("text") <= SHORT, "_h", "text"))
     return rows.withColumn("_k", rank).where(F.col("_k") <= docs).select("lang", "_h", "text")
 
 

@@ -405,6 +405,23 @@ def test_ids_of_documents_and_long_texts(encoder, reference_ids, texts, monkeypa
     assert split_ids(encoder, strings[:30]) == want[:30]
 
 
+def test_added_tokens_get_their_ids(spark, monkeypatch):
+    from tokenizers import Tokenizer
+
+    end = "<|endoftext|>"
+    strings = [f"a {end} b", end, f"{end}{end}x", f"word  {end}", f"{end}\n next", f"it{end}'s", "plain text", "", "<|endoftext|", f" {end} "]
+    path = queries.tokenizer_path()
+    whole = Tokenizer.from_file(path)
+    want = [e.ids for e in whole.encode_batch(strings, add_special_tokens=False)]
+    assert want[0] == [64, 220, 50256, 275]
+    enc = packing.Encoder(packing.byte_ranks(path), packing.added_ids(path))
+    assert split_ids(enc, strings) == want
+    rows = packing.pack(spark.createDataFrame(list(enumerate(strings)), "doc_id long, text string").coalesce(1), path).collect()
+    check_pieces(rows, dict(enumerate(strings)), lambda texts: [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)])
+    monkeypatch.setattr(packing, "TEXT_BLOCK", 8)
+    assert split_ids(enc, strings) == want
+
+
 def test_best_cuts_equal_all_ways():
     rng = random.Random(1)
     for _ in range(200):

@@ -19,7 +19,8 @@ Tokenizing.  The byte-level vocabulary is read from the public tokenizer file.
 A block's text is split into the vocabulary's pre-tokens with array operations
 over Unicode classes; each distinct pre-token is encoded once and remembered in
 a direct-mapped table by its 64-bit hash, so a worker's memory stays bounded.
-Special-token strings in a text are ordinary text.
+The file's added tokens (such as its end-of-text string) are split off first and get
+their ids, as the tokenizer does.
 
 Defined cases: null or empty text gives the end id alone; texts longer than a
 block are tokenized in parts, cut where white space begins, which changes no id;
@@ -30,6 +31,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 import zlib
 from collections import deque
@@ -74,12 +76,24 @@ def byte_ranks(path: str) -> dict[bytes, int]:
     return {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
 
 
+def added_ids(path: str) -> dict[str, int]:
+    """String -> id of a vocabulary file's added tokens; they are found anywhere in a text, just as they stand."""
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f).get("added_tokens", [])
+    if any(t.get(flag) for t in tokens for flag in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("added tokens that depend on their neighbours are not supported")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 class Encoder:
     """Ids of whole texts, with a bounded memory of pre-tokens."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], added: dict[str, int] | None = None):
         import tiktoken
 
+        self._added = added or {}
+        self._split = re.compile("|".join(map(re.escape, sorted(self._added, key=len, reverse=True))))
+
         self._bpe = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self._classes = np.full(0x110000, _OTHER, dtype=np.uint8)
         for cp in range(0x110000):
@@ -93,7 +107,7 @@ class Encoder:
         n = TEXT_BLOCK + 1
         self._base, self._inverse = base, pow(base, -1, 1 << 64)
         self._powers, self._back = self._series(base, n), self._series(self._inverse, n)
-        self.ends_sentence = np.zeros(max(ranks.values()) + 1, dtype=bool)
+        self.ends_sentence = np.zeros(max(*ranks.values(), *self._added.values()) + 1, dtype=bool)
         for token, i in ranks.items():
             tail = token.rstrip(b"\"')]")
             self.ends_sentence[i] = tail.endswith((b".", b"!", b"?", b"\n"))
@@ -194,7 +208,30 @@ class Encoder:
         return ids, np.diff(np.concatenate([[0], total[np.searchsorted(start, ends)]]))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids one after the other, number of ids of each text)."""
+        """(all ids one after the other, number of ids of each text); added tokens are split off first."""
+        if not any(token in text for token in self._added for text in texts):
+            return self._ordinary(texts)
+        pieces, owner, closing = [], [], []  # closing: the added token's id after a piece, -1 at a text's end
+        for k, text in enumerate(texts):
+            at = 0
+            for m in self._split.finditer(text):
+                pieces.append(text[at:m.start()])
+                closing.append(self._added[m.group()])
+                owner.append(k)
+                at = m.end()
+            pieces.append(text[at:])
+            closing.append(-1)
+            owner.append(k)
+        ids, n = self._ordinary(pieces)
+        closing = np.array(closing)
+        held = closing >= 0
+        ids = np.insert(ids, np.cumsum(n)[held], closing[held].astype(ids.dtype))
+        counts = np.zeros(len(texts), dtype=np.int64)
+        np.add.at(counts, owner, n + held)
+        return ids, counts
+
+    def _ordinary(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts without added tokens."""
         parts, counts = [], []
         i = 0
         while i < len(texts):
@@ -332,6 +369,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     rows = docs.select("doc_id", text_or_empty().alias("text"))
     ranks = docs.sparkSession.sparkContext.broadcast(byte_ranks(tokenizer_path))  # one vocabulary
+    added = added_ids(tokenizer_path)
     schema = (f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, start long, length long, ids_crc32 long, "
               "doc_tokens long, sequence_id long, offset long")
 
@@ -339,7 +377,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
     names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder(ranks.value)
+        enc = Encoder(ranks.value, added)
         packer = Packer(enc.ends_sentence, TaskContext.get().partitionId() << 32, window)
         end = np.array([end_id], dtype=np.uint16)
 

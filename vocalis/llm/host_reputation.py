@@ -9,6 +9,10 @@ correlation of the children around their parents), so a level whose children
 agree shrinks strongly and one whose children differ hardly at all.  A host is
 blocked when the lower posterior bound of its bad rate exceeds ``cutoff``.
 
+The suffix is the host's last label and the registered domain its last two,
+whatever the suffix: hosts under co.uk or github.io share one registered domain, and
+a port stays part of the last label.
+
 Only per-host counts are shuffled before the final join on the host; a host
 with a third of all pages is one partial row per map task, and its join
 partition is split by the adaptive skew join.

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vocalis.llm import (
+    collocations,
+    cover_tree_codes,
     decontaminate,
     host_reputation,
     language_id,
@@ -18,6 +20,7 @@ from vocalis.llm import (
     page_diff,
     preference,
     secret_index,
+    token_frames,
     toxicity,
 )
 from vocalis.llm.common import ready, table
@@ -308,3 +311,88 @@ def tokenizer_path() -> str:
 @register("op10_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+# ------------------------------------------------------------------ op11
+def _lloyd_sql() -> str:
+    """Plain Lloyd rounds in SQL: an assignment of every part to every entry, then floored means."""
+    parts, entries = cover_tree_codes.PARTS, cover_tree_codes.ENTRIES
+    ctes = [f"""
+kept AS (SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * {cover_tree_codes.SCALE}) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+    AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT rid, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS c FROM kept, range({parts}) t(p)),
+book0 AS MATERIALIZED (SELECT p, k - 1 AS k, c FROM parts JOIN (
+  SELECT rid, row_number() OVER (ORDER BY vec_id, v) AS k FROM kept) f ON parts.rid = f.rid AND k <= {entries})"""]
+    near = """
+near{0} AS MATERIALIZED (SELECT rid, p, min((d, k)) AS best FROM (
+  SELECT rid, a.p, k, list_sum(list_transform(list_zip(a.c, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+  FROM parts a JOIN book{0} b ON a.p = b.p) x GROUP BY rid, p)"""
+    for r in range(cover_tree_codes.ROUNDS):
+        ctes.append(near.format(r))
+        ctes.append(f"""
+book{r + 1} AS MATERIALIZED (SELECT b.p, b.k, coalesce(m.c, b.c) AS c FROM book{r} b LEFT JOIN (
+  SELECT p, k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS c FROM (
+    SELECT a.p, best[2] AS k, j, sum(a.c[j]) AS s, count(*) AS n
+    FROM near{r} a0 JOIN parts a ON a0.rid = a.rid AND a0.p = a.p, range(1, len(a.c) + 1) t(j) GROUP BY ALL) y
+  GROUP BY p, k) m ON b.p = m.p AND b.k = m.k)""")
+    last = cover_tree_codes.ROUNDS
+    ctes.append(near.format(last))
+    return f"""
+WITH {",".join(ctes)},
+coded AS (SELECT rid, string_agg(printf('%02x', best[2]), '' ORDER BY p) AS code, CAST(sum(best[1]) AS BIGINT) AS error
+  FROM near{last} GROUP BY rid),
+digest AS (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, k, j)) AS d
+  FROM (SELECT p, k, unnest(c) AS x, unnest(range(len(c))) AS j FROM book{last}) z)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT d FROM digest) AS codebooks_sha256
+FROM kept JOIN coded ON kept.rid = coded.rid
+"""
+
+
+@register("op11_cover_tree_codes", _lloyd_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+# ------------------------------------------------------------------ op12
+def word_tokenizer_path() -> str:
+    """The public word vocabulary; read on the driver."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register("op12_token_frames")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_frames.store_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), word_tokenizer_path())
+
+
+# ------------------------------------------------------------------ op13
+_N = collocations.DEPTH
+_OP13_SQL = f"""
+WITH pieces AS (SELECT coalesce(lang, '{collocations.NO_LANGUAGE}') AS lang,
+    unnest(string_split_regex({_lower("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+n AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+f AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS a FROM (
+  SELECT lang, size, unnest(list_transform(range(1, len(ws) - size + 2), lambda i: array_to_string(ws[i:i + size - 1], ' '))) AS phrase
+  FROM w, range(1, {_N + 1}) s(size)) x GROUP BY ALL HAVING count(*) >= {collocations.MIN_COUNT}),
+cuts AS (SELECT lang, size, phrase, a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS head,
+    array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS tail
+  FROM f, range(1, {_N}) t(k) WHERE k < size),
+scored AS (SELECT c.lang, c.size, c.phrase, c.a, min(({collocations.SCALE}::HUGEINT * c.a // (h.a + t.a), k, h.a, t.a)) AS cut
+  FROM cuts c JOIN f h ON c.lang = h.lang AND c.head = h.phrase JOIN f t ON c.lang = t.lang AND c.tail = t.phrase GROUP BY ALL),
+longer AS (SELECT lang, array_to_string(string_split(phrase, ' ')[i:i + s - 1], ' ') AS phrase, max(a) AS outer_a
+  FROM f, range(2, {_N}) t(s), range(1, {_N}) u(i) WHERE s < size AND i + s - 1 <= size GROUP BY ALL),
+kept AS (SELECT s.lang, s.phrase, a, cut[3] AS l, cut[4] AS r, CAST(cut[1] AS BIGINT) AS score
+  FROM scored s LEFT JOIN longer g ON s.lang = g.lang AND s.phrase = g.phrase
+  WHERE outer_a IS NULL OR 100::HUGEINT * outer_a < {collocations.INSIDE_PERCENT}::HUGEINT * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n ON ranked.lang = n.lang WHERE rank <= {collocations.TOP}
+"""
+
+
+@register("op13_collocations", _OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))

@@ -163,3 +163,79 @@ def test_rendered_rules_are_sorted(spark):
                                 f"name string, speaker_id string, corrections array<{rule}>, "
                                 "vocabulary array<struct<term:string,aliases:array<string>>>, style struct<preferred_spelling:string>")
     assert K.render_rules(doc).first().corrections_table.endswith("| y | 2 |\n| x | 1 |")
+
+
+def test_rules_too_many_to_share(spark, monkeypatch):
+    """Texts and rules meeting by user, a busy user in several groups, give the shared result."""
+    from vocalis.operators import rule_matching as M
+    rules = spark.createDataFrame([("u", "a b", "c", 0.9, 1), ("u", "c", "d e", 0.8, 2), ("v", "É", "x", 0.5, 3), ("w", " ", "y", 0.5, 4),
+                                   ("u", "zz", None, 0.4, 5)], RULES)
+    texts = spark.createDataFrame([("u", "A  b c"), ("v", "é a b"), (None, "a b"), ("w", "a"), ("u", None), ("z", "a b")] + [("u", "a b")] * 50,
+                                  "username string, model_output string")
+    want = sorted(map(str, K.apply_rules(texts, rules).collect()))
+    assert str(want).count("corrected='d e d e'") == 1 and str(want).count("corrected='d e'") == 50 and "corrected='x a b'" in str(want)
+    monkeypatch.setattr(M, "MAX_SHARED_RULES", 1)
+    monkeypatch.setattr(M, "GROUP_TEXTS", 7)
+    assert sorted(map(str, K.apply_rules(texts, rules).collect())) == want
+    assert K.apply_rules(texts.limit(0), rules).count() == 0 and K.apply_rules(texts, rules.limit(0)).count() == len(want)
+
+
+def test_trie_equals_one_rule_after_the_other():
+    import random
+    import re
+    from vocalis.operators.rule_matching import RuleTrie
+    rng = random.Random(5)
+    for _ in range(400):
+        words = ["a", "B", "c", "É", "ß", "aa"]
+        rules = [(" ".join(rng.choices(words, k=rng.randint(1, 3))), " ".join(rng.choices([*words, "q", ""], k=rng.randint(1, 3))))
+                 for _ in range(rng.randint(0, 8))]
+        text = "".join(rng.choice([*words, "A", "b", "é"]) + rng.choice([" ", "  ", "\t", "\n "]) for _ in range(rng.randint(0, 14)))
+        want = text
+        for phrase, new in rules:
+            pattern = r"[ \t\n\x0b\f\r]+".join(map(re.escape, phrase.split()))
+            want = re.sub(r"(?i)(?<![^ \t\n\x0b\f\r])" + pattern + r"(?![^ \t\n\x0b\f\r])", lambda m: new, want)
+        assert RuleTrie(rules).apply(text) == want, (rules, text)
+
+
+def test_mined_phrases_and_hints(spark):
+    pairs = spark.createDataFrame([
+        ("u", "deploy the new micro surface to the cube netties cluster and make it so", "deploy the new microservice to the kubernetes cluster and make it so"),
+        ("u", "to day we ship", "today we ship"), ("u", "the alot of work", "the a lot of work"),
+        ("u", "one two three", "one too tree"), ("v", "cube netties", "kubernetes"), ("v", None, "x"), ("v", "x", None)],
+        "username string, model_output string, correct_transcription string")
+    out = {(r.username, r.stt_output, r.intended): r for r in K.mine_corrections(pairs).collect()}
+    assert set(out) == {("u", "micro surface", "microservice"), ("u", "cube netties", "kubernetes"), ("u", "to day", "today"),
+                        ("u", "alot", "a lot"), ("u", "two", "too"), ("u", "three", "tree"), ("v", "cube netties", "kubernetes")}
+    assert out["u", "cube netties", "kubernetes"].context_hint == "...surface to the [cube netties → kubernetes] cluster and make..."
+    assert out["u", "to day", "today"].context_hint == "... [to day → today] we ship..."
+    assert out["u", "two", "too"].frequency == "low"
+
+
+def test_cuts_of_changed_runs_are_cheapest():
+    """The segment table against all ways to cut both sides."""
+    import random
+    from vocalis.operators.alignment import cut_run
+    from vocalis.operators.diagonals import matrix_path
+    import numpy as np
+
+    def price(ref, hyp):
+        a, b = (np.array([ord(c) for c in "".join(x)], dtype=int) for x in (ref, hyp))
+        return 2 * sum(op != "hit" for op, _, _ in matrix_path(a, b)) + len(ref) + len(hyp) - 2
+
+    def cheapest(ref, hyp):
+        if not ref and not hyp:
+            return 0
+        ways = [price(ref[:x], hyp[:y]) + cheapest(ref[x:], hyp[y:]) for x in range(1, min(4, len(ref)) + 1) for y in range(1, min(4, len(hyp)) + 1)]
+        ways += [2 * len(ref[0]) + 2 + cheapest(ref[1:], hyp)] if ref else []
+        ways += [2 * len(hyp[0]) + 2 + cheapest(ref, hyp[1:])] if hyp else []
+        return min(ways)
+
+    rng = random.Random(9)
+    for _ in range(120):
+        ref, hyp = (["".join(rng.choices("ab", k=rng.randint(1, 4))) for _ in range(rng.randint(0, 4))] for _ in range(2))
+        cuts = cut_run(ref, hyp)
+        used_r = {k for a, b, _, _ in cuts for k in range(a, b)}
+        used_h = {k for _, _, c, d in cuts for k in range(c, d)}
+        total = sum(price(ref[a:b], hyp[c:d]) for a, b, c, d in cuts) + sum(
+            2 * len(t) + 2 for side, used in ((ref, used_r), (hyp, used_h)) for k, t in enumerate(side) if k not in used)
+        assert total == cheapest(ref, hyp)

@@ -192,3 +192,41 @@ def test_alignment_path_is_canonical():
 def test_strip_fences_leading_whitespace(spark):
     df = spark.createDataFrame([("\n  ```json\n{}\n```",), ("\n {} ",)], "t string")
     assert [r[0] for r in df.select(T.strip_fences("t")).collect()] == ["{}", "{}"]
+
+
+def test_reaches_equal_the_matrix(monkeypatch):
+    """Lists, arrays and bit rows of any block size give the matrix's distance and path."""
+    from vocalis.operators import diagonals as D
+    rng = np.random.default_rng(4)
+    for lists, bits in ((0, 5), (3, 16), (48, 1 << 14)):
+        monkeypatch.setattr(D, "LIST_ERRORS", lists)
+        monkeypatch.setattr(D, "BIT_BLOCK", bits)
+        for _ in range(300):
+            a, b = (rng.integers(0, rng.integers(1, 7), rng.integers(0, 40)).tolist() for _ in range(2))
+            want = D.matrix_path(np.array(a, dtype=int), np.array(b, dtype=int))
+            errors = sum(op != "hit" for op, _, _ in want)
+            assert D.align(a, b) == want
+            assert D.distance(a, b) == D.bit_distance(a, b) == errors
+            assert len(D.reaches(a, b)) - 1 == errors and D.reaches(a, b, errors - 1) is None
+
+
+def test_long_texts_of_many_and_few_errors():
+    from vocalis.operators import diagonals as D
+    rng = random.Random(6)
+    a = [f"w{rng.randrange(500)}" for _ in range(3000)]
+    for share in (0.002, 0.3, 1.0):
+        b = [t if rng.random() > share else "x" for t in a if rng.random() > share / 3]
+        ops = D.align(a, b)
+        assert D.distance(a, b) == D.bit_distance(a, b) == sum(op != "hit" for op, _, _ in ops)
+        assert [h for op, i, j in ops for h in ([] if j is None else [b[j]])] == b
+        assert sum(op != "ins" for op, _, _ in ops) == len(a)
+    assert len(D.reaches(a, a[:1500] + ["x"] + a[1500:])) == 2
+
+
+def test_document_errors_defined_cases(spark):
+    from vocalis.operators.alignment import document_errors
+    rows = [(1, "a b c", "a x c"), (2, "", "z z"), (3, "A  b", "a b"), (4, None, "a"), (5, "a b", None)]
+    df = spark.createDataFrame(rows, "pair_id long, correct_transcription string, model_output string")
+    got = {r.pair_id: (r.ref_words, r.errors, r.wer) for r in document_errors(df).collect()}
+    assert got[1] == (3, 1, 0.3333) and got[2] == (0, 2, 0.0) and got[3] == (2, 0, 0.0) and got[5][1] == 2
+    assert document_errors(df.limit(0)).count() == 0

@@ -262,19 +262,6 @@ def attach_profile(requests: DataFrame, mapping: DataFrame, profiles: DataFrame,
 
 
 # ------------------------------------------------------------------ J3
-def _regex_quote(c: Column) -> Column:
-    return F.regexp_replace(c, r"([\\.^$|?*+()\[\]{}])", r"\\$1")
-
-
-def _replacement_quote(c: Column) -> Column:
-    return F.regexp_replace(c, r"([\\$])", r"\\$1")
-
-
-def _folded(c: Column) -> Column:
-    """Case folding for the cheap test before a rule's expression runs."""
-    return F.lower(F.upper(c))
-
-
 def apply_rules(texts: DataFrame, rules: DataFrame, text_col: str = "model_output",
                 key: str = "username", out_col: str = "corrected") -> DataFrame:
     """Apply a speaker's rules to raw text, highest confidence first.
@@ -283,21 +270,11 @@ def apply_rules(texts: DataFrame, rules: DataFrame, text_col: str = "model_outpu
     descending, then first seen), each on what the earlier ones left, so
     replacements chain.  A rule replaces its phrase, in any letter case,
     where it stands between whitespace or the text's ends; blanks inside a
-    phrase match any whitespace.  A rule whose first word is not in the text
-    is passed over without running its expression.  Rules are grouped per
-    user and joined on the user key (never crossed with all texts).
+    phrase match any whitespace; a blank phrase matches nothing.  A user's
+    rules are one token trie, built once per task (``rule_matching.py``).
     """
-    per_user = rules.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(
-        (-F.col("confidence")).alias("_o1"), F.col("first_seq").alias("_o2"),
-        _folded(F.substring_index("stt_output", " ", 1)).alias("first"),
-        F.concat(F.lit("(?iu)(?<=^|\\s)"), F.regexp_replace(_regex_quote(F.col("stt_output")), " +", r"\\s+"),
-                 F.lit("(?=\\s|$)")).alias("pat"),
-        _replacement_quote(F.col("intended")).alias("rep")))).alias("_rules"))
-    j = texts.join(per_user, key, "left")
-    text = F.col(text_col)
-    fold = F.aggregate(F.col("_rules"), text, lambda acc, r: F.when(
-        F.contains(_folded(acc), r["first"]), F.regexp_replace(acc, r["pat"], r["rep"])).otherwise(acc))
-    return j.withColumn(out_col, F.when(F.col("_rules").isNull(), text).otherwise(fold)).drop("_rules")
+    from vocalis.operators.rule_matching import apply_tries
+    return apply_tries(texts, rules, text_col, key, out_col)
 
 
 def profile_rules(profiles: DataFrame, key: str = "name") -> DataFrame:
@@ -434,20 +411,19 @@ def grade(count: Column) -> Column:
     return F.when(count >= GRADE_HIGH, F.lit("high")).when(count >= GRADE_MEDIUM, F.lit("medium")).otherwise(F.lit("low"))
 
 
-def substitutions(pairs: DataFrame, key: str = "username", ref: str = "correct_transcription",
-                  hyp: str = "model_output", partitions: int | None = None) -> DataFrame:
-    """Token substitutions (key, hyp_tok, ref_tok) of every pair, from the F3
-    alignment."""
-    from vocalis.operators.alignment import align_tokens
-    t = pairs.select(key, tokenize(ref).alias("_r"), tokenize(hyp).alias("_h"))
-    return align_tokens(t, [key], partitions).filter(F.col("op") == "sub").select(key, "hyp_tok", "ref_tok")
-
+def mine_corrections(pairs: DataFrame, min_count: int = 1, key: str = "username", ref: str = "correct_transcription",
+                     hyp: str = "model_output", partitions: int | None = None) -> DataFrame:
+    """G1: recurring corrections per user, graded by count, in the
+    extraction ``corrections`` shape so they feed ``dedupe_rules``.
 
-def mine_corrections(pairs: DataFrame, min_count: int = 1, key: str = "username", **kw) -> DataFrame:
-    """G1: recurring substitutions per user, graded by count, in the
-    extraction ``corrections`` shape so they feed ``dedupe_rules``."""
-    subs = substitutions(pairs, key=key, **kw)
-    g = subs.groupBy(key, "hyp_tok", "ref_tok").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count)
-    return g.select(key, F.col("hyp_tok").alias("stt_output"), F.col("ref_tok").alias("intended"),
-                    grade(F.col("n")).alias("frequency"), F.col("n").alias("count"),
-                    F.concat(F.lit("seen "), F.col("n").cast("string"), F.lit(" times")).alias("explanation"))
+    A correction is a phrase pair: runs of changed words of the F3 alignment,
+    cut so that words split, joined or misheard together stay together.
+    ``context_hint`` shows it between the words around it (of several
+    occurrences the smallest one).
+    """
+    from vocalis.operators.alignment import phrase_pairs
+    t = pairs.select(key, tokenize(ref).alias("_r"), tokenize(hyp).alias("_h"))
+    g = phrase_pairs(t, key, partitions).groupBy(key, "stt_output", "intended").agg(
+        F.sum("n").alias("n"), F.min("hint").alias("context_hint")).filter(F.col("n") >= min_count)
+    return g.select(key, "stt_output", "intended", grade(F.col("n")).alias("frequency"), F.col("n").alias("count"),
+                    F.concat(F.lit("seen "), F.col("n").cast("string"), F.lit(" times")).alias("explanation"), "context_hint")

@@ -341,6 +341,66 @@ def rule_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 RULE_TEXTS_SQL = "SELECT " + ", ".join(_RTEXT_COLS) + " FROM events"
 
 
+# ---------------------------------------------------------------- phrase rules
+#: Rules over several words, before and after the mined one-word rules: each user's event types and terms, as
+#: (columns to take distinct, phrase, replacement, confidence).  Later ones meet what earlier ones wrote.
+_PHRASE_RULES = [
+    ("event_type", "concat('then ', event_type, ' and')", "concat('so ', event_type)", 1.5),
+    ("event_type", "concat('SO ', event_type)", "concat('ÉT ', event_type)", 1.2),
+    ("user_id % 7", "concat('the term', cast(user_id % 7 AS string))", "concat('THE T', cast(user_id % 7 AS string), ' the')", 0.01),
+    ("user_id % 7", "'the ét'", "'fin'", 0.005),
+]
+
+
+def _phrase_rules_sql() -> str:
+    return " UNION ALL ".join(
+        f"SELECT concat('user_', cast(user_id % 20 AS string)) AS username, {phrase} AS stt_output, {new} AS intended, "
+        f"cast({conf} AS double) AS confidence, min(event_id) AS first_seq FROM events GROUP BY user_id % 20, {group}, {phrase}, {new}"
+        for group, phrase, new, conf in _PHRASE_RULES)
+
+
+PHRASE_RULES_SQL = _phrase_rules_sql()
+
+
+def phrase_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules of two and three words that chain with the one-word rules."""
+    return spark.sql(PHRASE_RULES_SQL.replace("FROM events", "FROM {events}"), events=table(spark, sf_dir, "events"))
+
+
+# ---------------------------------------------------------------- pairs with split and joined words
+def split_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of unequal lengths.  The reference's i-th token is the first letter of a turn's i-th word, x and i; of 24
+    tokens the hypothesis splits the 5th in two, joins the 11th and 12th and appends an ``s`` to the 18th."""
+    conv = table(spark, sf_dir, "conversations")
+    r = F.transform(F.filter(F.split(F.lower("text"), WS_RUN), lambda x: x != ""),
+                    lambda w, i: F.concat(F.substring(w, 1, 1), F.lit("x"), (i + 1).cast("string")))
+    hyp = F.expr("""filter(transform(r, (t, i) -> CASE (i + 1) % 24 WHEN 5 THEN concat(substr(t, 1, 2), ' ', substr(t, 3))
+        WHEN 11 THEN concat(t, coalesce(get(r, i + 1), '')) WHEN 12 THEN NULL WHEN 18 THEN concat(t, 's') ELSE t END), t -> t IS NOT NULL)""")
+    return conv.select("conv_id", "turn", r.alias("r")).select(
+        F.concat(F.lit("user_"), (F.col("conv_id") % 20).cast("string")).alias("username"),
+        F.array_join(hyp, " ").alias("model_output"), F.array_join("r", " ").alias("correct_transcription"))
+
+
+#: One row per changed place of ``split_pairs``: username, wrong, right, words before and after.
+SPLIT_CHANGES_SQL = f"""SELECT username, wrong, right_, array_to_string(h[greatest(p - 3, 1):p - 1], ' ') AS before_,
+    array_to_string(h[p + n:p + n + 2], ' ') AS after_
+  FROM (SELECT *, string_split(string_agg(piece, ' ') OVER (PARTITION BY conv_id, turn ORDER BY i
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), ' ') AS h,
+          1 + coalesce(sum(n) OVER (PARTITION BY conv_id, turn ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS p
+        FROM (SELECT conv_id, turn, i, concat('user_', cast(conv_id % 20 AS string)) AS username,
+                CASE i % 24 WHEN 5 THEN concat(substr(t, 1, 2), ' ', substr(t, 3)) WHEN 11 THEN concat(t, coalesce(nxt, ''))
+                  WHEN 12 THEN NULL WHEN 18 THEN concat(t, 's') ELSE t END AS piece,
+                CASE i % 24 WHEN 5 THEN 2 WHEN 12 THEN 0 ELSE 1 END AS n,
+                CASE i % 24 WHEN 5 THEN concat(substr(t, 1, 2), ' ', substr(t, 3)) WHEN 11 THEN concat(t, nxt) WHEN 18 THEN concat(t, 's') END AS wrong,
+                CASE i % 24 WHEN 11 THEN concat(t, ' ', nxt) ELSE t END AS right_, nxt
+              FROM (SELECT *, lead(t) OVER (PARTITION BY conv_id, turn ORDER BY i) AS nxt
+                    FROM (SELECT conv_id, turn, unnest(range(1, len(w) + 1)) AS i,
+                            unnest(list_transform(w, lambda x, k: concat(substr(x, 1, 1), 'x', k))) AS t
+                          FROM (SELECT conv_id, turn, list_filter(regexp_split_to_array(lower(text), '{DUCK_WS_RUN}'), lambda x: x <> '') AS w
+                                FROM conversations))))) x
+  WHERE i % 24 IN (5, 18) OR (i % 24 = 11 AND nxt IS NOT NULL)"""
+
+
 # ---------------------------------------------------------------- long-document pairs
 def document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents (up to ~20,000 words) as reference; the hypothesis

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vocalis.functions.formatting import freq_to_confidence
 from vocalis.operators import kb as K
+from vocalis.plans import clips as C
 from vocalis.plans import fixtures as X
 from vocalis.plans.catalog import register, with_cte
 from vocalis.plans.text_queries import duck_strip, duck_tokens
@@ -210,28 +211,32 @@ def q_read_profiles(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ J3
+# the rules one after the other on text whose blanks are doubled, so that every word has its own
 @register("apply_rules", with_cte(
-    "SELECT t.text_id, t.username, t.model_output, "
-    "(SELECT string_agg(coalesce(b.intended, w.tok), ' ' ORDER BY w.pos) FROM "
-    " (SELECT unnest(string_split(t.model_output, ' ')) AS tok, unnest(range(len(string_split(t.model_output, ' ')))) AS pos) w "
-    " LEFT JOIN best b ON b.username = t.username AND b.k = lower(w.tok)) AS corrected FROM texts t",
-    rules_raw=X.RULES_RAW_SQL, rules=DEDUPE_RULES_SQL, texts=X.RULE_TEXTS_SQL,
-    best="SELECT username, k, intended FROM (SELECT username, lower(stt_output) AS k, intended, row_number() OVER "
-         "(PARTITION BY username, lower(stt_output) ORDER BY confidence DESC, first_seq) AS rn FROM rules) WHERE rn = 1"))
+    """SELECT text_id, username, model_output, replace(trim(s), '  ', ' ') AS corrected
+       FROM done WHERE k = coalesce((SELECT max(k) FROM ordered o WHERE o.username = done.username), 0)""",
+    rules_raw=X.RULES_RAW_SQL, rules=DEDUPE_RULES_SQL, texts=X.RULE_TEXTS_SQL, phrases=X.PHRASE_RULES_SQL,
+    ordered="SELECT username, stt_output, intended, row_number() OVER (PARTITION BY username ORDER BY confidence DESC, first_seq) AS k "
+            "FROM (SELECT username, stt_output, intended, confidence, first_seq FROM rules UNION ALL SELECT * FROM phrases)",
+    done="SELECT text_id, username, model_output, concat(' ', replace(model_output, ' ', '  '), ' ') AS s, 0::BIGINT AS k FROM texts "
+         "UNION ALL SELECT text_id, d.username, model_output, regexp_replace(s, concat('(?i) ', replace(stt_output, ' ', '  '), ' '), "
+         "concat(' ', replace(intended, ' ', '  '), ' '), 'g'), o.k FROM done d JOIN ordered o ON d.username = o.username AND o.k = d.k + 1"
+).replace("WITH ", "WITH RECURSIVE ", 1))
 def q_apply_rules(spark, sf_dir):
-    return K.apply_rules(X.rule_texts(spark, sf_dir), _rules(spark, sf_dir)).select(
-        "text_id", "username", "model_output", "corrected")
+    """One-word rules as mined, and rules over several words that chain with them."""
+    rules = _rules(spark, sf_dir).select("username", "stt_output", "intended", "confidence", "first_seq") \
+        .unionByName(X.phrase_rules(spark, sf_dir))
+    return K.apply_rules(X.rule_texts(spark, sf_dir), rules).select("text_id", "username", "model_output", "corrected")
 
 
 # ------------------------------------------------------------------ G1
 @register("mine_corrections", with_cte(
-    "SELECT username, h AS stt_output, r AS intended, CASE WHEN n >= 5 THEN 'high' WHEN n >= 2 THEN 'medium' "
-    "ELSE 'low' END AS frequency, n AS count, concat('seen ', cast(n AS varchar), ' times') AS explanation "
-    "FROM (SELECT username, h, r, count(*) AS n FROM (SELECT username, unnest(h) AS h, unnest(r) AS r FROM "
-    f"(SELECT username, {duck_tokens('model_output')} AS h, {duck_tokens('correct_transcription')} AS r FROM sub_pairs)) "
-    "WHERE h <> r GROUP BY username, h, r) WHERE n >= 2", sub_pairs=X.SUB_PAIRS_SQL))
+    "SELECT username, wrong AS stt_output, right_ AS intended, CASE WHEN n >= 5 THEN 'high' WHEN n >= 2 THEN 'medium' "
+    "ELSE 'low' END AS frequency, n AS count, concat('seen ', cast(n AS varchar), ' times') AS explanation, hint AS context_hint "
+    "FROM (SELECT username, wrong, right_, count(*) AS n, min(concat('...', before_, ' [', wrong, ' → ', right_, '] ', after_, '...')) AS hint "
+    "FROM changes GROUP BY username, wrong, right_)", changes=X.SPLIT_CHANGES_SQL))
 def q_mine_corrections(spark, sf_dir):
-    return K.mine_corrections(X.sub_pairs(spark, sf_dir), min_count=2)
+    return K.mine_corrections(X.split_pairs(spark, sf_dir), partitions=C.partitions(spark))
 
 
 # ------------------------------------------------------------------ A19

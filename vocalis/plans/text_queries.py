@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from vocalis.functions import formatting as FM
 from vocalis.functions import text as T
 from vocalis.operators import wer_reports as R
-from vocalis.operators.alignment import edit_ops
+from vocalis.operators.alignment import document_errors, edit_ops
 from vocalis.operators.wer import pair_wer, wer_by_user
 from vocalis.plans import clips as C
 from vocalis.plans import fixtures as X
@@ -67,7 +67,7 @@ def q_pair_wer_report(spark, sf_dir):
 def q_wer_documents(spark, sf_dir):
     """F1 on whole documents (up to ~20,000 words).  No SQL twin: a SQL DP
     over such texts is too slow; tests compare with a numpy DP."""
-    return pair_wer(X.document_pairs(spark, sf_dir), partitions=C.partitions(spark)).select("pair_id", "ref_words", "errors", "wer")
+    return document_errors(X.document_pairs(spark, sf_dir), partitions=C.partitions(spark))
 
 
 # ------------------------------------------------------------------ F2

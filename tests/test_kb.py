@@ -239,3 +239,34 @@ def test_cuts_of_changed_runs_are_cheapest():
         total = sum(price(ref[a:b], hyp[c:d]) for a, b, c, d in cuts) + sum(
             2 * len(t) + 2 for side, used in ((ref, used_r), (hyp, used_h)) for k, t in enumerate(side) if k not in used)
         assert total == cheapest(ref, hyp)
+
+
+def test_pair_files_in_splits(spark, tmp_path, monkeypatch):
+    """Brackets, quotes, escapes and line ends in strings; splits and chunks that cut tuples anywhere; one huge line."""
+    import random
+    from vocalis.sources import pairs as P
+    rng = random.Random(12)
+    bits = ["a", ")", "(", "\\\"", "\\\\", ", ", "\n", "é", '), ("', "word "]
+
+    def string():
+        return "".join(b.replace('"', '\\"') if b == '), ("' else b for b in rng.choices(bits, k=rng.randint(0, 12)))
+
+    want = []
+    for k, gap in enumerate((",", ",\n", " ,  \r\n ")):
+        pairs = [(string(), string()) for _ in range(400)]
+        want += [tuple(s.replace('\\"', '"') for s in p) for p in pairs]
+        body = gap.join(f'( "{a}" , "{b}" )' for a, b in pairs)
+        (tmp_path / f"f{k}.txt").write_text(("[" if k else "") + body + ("]" if k else ""), newline="")
+    (tmp_path / "open.txt").write_text('[("cut", "off"')
+    (tmp_path / "empty.txt").write_text("")
+    (tmp_path / "none.txt").write_text("no tuples (here) \"or there")
+    for split, chunk in ((1 << 27, 1 << 20), (700, 50), (64, 1)):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        monkeypatch.setattr(P, "CHUNK_CHARS", chunk)
+        try:
+            got = P.read_pair_files(spark, str(tmp_path))
+            assert sorted(map(tuple, got.collect())) == sorted(want)
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")

@@ -6,15 +6,15 @@ bidirectional FM-index per shard: the Burrows-Wheeler transforms of the shard's
 word ids and of their reversal, both sorted to ``DEPTH`` words only, which is all
 that phrases of that length need.  The shards are written to the shared folder.
 
-Phrases are then found length by length.  In each shard a phrase is an interval in
-both transforms; the words found in the interval are its extensions (to the left in
-the forward transform, to the right in the reversed one) and each extension's
-interval follows by one LF step on the one side and by counting smaller words on
-the other.  Counts are summed over all shards.  Only phrases counted ``min_count``
-times or more in the whole table are extended, and an extension is taken only if
-its other part is such a phrase as well; shards learn this from a bit table of
-bounded size in which every such phrase has its bit, so a wrong bit costs a row
-and never a count.
+In each shard a phrase is an interval in both transforms; the words found in the
+interval are its extensions (to the left in the forward transform, to the right in
+the reversed one) and each extension's interval follows by one LF step on the one
+side and by counting smaller words on the other.  Counts are summed over all shards:
+first those of words, then length by length those of phrases whose two parts one
+word shorter are frequent, that is, found ``min_count`` times or more in the whole table.
+Shards learn this from a bit table of bounded size in which every frequent phrase has its
+bit, so a wrong bit costs a row and never a count.  Pairs, by far the most, travel as one
+row per first word and shard, of words found everywhere as several rows.
 
 A phrase's score is that of its weakest cut into two parts.  A phrase that lies
 inside a longer one with nearly its count is dropped; a phrase one word longer
@@ -50,8 +50,8 @@ TOP = 2000
 NO_LANGUAGE = "und"
 
 #: Words of a shard, words a task holds in unfinished shards, words of a piece that are indexed together.
-SHARD_WORDS = 1 << 21
-HELD_WORDS = 1 << 22
+SHARD_WORDS = 1 << 20
+HELD_WORDS = 1 << 21
 PIECE_WORDS = 1 << 18
 #: Bits of the table of frequent phrases: about 32 a phrase, within these bounds (as powers of two).
 LEAST_BITS, MOST_BITS = 20, 27
@@ -294,27 +294,72 @@ def taken_off(twice: np.ndarray, length: int, overlap: int = DEPTH - 1) -> np.nd
                           or [np.zeros((0, length), dtype=np.int32)])
 
 
-def _phrase_rows(length: int, frequent: dict[int, Frequent]):
+#: Rows of a shard that share a first word of at least one in ``COMMON`` of all words are split in so many.
+COMMON, SPLIT = 2000, 64
+
+
+def _phrase_rows(length: int, frequent: dict[int, Frequent], common: frozenset):
+    """Rows (lang, head, part, tail, a): the counts of phrases of ``length`` words.
+
+    ``head`` is the phrase and ``tail`` is empty, but for pairs: there ``tail`` holds all second words.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                words = row["words"]
-                index = ShardIndex(unpack_ids(row["left"]), unpack_ids(row["right"]))
-                hashes = np.concatenate([np.zeros(1, np.uint64), word_hashes(words) if length > 1 else np.zeros(len(words), np.uint64)])
-                found = live_phrases(index, hashes, length, frequent)
-                extra = taken_off(np.frombuffer(row["twice"], dtype="<i4"), length)
-                ids = np.concatenate([found.words, extra])
-                count = np.concatenate([found.count, np.full(len(extra), -1, dtype=np.int64)])
-                names = pa.array(words, pa.binary()).cast(pa.string())
-                for k in range(0, len(ids), _ROWS):
-                    part = [names.take(pa.array(ids[k:k + _ROWS, j] - 1)) for j in range(length)]
-                    phrase = pc.binary_join_element_wise(*part, " ") if length > 1 else part[0]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([row["lang"]] * len(phrase), pa.string()), phrase, pa.array(count[k:k + _ROWS], pa.int64())],
-                        names=["lang", "phrase", "a"])
+            for at in range(batch.num_rows):
+                yield from shard_rows(batch.slice(at, 1).to_pylist()[0])
+                pa.default_memory_pool().release_unused()
+
+    def shard_rows(row: dict) -> Iterator[pa.RecordBatch]:
+        words = row["words"]
+        index = ShardIndex(unpack_ids(row["left"]), unpack_ids(row["right"]))
+        hashes = np.concatenate([np.zeros(1, np.uint64), word_hashes(words) if frequent else np.zeros(len(words), np.uint64)])
+        found = live_phrases(index, hashes, length, frequent)
+        extra = taken_off(np.frombuffer(row["twice"], dtype="<i4"), length)
+        names = pa.array(words, pa.binary()).cast(pa.string())
+        ids = np.concatenate([found.words, extra])
+        count = np.concatenate([found.count, np.full(len(extra), -1, dtype=np.int64)])
+        part = np.zeros(len(ids), dtype=np.int32)
+        if length == 2:
+            often = np.array([False, *((row["lang"], w) in common for w in words)])
+            split = often[ids[:, 0]]
+            part[split] = (hashes[ids[split, 1]] % np.uint64(SPLIT)).astype(np.int32)
+            order = np.lexsort((part, ids[:, 0]))
+            ids, count, part = ids[order], count[order], part[order]
+            begins = np.flatnonzero(np.concatenate([[True], (ids[1:, 0] != ids[:-1, 0]) | (part[1:] != part[:-1])])) if len(ids) else part
+        else:
+            begins = np.arange(len(ids))
+        ends = np.append(begins[1:], len(ids))
+        for k in range(0, len(begins), _ROWS):
+            b, e = begins[k:k + _ROWS], ends[k:k + _ROWS]
+            offsets = pa.array(np.append(b, e[-1]) - b[0], pa.int32())
+            inside = slice(b[0], e[-1])
+            if length == 2:
+                head = names.take(pa.array(ids[b, 0] - 1))
+                tail = pc.binary_join(pa.ListArray.from_arrays(offsets, names.take(pa.array(ids[inside, 1] - 1))), " ")
+            else:
+                columns = [names.take(pa.array(ids[b, j] - 1)) for j in range(length)]
+                head = pc.binary_join_element_wise(*columns, " ") if length > 1 else columns[0]
+                tail = pa.array([""] * len(b), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row["lang"]] * len(b), pa.string()), head, pa.array(part[b]), tail,
+                 pa.ListArray.from_arrays(offsets, pa.array(count[inside], pa.int32()))], names=["lang", "head", "part", "tail", "a"])
     return run
 
 
+def _summed(rows: DataFrame, length: int) -> DataFrame:
+    """(lang, phrase, n_words, a) from the shards' rows, which meet by head and part; a shard has each phrase once, so
+    counts are not added up before."""
+    one = rows.repartition("lang", "head", "part")
+    if length == 2:
+        one = one.select("lang", "head", "part", F.explode(F.arrays_zip(F.split("tail", " ", -1).alias("tail"), "a")).alias("x")) \
+            .select("lang", "head", "part", F.col("x.tail").alias("tail"), F.col("x.a").alias("a"))
+    else:
+        one = one.withColumn("a", F.col("a")[0])
+    phrase = F.concat_ws(" ", "head", "tail") if length == 2 else F.col("head")
+    return one.groupBy("lang", "head", "part", "tail").agg(F.sum(F.col("a").cast("long")).alias("a")) \
+        .select("lang", phrase.alias("phrase"), F.lit(length).alias("n_words"), "a")
+
+
 def _bits(phrases: DataFrame, n: int) -> Frequent:
     """The bit table of ``phrases``; its size is bounded whatever their number ``n``."""
     bits = min(max(LEAST_BITS, (32 * n).bit_length()), MOST_BITS)
@@ -337,22 +382,26 @@ def _bits(phrases: DataFrame, n: int) -> Frequent:
 def count_phrases(docs: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, n_words, a) of every phrase of up to ``depth`` words found ``min_count`` times or more; (lang, n).
 
-    The whole table is read once; later lengths work on the shards.
+    The texts are read once; later passes work on the shards.
     """
     if not 1 <= depth <= DEPTH:
         raise ValueError(f"phrases have 1 to {DEPTH} words")
     shards = index_shards(docs)
-    out, words, frequent = [], None, {}
+    out, words, frequent, common = [], None, {}, frozenset()
     for length in range(1, depth + 1):
-        rows = shards.mapInArrow(_phrase_rows(length, dict(frequent)), "lang string, phrase string, a long")
-        counted = rows.groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
+        rows = shards.mapInArrow(_phrase_rows(length, dict(frequent), common),
+                                 "lang string, head string, part int, tail string, a array<int>")
+        counted = _summed(rows, length)
         if length == 1:
             counted = materialize(counted, "collocation-words")
             words = counted.groupBy("lang").agg(F.sum("a").alias("n"))
+            total = counted.agg(F.coalesce(F.sum("a"), F.lit(0)).alias("n")).first()["n"]
+            common = frozenset((r["lang"], r["phrase"].encode()) for r in counted.where(
+                F.col("a") * COMMON >= F.greatest(F.lit(total), F.lit(1))).select("lang", "phrase").collect())
         counted = materialize(counted.where(F.col("a") >= min_count), f"collocation-{length}")
         if length < depth:
             frequent[length] = _bits(counted, counted.count())
-        out.append(counted.withColumn("n_words", F.lit(length)))
+        out.append(counted)
     return functools.reduce(DataFrame.unionByName, out), words
 
 
@@ -388,6 +437,8 @@ def score_phrases(counts: DataFrame) -> DataFrame:
 def collocations(docs: DataFrame, top: int = TOP, depth: int = DEPTH, min_count: int = MIN_COUNT) -> DataFrame:
     """Each language's first ``top`` phrases: lang, rank, phrase, a, l, r, n, score."""
     counts, words = count_phrases(docs, depth, min_count)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    best = score_phrases(counts).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    best = score_phrases(counts).withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(SPLIT)))
+    for keys in (["lang", "_part"], ["lang"]):  # a language's first ones are among the first ones of its parts
+        best = best.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= top)
     return best.join(words, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

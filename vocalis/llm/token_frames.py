@@ -23,10 +23,13 @@ find the frames that hold the ids of the documents asked for, check those frames
 those.  The place of a document among all ids comes from the files' sizes by a two-level
 prefix sum.
 
-Encoding.  The vocabulary's rules never join what white space parts, so each distinct
-white-space-free string is encoded once by the tokenizers library and remembered, in two generations of about
-``CACHED`` strings; words of Latin letters are lower-cased and asked for many at a time.  Longer strings than ``LONG`` are cut between an ASCII digit and a
-following ASCII character, where the rules cut as well, unless they hold an added token's first character.
+Encoding.  The vocabulary's rules lower-case a text and part it into words, single digits, runs of signs and
+contractions.  Texts of Latin-1 characters are parted so by array operations, a block at a time; each part is looked up by
+its 64-bit hash in a direct-mapped table, and the parts not found are encoded by the tokenizers library, many in one
+call.  Other texts, and those with one of the file's added tokens, are split at white space only, which the rules never
+join over, and the library encodes each distinct string, of which the last ones are remembered; strings longer than
+``LONG`` are cut between an ASCII digit and a following ASCII character, where the rules cut as well, unless they hold
+an added token's first character.
 
 Defined cases: null or empty text has only the end id; null doc_ids come first; equal doc_ids follow one
 another in the order of their ids' checksum and then as read; documents of any length run over as many
@@ -41,6 +44,7 @@ import json
 import os
 import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -51,16 +55,19 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vocalis.llm.common import materialize, text_or_empty
+from vocalis.llm.packing import Encoder
 from vocalis.session import scratch_path
 
 END_ID = 1
 #: Ids of a data frame, documents of a table frame, ids of a file (on average).
 FRAME_IDS = 1 << 16
 TABLE_DOCS = 1 << 16
-SHARD_IDS = 1 << 23
+SHARD_IDS = 1 << 22
 #: Strings remembered in a generation, and code points beyond which a string is cut or not remembered.
-CACHED = 1 << 19
+CACHED = 1 << 16
 LONG = 1 << 12
+#: Code points of the texts encoded together (a longer text is encoded alone).
+TOGETHER = 1 << 19
 #: Files whose sizes are added up in one task.
 FILE_GROUP = 1024
 
@@ -70,6 +77,8 @@ SEEK_TABLE = 0x184D2A5E
 SEEK_END = 0x8F92EAB1
 DOCUMENTS = 0x184D2A51
 _CHECKSUMS = 0x80
+#: The expression of the vocabulary by which a lower-cased text is parted (fixed value).
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 EMPTY_FRAME = struct.pack("<II", SKIPPABLE, 0)
 _FOOTER = struct.Struct("<IBI")
@@ -92,16 +101,19 @@ class Ids:
         added = [t["content"] for t in json.loads(spec).get("added_tokens", [])]
         self._opens = {t[0] for t in added if t}
         self._words = None if any(self._PLAIN.fullmatch(t) for t in added) else self._word_encoder(json.loads(spec))
+        self._added = added
+        self._parts = PartTable(self._ask_words, self.width)
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
     def _word_encoder(self, spec: dict):
-        """The same vocabulary for lower-case words one after the other, where the last id of a word is marked as such."""
+        """The same vocabulary for parted text, where the last id of a part is marked as such."""
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         suffix = spec["model"].get("end_of_word_suffix")
-        lowers = {"type": "Lowercase"} in (spec.get("normalizer") or {}).get("normalizers", [])
-        if not suffix or not lowers:
+        steps = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+        cut = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        if not suffix or steps != ["NFC", "Replace", "Lowercase"] or cut.get("pattern") != {"Regex": PARTS}:
             return None
         words = Tokenizer.from_str(json.dumps(spec))
         words.normalizer = normalizers.Sequence([])
@@ -154,16 +166,130 @@ class Ids:
             known[s] = b"".join(self._ask([s] if any(c in s for c in self._opens) else self._CUT.split(s)))
         return long
 
-    def of(self, text: str) -> bytes:
+    def _strings_of(self, texts: list[str]) -> list[bytes]:
         if len(self._known) > CACHED:
             self._known, self._older = {}, self._known
-        strings = split(text)
-        long = self._learn(set(strings).difference(self._known))
-        out = b"".join(map(self._known.__getitem__, strings))
+        strings = [split(t) for t in texts]
+        long = self._learn(set().union(*strings).difference(self._known))
+        out = [b"".join(map(self._known.__getitem__, s)) for s in strings]
         for s in long:
             del self._known[s]
         return out
 
+    def of(self, texts: list[str]) -> list[bytes]:
+        """Ids of several texts."""
+        out: list[bytes] = [b""] * len(texts)
+        plain, held, other = [], 0, []
+        for k, text in enumerate(texts):
+            if self._words is None or len(text) > TOGETHER or any(a in text for a in self._added) or not is_latin(text):
+                other.append(k)
+                continue
+            if held + len(text) > TOGETHER:
+                self._fill(out, plain, self._parts.ids([texts[i] for i in plain]))
+                plain, held = [], 0
+            plain.append(k)
+            held += len(text) + 1
+        if plain:
+            self._fill(out, plain, self._parts.ids([texts[i] for i in plain]))
+        if other:
+            self._fill(out, other, self._strings_of([texts[i] for i in other]))
+        return out
+
+    @staticmethod
+    def _fill(out: list[bytes], where: list[int], what: list[bytes]) -> None:
+        for k, ids in zip(where, what):
+            out[k] = ids
+
+
+def is_latin(text: str) -> bool:
+    """Whether all characters are below U+0100."""
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+class PartTable:
+    """Ids of Latin-1 texts, parted by array operations; a direct-mapped table remembers the parts."""
+
+    _SLOTS, _STORE = 20, 1 << 22
+    _SPACE, _LETTER, _DIGIT, _SIGN = range(4)
+
+    def __init__(self, ask, width: int):
+        self._ask, self._kind = ask, np.dtype(f"<u{width}")
+        self._lower = np.array([ord(chr(c).lower()) if len(chr(c).lower()) == 1 else c for c in range(256)], dtype=np.uint8)
+        self._class = np.array([self._SPACE if c in (9, 10, 11, 12, 13, 32, 0x85, 0xA0) else
+                                {"L": self._LETTER, "N": self._DIGIT}.get(unicodedata.category(chr(c))[0], self._SIGN)
+                                for c in range(256)], dtype=np.uint8)
+        n, base = TOGETHER + 2, 0x9E3779B97F4A7C15
+        self._powers, self._back = Encoder._series(base, n), Encoder._series(pow(base, -1, 1 << 64), n)
+        self._reset()
+
+    def _reset(self) -> None:
+        self._hash = np.zeros(1 << self._SLOTS, dtype=np.uint64)
+        self._at = np.zeros(1 << self._SLOTS, dtype=np.int32)
+        self._count = np.zeros(1 << self._SLOTS, dtype=np.int32)
+        self._store = np.zeros(self._STORE, dtype=self._kind)
+        self._used = 0
+
+    def _part(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Begins and ends of the parts of lower-cased text that ends with white space."""
+        cls = self._class[points]
+        begin = cls != self._SPACE
+        begin[1:] &= (cls[1:] != cls[:-1]) | (cls[1:] == self._DIGIT)
+        quote = np.flatnonzero(begin & (points == 39))  # never last
+        if len(quote):
+            a = points[quote + 1]
+            b = points[np.minimum(quote + 2, len(points) - 1)]
+            one = np.isin(a, [ord(c) for c in "stmd"])
+            two = ((a == ord("r")) | (a == ord("v"))) & (b == ord("e")) | (a == ord("l")) & (b == ord("l"))
+            for hit, size in ((one, 2), (two & ~one, 3)):
+                begin[quote[hit] + 1] = False
+                after = quote[hit] + size
+                begin[after] = cls[after] != self._SPACE
+        end = cls != self._SPACE
+        end[:-1] &= begin[1:] | (cls[1:] == self._SPACE)
+        return np.flatnonzero(begin), np.flatnonzero(end) + 1
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        points = self._lower[np.frombuffer(("\n".join(texts) + "\n").encode("latin-1"), dtype=np.uint8)]
+        begin, end = self._part(points)
+        sums = np.zeros(len(points) + 1, dtype=np.uint64)
+        np.cumsum((points.astype(np.uint64) + np.uint64(0x5851F42D)) * self._powers[:len(points)], out=sums[1:])
+        key = (sums[end] - sums[begin]) * self._back[begin]
+        key ^= key >> np.uint64(29)
+        key *= np.uint64(0xBF58476D1CE4E5B9)
+        key ^= key >> np.uint64(32)
+        key |= np.uint64(1)
+        slot = (key >> np.uint64(64 - self._SLOTS)).astype(np.int64)
+        at, count = self._at[slot], self._count[slot]
+        missed = np.flatnonzero(self._hash[slot] != key)
+        if len(missed):
+            if self._used > self._STORE // 2:
+                self._reset()
+                missed = np.arange(len(key))
+            fresh, first, which = np.unique(key[missed], return_index=True, return_inverse=True)
+            text = points.tobytes().decode("latin-1")
+            found = self._ask([text[b:e] for b, e in zip(begin[missed[first]].tolist(), end[missed[first]].tolist())])
+            sizes = np.array([len(x) // self._kind.itemsize for x in found], dtype=np.int32)
+            new = np.frombuffer(b"".join(found), dtype=self._kind)
+            places = (self._used + np.cumsum(sizes) - sizes).astype(np.int32)
+            if self._used + len(new) > len(self._store):
+                self._store = np.concatenate([self._store, np.zeros(len(new), dtype=self._kind)])
+            self._store[self._used:self._used + len(new)] = new
+            self._used += len(new)
+            at[missed], count[missed] = places[which], sizes[which]
+            s = (fresh >> np.uint64(64 - self._SLOTS)).astype(np.int64)
+            self._hash[s], self._at[s], self._count[s] = fresh, places, sizes
+        total = np.concatenate([[0], np.cumsum(count, dtype=np.int64)])
+        out = self._store[np.repeat(at - total[:-1], count) + np.arange(total[-1])]
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        cuts = np.concatenate([[0], total[np.searchsorted(begin, ends)]]).tolist()
+        return [out[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+
 
 #: Parts a text where both Python and the vocabulary's rules see white space.
 _CONTROLS = re.compile("[\x1c-\x1f]")
@@ -190,14 +316,26 @@ def encode(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
             _ENCODERS[key] = Ids(spec)
         ids = _ENCODERS[key]
         end = np.array([end_id], dtype=f"<u{ids.width}").tobytes()
-        for batch in batches:
-            out = [ids.of(t.as_py()) + end for t in batch.column("text")]
-            wide = [np.frombuffer(x, f"<u{ids.width}").astype("<u4").tobytes() for x in out]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(out, pa.binary()), pa.array([len(x) // 4 for x in wide], pa.int64()),
-                 pa.array([zlib.crc32(x) for x in wide], pa.int64()), pa.array([ids.width] * len(out), pa.int32())],
+
+        def rows(part: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
+            out = [x + end for x in ids.of(texts)]
+            crc = [zlib.crc32(np.frombuffer(x, f"<u{ids.width}").astype("<u4").tobytes()) for x in out]
+            return pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array(out, pa.binary()), pa.array([len(x) // ids.width for x in out], pa.int64()),
+                 pa.array(crc, pa.int64()), pa.array([ids.width] * len(out), pa.int32())],
                 names=["doc_id", "ids", "n_tokens", "ids_crc32", "width"])
 
+        for batch in batches:
+            begin, held, texts = 0, 0, []
+            for k, text in enumerate(batch.column("text")):
+                texts.append(text.as_py())
+                held += len(texts[-1])
+                if held >= TOGETHER:
+                    yield rows(batch.slice(begin, k + 1 - begin), texts)
+                    begin, held, texts = k + 1, 0, []
+            if texts:
+                yield rows(batch.slice(begin), texts)
+
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", text_or_empty().alias("text")) \
         .mapInArrow(run, f"doc_id {kind}, ids binary, n_tokens long, ids_crc32 long, width int")
@@ -399,8 +537,19 @@ def read_files(spark: SparkSession, path: str, doc_ids: Iterable[int] | None = N
         run, "shard long, doc_id long, start_in_file long, n_tokens long, tokens binary")
 
 
-def file_starts(spark: SparkSession, path: str) -> DataFrame:
-    """(shard, base): how many ids lie in the files before each one; only tails and document tables are decoded."""
+def file_starts(sizes: DataFrame) -> DataFrame:
+    """(shard, base): how many ids lie in the files before each one; ``sizes``: (shard, n) of each file."""
+    sizes = sizes.withColumn("grp", F.floor(F.col("shard") / FILE_GROUP))
+    before = Window.orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
+    groups = sizes.groupBy("grp").agg(F.sum("n").alias("n")) \
+        .select("grp", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("group_base"))
+    within = Window.partitionBy("grp").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.withColumn("inside", F.coalesce(F.sum("n").over(within), F.lit(0))).join(groups, "grp") \
+        .select("shard", (F.col("group_base") + F.col("inside")).alias("base"))
+
+
+def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """(shard, n): the number of ids in each file; only tails and document tables are decoded."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             readers = [FileReader(c.as_py()) for c in batch.column("content")]
@@ -408,13 +557,7 @@ def file_starts(spark: SparkSession, path: str) -> DataFrame:
                 [pa.array([r.shard for r in readers], pa.int64()), pa.array([int(r.starts[-1]) for r in readers], pa.int64())],
                 names=["shard", "n"])
 
-    sizes = _files(spark, path).mapInArrow(run, "shard long, n long").withColumn("grp", F.floor(F.col("shard") / FILE_GROUP))
-    before = Window.orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
-    groups = sizes.groupBy("grp").agg(F.sum("n").alias("n")) \
-        .select("grp", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("group_base"))
-    within = Window.partitionBy("grp").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.withColumn("inside", F.coalesce(F.sum("n").over(within), F.lit(0))).join(groups, "grp") \
-        .select("shard", (F.col("group_base") + F.col("inside")).alias("base"))
+    return _files(spark, path).mapInArrow(run, "shard long, n long")
 
 
 def store_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -422,6 +565,7 @@ def store_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
     spark = docs.sparkSession
     path = scratch_path(spark, "token-files")
     write_files(docs, path, tokenizer, "token-rows")
-    found = read_files(spark, path).withColumn("ids_crc32", F.crc32("tokens")).drop("tokens")
-    return found.join(file_starts(spark, path), "shard") \
+    found = materialize(read_files(spark, path).withColumn("ids_crc32", F.crc32("tokens")).drop("tokens"), "token-found")
+    sizes = found.groupBy("shard").agg(F.max(F.col("start_in_file") + F.col("n_tokens")).alias("n"))
+    return found.join(file_starts(sizes), "shard") \
         .select("doc_id", (F.col("base") + F.col("start_in_file")).alias("start"), "n_tokens", "ids_crc32")

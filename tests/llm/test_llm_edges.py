@@ -20,8 +20,8 @@ from vocalis.llm.queries import tokenizer_path
 
 DOC = "doc_id long, text string, lang string, source string, n_chars int"
 #: Names the operators use themselves.
-CLASHES = ("n", "cls", "score", "spans", "kinds", "rep", "hub", "items", "fingerprint", "next_id", "owner", "key", "host",
-           "path", "lines", "part", "row", "found", "clean", "start", "length", "text_hash", "n_words", "lang_pred", "win")
+CLASHES = ("n", "score", "spans", "kinds", "hub", "items", "fingerprint", "next_id", "owner", "key", "host",
+           "_first", "_kept", "_text", "_row", "_hash", "_id", "_hit", "number", "component_id", "cls", "rep", "path", "lines", "part", "row", "found", "clean", "start", "length", "text_hash", "n_words", "lang_pred", "win")
 LONG = " ".join(f"w{k % 977}x{k % 31}" for k in range(30_000))
 SAME = "one two three four five six seven eight nine ten"
 ROWS = [
@@ -82,9 +82,19 @@ def test_ngram_join(docs, none):
     kept = ngram_join.keep_one(docs)
     assert kept.columns == docs.columns
     assert ids(kept) == [1, 2, 3, 4, 5, 7, 8, None]
+    assert {r[c] for r in kept.collect() for c in CLASHES} == {1}
     assert ngram_join.keep_one(none).count() == 0
 
 
+def test_one_document_stays_whatever_the_ids(spark):
+    """Rows that share a doc_id but not their text are different documents; of a group one row stays."""
+    other = "red green blue white black grey brown pink"
+    rows = [(1, SAME), (1, other), (1, None), (1, ""), (2, other), (3, SAME), (3, SAME), (0, "x"), (0, "y"), (None, SAME), (4, SAME + " eleven")]
+    kept = ngram_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(
+        [(1, SAME), (1, other), (1, None), (1, ""), (0, "x"), (0, "y"), (None, SAME)], key=str)
+
+
 def test_page_diff(spark):
     schema = "page_id long, url string, html string, host string, path string, deleted int"
     rows = [

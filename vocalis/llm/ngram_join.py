@@ -51,7 +51,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vocalis.llm.common import materialize, text_or_empty
@@ -743,10 +743,19 @@ def join_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``docs`` with one row per component: the one with the smallest doc_id; rows without doc_id stay."""
-    kept = join_documents(docs, block).where(F.col("doc_id") == F.col("component_id")) \
-        .select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.where(F.col("doc_id").isNotNull()).join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
-    first = F.lag(F.lit(1)).over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())).isNull()
-    return rows.withColumn("_first", first).where("_first").select(*docs.columns) \
-        .unionByName(docs.where(F.col("doc_id").isNull()))
+    """``docs`` with one row per component: the one with the smallest doc_id, of several rows with that id one.
+
+    Rows are told apart by a number of their own, not by doc_id: rows that share a doc_id but not their text are different
+    documents.  Rows without doc_id and rows without words stay.  Columns of any name are passed through.
+    """
+    number = F.when(F.col("row")["doc_id"].isNotNull(), F.monotonically_increasing_id())
+    rows = materialize(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+                       .withColumn("number", number), "ngram-rows")
+    found = join_documents(rows.select(F.col("number").alias("doc_id"), F.col("row")["text"].alias("text")), block)
+    linked = materialize(
+        found.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)).select(F.col("doc_id").alias("number"), "component_id")
+        .join(rows.select("number", F.col("row")["doc_id"].alias("doc_id")), "number"), "ngram-linked")
+    lowest = linked.groupBy("component_id").agg(F.min("doc_id").alias("doc_id"))
+    first = linked.join(lowest, ["component_id", "doc_id"]).groupBy("component_id").agg(F.min("number").alias("first"))
+    gone = linked.join(first, "component_id").where(F.col("number") != F.col("first")).select("number")
+    return rows.join(gone, "number", "left_anti").select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -76,12 +76,37 @@ def test_rate_limit_hot_client_segments(spark):
         ev.append((0 if i % 10 else 1 + i % 3, t, i))
     df = spark.createDataFrame(ev, "client_id long, t long, request_id long").withColumn("ts", F.timestamp_micros("t"))
     want = brute_rate(ev, 3, 60_000_000)
-    for bucket in (30_000_000, 3_600_000_000):
+    for bucket, rows in ((30_000_000, 4), (3_600_000_000, 50_000), (3_600_000_000, 7), (1 << 50, 100)):
         got = {r.request_id: (r.allowed, r.wait_us)
-               for r in O.rate_limit(df, limit=3, window_us=60_000_000, bucket_us=bucket).collect()}
+               for r in O.rate_limit(df, limit=3, window_us=60_000_000, bucket_us=bucket, bucket_rows=rows).collect()}
         assert got == want
-    segs = O.idle_segments(df.select("client_id", "request_id", F.col("t").alias("ts_us")), 60_000_000, 30_000_000)
-    assert segs.filter("client_id = 0").select("_seg").distinct().count() > 10
+
+
+def test_rate_limit_of_one_long_burst(spark):
+    """A million requests of one client without an idle gap, equal to the plain fold; no bucket is much over its bound."""
+    from vocalis.operators import bursts as B
+    n, limit, window = 1_000_000, 7, 5_000_000
+    df = spark.range(n).select(F.lit(1).cast("long").alias("client_id"), F.col("id").alias("request_id"), (
+        F.lit(1_704_067_200_000_000) + F.col("id") * 9_000 + F.pmod(F.xxhash64("id"), F.lit(50_000))).alias("ts_us"))
+    sizes = B.with_buckets(df, 3_600_000_000, 20_000).groupBy("_slot", "_part").count().agg(F.max("count"), F.count(F.lit(1))).first()
+    assert sizes[0] < 22_000 and sizes[1] >= 50
+    out = O.rate_limit(df.withColumn("ts", F.timestamp_micros("ts_us")), limit=limit, window_us=window, bucket_rows=20_000)
+    got = sorted((r.ts_us, r.request_id) for r in out.where("allowed").collect())
+    rows = sorted((r.ts_us, r.request_id) for r in df.select("ts_us", "request_id").toLocalIterator())
+    want, kept = [], []
+    for t, i in rows:
+        kept = [k for k in kept if t - k < window]
+        if len(kept) < limit:
+            kept.append(t)
+            want.append((t, i))
+    assert got == want and out.count() == n
+
+
+def test_rate_limit_ties_and_empty(spark):
+    same = spark.range(5000).select(F.lit(1).alias("client_id"), F.col("id").alias("request_id"), F.timestamp_seconds(F.lit(0)).alias("ts"))
+    out = O.rate_limit(same, limit=3, window_us=60_000_000, bucket_rows=10).where("allowed").collect()
+    assert sorted(r.request_id for r in out) == [0, 1, 2]
+    assert O.rate_limit(same.limit(0)).count() == 0
 
 
 def test_global_row_number_on_timestamps(spark):

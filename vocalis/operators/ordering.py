@@ -3,21 +3,19 @@
 None of these sorts a whole key group inside one task when the work can be
 split: reassembly concatenates buckets of chunks in parallel first,
 sampling keeps each task's top-k before the shuffle, and batch numbering adds per-bucket offsets to per-bucket row numbers.  The
-rate limiter is inherently sequential per client; it streams a sorted
-partition with state bounded by the limit, never materialising a group.
+rate limiter's sequential part walks over request times alone, in buckets, and
+leaves the decisions to parallel tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vocalis.functions.text import strip_ws
-from vocalis.operators.admission import admit
+from vocalis.operators.bursts import decide_buckets
 from vocalis.operators.relational import epoch_micros
 
 
@@ -113,77 +111,23 @@ def batch_number(df: DataFrame, key: Sequence[str] | str, order: str, size: int
 RATE_SCHEMA = "client_id long, request_id long, ts_us long, allowed boolean, wait_us long"
 
 
-def _rate_fold(limit: int, window_us: int):
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, recent = None, []
-        for pdf in it:
-            cid, seg, ts = (pdf[c].to_numpy() for c in ("client_id", "_seg", "ts_us"))
-            allowed = np.empty(len(pdf), dtype=bool)
-            wait = np.zeros(len(pdf), dtype=np.int64)
-            starts = np.flatnonzero(np.concatenate([[True], (cid[1:] != cid[:-1]) | (seg[1:] != seg[:-1])]))
-            for i, j in zip(starts.tolist(), [*starts[1:].tolist(), len(pdf)]):
-                if (cid[i], seg[i]) != group:  # else the group goes on from the batch before
-                    group, recent = (cid[i], seg[i]), []
-                allowed[i:j], wait[i:j] = admit(ts[i:j], limit, window_us, recent)
-            yield pd.DataFrame({"client_id": cid, "request_id": pdf["request_id"].to_numpy(), "ts_us": ts,
-                                "allowed": allowed, "wait_us": wait})
-    return run
-
-
-def idle_segments(e: DataFrame, window_us: int, bucket_us: int) -> DataFrame:
-    """Tag each request with the start time of its client's *segment*: a
-    new segment starts at a client's first request and after every idle gap
-    of at least ``window_us`` (all admitted timestamps have expired then, so
-    segments are independent).  Computed per (client, time bucket) with a
-    small per-bucket table carrying the previous bucket's last request and
-    last segment start, so no task orders a whole client."""
-    b = e.withColumn("_b", F.floor(F.col("ts_us") / bucket_us))
-    w_in = Window.partitionBy("client_id", "_b").orderBy("ts_us", "request_id")
-    b = b.withColumn("_prev", F.lag("ts_us").over(w_in))
-    inner_reset = F.col("_prev").isNotNull() & (F.col("ts_us") - F.col("_prev") >= window_us)
-    per_bucket = b.groupBy("client_id", "_b").agg(
-        F.min("ts_us").alias("_first"), F.max("ts_us").alias("_last"),
-        F.max(F.when(inner_reset, F.col("ts_us"))).alias("_inner_reset"))
-    wb = Window.partitionBy("client_id").orderBy("_b")
-    prev_last = F.lag("_last").over(wb)
-    per_bucket = per_bucket.withColumn(
-        "_first_reset", prev_last.isNull() | (F.col("_first") - prev_last >= window_us))
-    per_bucket = per_bucket.withColumn(
-        "_bucket_reset", F.greatest(F.col("_inner_reset"), F.when(F.col("_first_reset"), F.col("_first"))))
-    per_bucket = per_bucket.withColumn(
-        "_carried", F.max("_bucket_reset").over(wb.rowsBetween(Window.unboundedPreceding, -1)))
-    j = b.join(per_bucket.select("client_id", "_b", "_first_reset", "_carried"), ["client_id", "_b"])
-    reset = F.when(F.col("_prev").isNull(), F.col("_first_reset")).otherwise(
-        F.col("ts_us") - F.col("_prev") >= window_us)
-    seg = F.coalesce(F.max(F.when(reset, F.col("ts_us"))).over(
-        w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.col("_carried"))
-    return j.withColumn("_seg", seg).drop("_b", "_prev", "_first_reset", "_carried")
-
-
 def rate_limit(events: DataFrame, key: str = "client_id", ts: str = "ts", tie: str = "request_id",
                limit: int = 3, window_us: int = 60_000_000, partitions: int | None = None,
-               split_idle: bool = True, bucket_us: int | None = None) -> DataFrame:
+               bucket_us: int | None = None, bucket_rows: int | None = None) -> DataFrame:
     """Sliding-window limiter per client, in time order.
 
     Keep the admitted timestamps younger than the window; at ``limit`` of
     them the request is rejected with wait = window - (now - oldest kept),
     otherwise admitted and recorded.  Rejections are not recorded, so each
-    decision depends on the earlier ones.  The fold runs over partitions
-    hash-partitioned by (client, segment) and sorted by time, reading Arrow
-    batches in order with at most ``limit`` timestamps of state.  With
-    ``split_idle`` a busy client's timeline is cut at idle gaps of at least
-    the window (exact: the state is empty there), so one hot client spreads
-    over many tasks; only an uninterrupted burst stays in one task.
+    decision depends on the earlier ones.  A client's time line is cut into
+    buckets (slices of ``bucket_us``, finer where they hold more than
+    ``bucket_rows``); a chain over the request times alone finds the state in
+    which each bucket begins, and the buckets are decided in parallel
+    (``bursts.py``), also those of one burst without idle gaps.
     """
     e = events.select(F.col(key).cast("long").alias("client_id"), F.col(tie).cast("long").alias("request_id"),
                       epoch_micros(events, ts).alias("ts_us"))
-    if split_idle:
-        e = idle_segments(e, window_us, bucket_us or max(window_us, 3_600_000_000))
-    else:
-        e = e.withColumn("_seg", F.lit(0).cast("long"))
-    e = (e.repartition(partitions, "client_id", "_seg") if partitions else e.repartition("client_id", "_seg"))
-    e = e.sortWithinPartitions("client_id", "_seg", "ts_us", "request_id")
-    return e.mapInPandas(_rate_fold(limit, window_us), RATE_SCHEMA)
+    return decide_buckets(e, limit, window_us, bucket_us or max(window_us, 3_600_000_000), RATE_SCHEMA, partitions, bucket_rows)
 
 
 # ------------------------------------------------------------------ D12

@@ -270,3 +270,54 @@ def test_pair_files_in_splits(spark, tmp_path, monkeypatch):
         finally:
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
             spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_order_of_long_lists(spark):
+    """Places in lists of over 2 ** 20 items, and batch numbers near the largest long, keep their order."""
+    big = (1 << 62) + 5
+    small = spark.createDataFrame([("u", big + 1, [("w7", "7", "high", "late"), ("x", "y", "low", None)])],
+                                  "username string, batch_no long, corrections array<struct<stt_output:string,intended:string,"
+                                  "frequency:string,explanation:string>>")
+    late = K.batch_rules(small)
+    assert [(r.seq, r.pos) for r in late.orderBy("pos").collect()] == [(big + 1, 0), (big + 1, 1)]
+    items = spark.range(1_200_000).select(
+        F.lit("u").alias("username"), F.lit(big).alias("seq"), F.col("id").cast("int").alias("pos"),
+        F.concat(F.lit("w"), F.pmod("id", F.lit(1_100_000)).cast("string")).alias("stt_output"), F.col("id").cast("string").alias("intended"),
+        F.lit("low").alias("frequency"), F.lit(None).cast("string").alias("explanation"))
+    rules = K.dedupe_rules(items.unionByName(late))
+    got = rules.where("stt_output in ('w0', 'w7', 'w1099999')").select("stt_output", "intended", "first_seq", "first_pos", "confidence")
+    assert sorted(map(tuple, got.collect()))[:5] == [("w0", "0", big, 0, 0.5), ("w0", "1100000", big, 1_100_000, 0.5),
+                                                     ("w1099999", "1099999", big, 1_099_999, 0.5), ("w7", "1100007", big, 1_100_007, 0.5),
+                                                     ("w7", "7", big, 7, 0.6)]
+    assert rules.where("stt_output = 'x'").first().first_pos == 1
+    vocab = spark.createDataFrame([("u", big, "Term", None, None, [f"a{k}" for k in range(30)]), ("u", big + 1, "term", None, None, ["zz", "A3"])],
+                                  "username string, seq long, term string, category string, definition string, misheard_as array<string>")
+    assert K.dedupe_vocab(vocab).first().aliases == [f"a{k}" for k in range(30)] + ["zz"]
+
+
+def test_upsert_touches_only_its_buckets(spark, tmp_path):
+    import datetime as dt
+    from vocalis.sources import profiles as P
+    names = [f.name for f in P.PROFILE_SCHEMA.fields]
+
+    def docs(*rows):
+        return spark.createDataFrame([tuple({"speaker_id": s, "domain": d, "updated_at": t}.get(n) for n in names) for s, d, t in rows],
+                                     P.PROFILE_SCHEMA)
+    t0, t1, now = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1), dt.datetime(2025, 1, 1)
+    path = str(tmp_path / "store")
+    P.write_profile_store(docs(*[(f"s{k}", "old", t0) for k in range(200)]), path)
+
+    def files():
+        return {f: f.stat().st_mtime_ns for f in (tmp_path / "store").rglob("part-*")}
+    before = files()
+    new = docs(("s1", "b", t1), ("s1", "a", t1), ("s1", "c", t0), ("fresh", "x", None))
+    P.upsert_profile_store(spark, path, new, F.lit(now))
+    got = {r.speaker_id: (r.domain, r.updated_at) for r in P.read_profile_store(spark, path).collect()}
+    assert len(got) == 201 and got["s1"] == ("b", now) and got["fresh"] == ("x", now) and got["s7"] == ("old", t0)
+    after = files()
+    touched = {f.parent.name for f in before.keys() ^ after.keys()}
+    assert 1 <= len(touched) <= 2 and all(after[f] == t for f, t in before.items() if f.parent.name not in touched)
+    once = sorted(map(str, P.read_profile_store(spark, path).collect()))
+    P.upsert_profile_store(spark, path, new, F.lit(now))
+    P.upsert_profile_store(spark, path, new.limit(0), F.lit(now))
+    assert sorted(map(str, P.read_profile_store(spark, path).collect())) == once

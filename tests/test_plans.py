@@ -69,3 +69,20 @@ def test_first_rows_use_hash_aggregates(spark):
                                        "context_hint string, occurrences long, created_at timestamp, last_seen timestamp, seq long")
     for df in (K.upsert_rules(stored, stored), K.dedupe_rules(rules), K.dedupe_vocab(vocab), K.latest_mapping(log), K.merge_batches(batches)):
         assert "SortAggregate" not in plan(df)
+
+
+def test_no_local_folder_on_a_cluster(spark, monkeypatch):
+    """Without a shared folder only local mode makes one of its own."""
+    import types
+
+    import pytest
+
+    from vocalis import session
+
+    def fake(master):
+        conf = types.SimpleNamespace(get=lambda key, default=None: default)
+        return types.SimpleNamespace(conf=conf, sparkContext=types.SimpleNamespace(getConf=lambda: conf, master=master))
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(RuntimeError, match="checkpoint"):
+            session.ensure_checkpoint_dir(fake(master))
+    assert session.ensure_checkpoint_dir(spark)

@@ -119,3 +119,85 @@ def test_drain_raises_on_timeout(spark, tmp_path):
     with pytest.raises(TimeoutError):
         SS.drain(q, timeout_s=2)
     assert not q.isActive
+
+
+def test_running_wer_is_never_empty(spark, tmp_path):
+    """Every batch leaves a complete table, a repeated batch changes nothing, and old snapshots go."""
+    from vocalis.operators import wer_reports as R
+    from vocalis.streaming import sources as SS
+    from vocalis.streaming import versions as V
+    from vocalis.streaming import wer as SW
+    res = X.results(spark, SF_SMALL)
+    inbox, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
+    seen = []
+    for k in range(5):
+        res.where(f"crc32(cast(filename as binary)) % 5 = {k}").coalesce(1).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(res.schema).parquet(inbox)
+        SS.drain(SW.start_stream_wer(stream, out, ck), timeout_s=240)
+        seen.append(SW.current_wer(spark, out).count())
+    assert min(seen) > 0 and V.complete_versions(spark, out) == [2, 3, 4]
+    want = sorted(map(str, R.wer_by(res, ["severity"], improvement=True).collect()))
+    assert sorted(map(str, SW.current_wer(spark, out).collect())) == want
+    changed = SW.current_wer(spark, out)  # every key changed in the last batch, which runs again
+    V.merge_version(spark.createDataFrame(changed.collect(), changed.schema), out, 4, ["severity"])
+    assert sorted(map(str, SW.current_wer(spark, out).collect())) == want
+    (tmp_path / "out" / "v=5").mkdir()  # a snapshot begun and not finished does not count
+    assert sorted(map(str, SW.current_wer(spark, out).collect())) == want
+    V.merge_version(spark.createDataFrame([(None, 1, 2.0, 3.0, 4.0)], changed.schema), out, 6, ["severity"])
+    V.merge_version(spark.createDataFrame([(None, 9, 2.0, 3.0, 4.0)], changed.schema), out, 7, ["severity"])
+    assert SW.current_wer(spark, out).where("severity IS NULL").first().samples == 9
+
+
+def test_reassembly_batch_writes_only_its_chunks(spark, tmp_path):
+    """Pending chunks of earlier batches are not written again."""
+    import datetime as dt
+
+    from vocalis.streaming import stateful as ST
+    t0 = dt.datetime(2024, 1, 1)
+    schema = "file_id long, chunk_index long, text string, total long, et timestamp"
+    batches = [[(1, k, f"w{k}", 900, t0) for k in range(1, 800)], [(1, 850, "late", 900, t0)], [(1, 851, "later", 900, t0), (1, 0, "w0", 900, t0)]]
+    rows, q = _drain_files(spark, tmp_path, batches, schema, lambda s: ST.stream_reassembly(s, "et"))
+    assert [(r.from_index, r.to_index) for r in rows] == [(0, 799)]
+    assert rows[0].text == " ".join(f"w{k}" for k in range(800))
+    updated = [p["stateOperators"][0]["numRowsUpdated"] for p in q.recentProgress if p["numInputRows"]]
+    assert updated[0] >= 799 and updated[1] < 20 and len(updated) == 3
+
+
+def test_rate_limit_of_a_crowded_client_in_bounded_frames(spark, tmp_path, monkeypatch):
+    """A client's unordered batch of many frames gives the batch operator's decisions."""
+    from pyspark.sql import functions as F
+
+    from vocalis.streaming import sources as SS
+    from vocalis.streaming import stateful as ST
+    n = 200_000
+    req = spark.range(n).select(F.lit(7).cast("long").alias("client_id"), F.col("id").alias("request_id"), F.timestamp_micros(
+        F.lit(1_704_067_200_000_000) + F.pmod(F.xxhash64("id"), F.lit(3_600_000_000))).alias("ts"))
+    inbox, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
+    req.repartition(1).write.parquet(inbox)
+    decided = ST.stream_rate_limit(spark.readStream.schema(req.schema).parquet(inbox), limit=5, window_us=10_000_000)
+    SS.drain(SS.start_sink(decided, out, ck, available_now=True), timeout_s=300)
+    got = spark.read.parquet(out)
+    want = O.rate_limit(req, limit=5, window_us=10_000_000)
+    assert got.count() == n and got.exceptAll(want.select(*got.columns)).count() == 0
+    assert 0 < got.where("allowed").count() <= 5 * 361
+
+
+def test_merge_of_sorted_pieces_holds_a_block_each():
+    import numpy as np
+
+    from vocalis.streaming.stateful import merge_sorted
+    rng = np.random.default_rng(3)
+    pieces = []
+    for _ in range(12):
+        rows = rng.integers(0, 40, (rng.integers(0, 90), 2))
+        rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+        pieces.append(rows)
+
+    def blocks(rows):
+        for k in range(0, len(rows), 7):
+            yield rows[k:k + 7]
+    out = list(merge_sorted([blocks(p) for p in pieces]))
+    rows = np.concatenate(out)
+    everything = np.concatenate(pieces)
+    assert (rows == everything[np.lexsort((everything[:, 1], everything[:, 0]))]).all()
+    assert max(map(len, out)) <= 12 * 7 and list(merge_sorted([])) == []

@@ -18,7 +18,7 @@ from vocalis.functions.text import tokenize
 from vocalis.operators.diagonals import align, distance
 from vocalis.operators.relational import spread
 
-__all__ = ["align", "align_tokens", "distance", "document_errors", "edit_ops", "phrase_pairs"]
+__all__ = ["align", "align_tokens", "distance", "document_alignment", "document_errors", "edit_ops", "phrase_pairs"]
 
 #: Alignment steps written in one batch.
 _ROWS = 1 << 15
@@ -81,6 +81,29 @@ def document_errors(pairs: DataFrame, key: str = "pair_id", ref: str = "correct_
         .withColumn("wer", F.when(n == 0, F.lit(0.0)).otherwise(F.round(F.col("errors") / n, 4)))
 
 
+def document_alignment(pairs: DataFrame, key: str = "pair_id", ref: str = "correct_transcription", hyp: str = "model_output",
+                       partitions: int | None = None) -> DataFrame:
+    """F3 for whole documents, one row each: (key, hits, subs, dels, ins, rebuilt).
+
+    ``rebuilt`` is the hypothesis as the path makes it from the reference: words of hits come from the reference, those
+    of substitutions and insertions from the hypothesis.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, rebuilt = [], []
+            for r, h in zip(_tokens(batch, "_r"), _tokens(batch, "_h")):
+                ops = align(r, h)
+                n = Counter(op for op, _, _ in ops)
+                counts.append([n[op] for op in ("hit", "sub", "del", "ins")])
+                rebuilt.append(" ".join(r[i] if op == "hit" else h[j] for op, i, j in ops if op != "del"))
+            columns = zip(*counts) if counts else ((),) * 4
+            yield pa.RecordBatch.from_arrays([batch.column(key), *(pa.array(c, pa.int64()) for c in columns), pa.array(rebuilt, pa.string())],
+                                             names=[key, "hits", "subs", "dels", "ins", "rebuilt"])
+
+    toks = spread(pairs, partitions).select(key, tokenize(ref).alias("_r"), tokenize(hyp).alias("_h"))
+    return toks.mapInArrow(run, f"{toks.schema[key].simpleString()}, hits long, subs long, dels long, ins long, rebuilt string")
+
+
 # ------------------------------------------------------------------ G1: phrase pairs
 #: Words on either side of a mined phrase pair, and words around it in its hint.
 PHRASE_WORDS = 4

@@ -28,6 +28,11 @@ DEFAULT_DOMAIN = "general"
 DEFAULT_LANGUAGES = ["en"]
 DEFAULT_SPELLING = "en-US"
 
+# The format of rendered rules and vocabulary.
+RULE_TABLE_HEAD = "| STT Error | Correct |\n|---|---|\n"
+ALIASES_OPEN, ALIASES_CLOSE = " (STT may say: ", ")"
+NOTHING = "(none)"
+
 
 def _keys(key: Sequence[str] | str) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
@@ -41,6 +46,18 @@ def _same_keys(keys: Sequence[str]) -> Column:
     return same
 
 
+def _order(df: DataFrame, prefix: str = "") -> list[str]:
+    """The columns that tell which row came first: ``seq`` and, where rows come from lists, their place ``pos``."""
+    return [f"{prefix}{c}" for c in ("seq", "pos") if f"{prefix}{c}" in df.columns]
+
+
+def _first_seen(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first row of each key in the order of several columns, one hash aggregate and join after the other."""
+    for column in order:
+        df = first_rows(df, keys, column)
+    return df
+
+
 # ------------------------------------------------------------------ P6 / P9 / U1
 def valid_pairs(df: DataFrame, a: str = "model_output", b: str = "correct_transcription") -> DataFrame:
     """Both sides non-blank after trimming all whitespace."""
@@ -70,24 +87,24 @@ def clean_vocab(raw: DataFrame) -> DataFrame:
 def dedupe_rules(raw: DataFrame, key: Sequence[str] | str = ("username",)) -> DataFrame:
     """One rule per ``lower(stt) -> lower(intended)`` per key.
 
-    The first occurrence (smallest ``seq``) supplies text, hint and base
+    The first occurrence (smallest ``seq``, then ``pos`` if there is one) supplies text, hint and base
     confidence; each repeat adds 0.1, capped at 1.0, rounded to 4 dp.
     """
     k = _keys(key)
     keys = [*k, "_ks", "_ki"]
     r = clean_rules(raw).withColumn("_ks", F.lower("stt_output")).withColumn("_ki", F.lower("intended"))
-    first = first_rows(r, keys, "seq")
+    first = _first_seen(r, keys, _order(r))
     n = r.groupBy(*[F.col(c).alias(f"n{c}") for c in keys]).agg(F.count(F.lit(1)).alias("repeats"))
     conf = F.round(F.least(F.lit(1.0), freq_to_confidence("frequency") + F.lit(0.1) * (F.col("repeats") - 1)), 4)
     return first.join(n, _same_keys(keys)).select(
         *k, "stt_output", "intended", conf.alias("confidence"), F.lit(1).alias("occurrences"),
         F.lit(SOURCE_LLM).alias("source"), F.col("explanation").alias("context_hint"),
-        F.col("seq").alias("first_seq"))
+        *[F.col(c).alias(f"first_{c}") for c in _order(r)])
 
 
 def rules_by_confidence(rules: DataFrame) -> DataFrame:
     """O3: confidence descending, first-seen order among ties."""
-    return rules.orderBy(F.col("confidence").desc(), F.col("first_seq").asc())
+    return rules.orderBy(F.col("confidence").desc(), *[F.col(f"first_{c}").asc() for c in ("seq", "pos") if f"first_{c}" in rules.columns])
 
 
 # ------------------------------------------------------------------ A14
@@ -101,14 +118,14 @@ def dedupe_vocab(raw: DataFrame, key: Sequence[str] | str = ("username",)) -> Da
     """
     k = _keys(key)
     v = clean_vocab(raw).withColumn("_kt", F.lower("term"))
-    aliases = v.select(*k, "_kt", "seq", F.posexplode("misheard_as").alias("_pos", "alias")) \
-        .where(F.col("alias").isNotNull()).withColumn("_ka", F.lower("alias")) \
-        .withColumn("_at", F.col("seq") * F.lit(1 << 20) + F.col("_pos"))
-    heard = first_rows(aliases, [*k, "_kt", "_ka"], "_at").groupBy(*[F.col(c).alias(f"n{c}") for c in [*k, "_kt"]]).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_at", "alias"))), lambda s: s["alias"]).alias("aliases"))
-    return first_rows(v, [*k, "_kt"], "seq").join(heard, _same_keys([*k, "_kt"]), "left").select(
+    order = _order(v)
+    aliases = v.select(*k, "_kt", *order, F.posexplode("misheard_as").alias("_place", "alias")) \
+        .where(F.col("alias").isNotNull()).withColumn("_ka", F.lower("alias"))
+    heard = _first_seen(aliases, [*k, "_kt", "_ka"], [*order, "_place"]).groupBy(*[F.col(c).alias(f"n{c}") for c in [*k, "_kt"]]).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct(*order, "_place", "alias"))), lambda s: s["alias"]).alias("aliases"))
+    return _first_seen(v, [*k, "_kt"], order).join(heard, _same_keys([*k, "_kt"]), "left").select(
         *k, "term", F.coalesce("category", F.lit("general")).alias("category"), "definition",
-        F.coalesce("aliases", F.array().cast("array<string>")).alias("aliases"), F.col("seq").alias("first_seq"))
+        F.coalesce("aliases", F.array().cast("array<string>")).alias("aliases"), *[F.col(c).alias(f"first_{c}") for c in order])
 
 
 def alias_top3(vocab: DataFrame) -> DataFrame:
@@ -187,13 +204,14 @@ def build_profiles(mapping: DataFrame, rules: DataFrame, vocab: DataFrame, info:
     collected per user are bounded by that user's distinct rules.
     """
     r = rules.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(
-        (-F.col("confidence")).alias("_o1"), F.col("first_seq").alias("_o2"),
-        F.struct(F.concat(F.lit("r"), F.col("first_seq").cast("string")).alias("id"), "stt_output", "intended",
+        (-F.col("confidence")).alias("_o1"), F.struct(*_order(rules, "first_")).alias("_o2"),
+        F.struct(F.concat(F.lit("r"), F.concat_ws("-", *[F.col(c).cast("string") for c in _order(rules, "first_")])).alias("id"),
+                 "stt_output", "intended",
                  F.col("occurrences").cast("int").alias("occurrences"), "confidence", "source", "context_hint",
                  F.lit(None).cast("timestamp").alias("created_at"),
                  F.lit(None).cast("timestamp").alias("last_seen")).alias("rule")))).alias("_r"))
     v = vocab.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(
-        F.col("first_seq").alias("_o"),
+        F.struct(*_order(vocab, "first_")).alias("_o"),
         F.struct("term", "category", "definition", "aliases",
                  F.lit(None).cast("timestamp").alias("added_at")).alias("entry")))).alias("_v"))
     styled = with_style_defaults(info)
@@ -293,14 +311,14 @@ def render_rules(profiles: DataFrame) -> DataFrame:
         (-F.coalesce(r["confidence"], F.lit(0.0))).alias("o"), i.alias("i"), r.alias("r")))), lambda s: s["r"])
     rows = F.transform(ordered, lambda r: F.concat(F.lit("| "), r["stt_output"], F.lit(" | "),
                                                          r["intended"], F.lit(" |")))
-    table = F.when(F.size("corrections") > 0, F.concat(F.lit("| STT Error | Correct |\n|---|---|\n"),
-                                                      F.array_join(rows, "\n"))).otherwise(F.lit("(none)"))
+    table = F.when(F.size("corrections") > 0, F.concat(F.lit(RULE_TABLE_HEAD),
+                                                      F.array_join(rows, "\n"))).otherwise(F.lit(NOTHING))
 
     def vline(e):
         al = F.array_join(F.slice(F.coalesce(e["aliases"], F.array().cast("array<string>")), 1, 3), ", ")
         return F.concat(F.lit("- **"), e["term"], F.lit("**"),
-                        F.when(al != "", F.concat(F.lit(" (STT may say: "), al, F.lit(")"))).otherwise(F.lit("")))
-    vocab = F.when(F.size("vocabulary") > 0, F.array_join(F.transform("vocabulary", vline), "\n")).otherwise(F.lit("(none)"))
+                        F.when(al != "", F.concat(F.lit(ALIASES_OPEN), al, F.lit(ALIASES_CLOSE))).otherwise(F.lit("")))
+    vocab = F.when(F.size("vocabulary") > 0, F.array_join(F.transform("vocabulary", vline), "\n")).otherwise(F.lit(NOTHING))
     return profiles.select(F.col("name").alias("username"), "speaker_id",
                            F.col("style.preferred_spelling").alias("spelling"),
                            table.alias("corrections_table"), vocab.alias("vocabulary_list"))
@@ -351,14 +369,10 @@ def merge_batches(batches: DataFrame, key: Sequence[str] | str = ("username",),
     return counts.join(info, [*k, "_info"], "left").select(*k, "speaker_info", "last_batch", "batches")
 
 
-#: Places of one batch's list items in the order over all batches.
-_BATCH_ITEMS = 1 << 20
-
-
 def _batch_items(batches: DataFrame, items: str, key: Sequence[str] | str, batch: str) -> DataFrame:
     k = _keys(key)
-    return batches.select(*k, batch, F.posexplode(items).alias("_pos", "_item")).select(
-        *k, (F.col(batch) * _BATCH_ITEMS + F.col("_pos")).cast("long").alias("seq"), "_item.*")
+    return batches.select(*k, F.col(batch).cast("long").alias("seq"), F.posexplode(items).alias("pos", "_item")).select(
+        *k, "seq", "pos", "_item.*")
 
 
 def batch_rules(batches: DataFrame, key: Sequence[str] | str = ("username",), batch: str = "batch_no") -> DataFrame:

@@ -117,8 +117,9 @@ class RuleTrie:
 
 def _ordered(rules: DataFrame, key: str) -> DataFrame:
     """(key, rules) with the rules of a user in running order: confidence descending, then first seen."""
+    seen = [c for c in ("first_seq", "first_pos") if c in rules.columns]
     return rules.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct(
-        (-F.col("confidence")).alias("o1"), F.col("first_seq").alias("o2"), "stt_output", "intended"))),
+        (-F.col("confidence")).alias("o1"), *seen, "stt_output", "intended"))),
         lambda r: F.struct(r["stt_output"].alias("phrase"), r["intended"].alias("replacement"))).alias("_rules"))
 
 

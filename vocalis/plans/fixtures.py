@@ -30,8 +30,8 @@ _GENDER = "CASE WHEN l_partkey % 2 = 0 THEN 'M' ELSE 'F' END"
 
 
 def _results_cols(dbl) -> list[str]:
-    pen = (f"(CASE l_linenumber % 4 WHEN 0 THEN {dbl('0.00')} WHEN 1 THEN {dbl('0.05')} "
-           f"WHEN 2 THEN {dbl('0.08')} ELSE {dbl('0.04')} END)")
+    pen = (f"(CASE l_linenumber % 4 WHEN 0 THEN {dbl('0.00')} WHEN 1 THEN {dbl('0.03')} "
+           f"WHEN 2 THEN {dbl('0.09')} ELSE {dbl('0.06')} END)")
     return [
         f"concat({_SPK}, '_', cast(l_orderkey AS string), '_', cast(l_linenumber AS string), '.wav') AS filename",
         f"{_SPK} AS speaker",
@@ -39,9 +39,9 @@ def _results_cols(dbl) -> list[str]:
         f"{_SEV} AS severity",
         f"{_NOISE} AS noise_type",
         f"{_AUG5} AS augmentation",
-        f"(CASE l_returnflag WHEN 'A' THEN {dbl('0.22')} WHEN 'N' THEN {dbl('0.35')} ELSE {dbl('0.55')} END)"
+        f"(CASE l_returnflag WHEN 'A' THEN {dbl('0.26')} WHEN 'N' THEN {dbl('0.41')} ELSE {dbl('0.63')} END)"
         f" + {pen} + l_discount AS baseline_wer",
-        f"(CASE l_returnflag WHEN 'A' THEN {dbl('0.10')} WHEN 'N' THEN {dbl('0.18')} ELSE {dbl('0.28')} END)"
+        f"(CASE l_returnflag WHEN 'A' THEN {dbl('0.13')} WHEN 'N' THEN {dbl('0.21')} ELSE {dbl('0.32')} END)"
         f" + {pen} + l_tax AS finetuned_wer",
     ]
 
@@ -411,3 +411,8 @@ def document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
                                .when((i + 1) % 13 == 0, F.lit("")).otherwise(x)), lambda x: x != "")
     return toks.select(F.col("doc_id").alias("pair_id"), F.array_join(hyp, " ").alias("model_output"),
                        F.array_join("r", " ").alias("correct_transcription"))
+
+
+DOCUMENT_PAIRS_SQL = f"""SELECT pair_id, r, list_filter(list_transform(r, lambda x, i: CASE WHEN i % 7 = 0 THEN 'uh'
+    WHEN i % 13 = 0 THEN '' ELSE x END), lambda x: x <> '') AS h
+  FROM (SELECT doc_id AS pair_id, list_filter(regexp_split_to_array(lower(text), '{DUCK_WS_RUN}'), lambda x: x <> '') AS r FROM documents)"""

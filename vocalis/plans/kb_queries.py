@@ -170,11 +170,11 @@ def q_profile_lookup(spark, sf_dir):
 # ------------------------------------------------------------------ F15 / F14 / S10
 @register("render_rules", with_cte(
     "SELECT p.name AS username, p.speaker_id, p.spelling, "
-    "CASE WHEN p.n_corrections = 0 THEN '(none)' ELSE concat('| STT Error | Correct |', chr(10), '|---|---|', chr(10), "
+    f"CASE WHEN p.n_corrections = 0 THEN '{K.NOTHING}' ELSE concat('{K.RULE_TABLE_HEAD}', "
     "(SELECT string_agg(concat('| ', r.stt_output, ' | ', r.intended, ' |'), chr(10) ORDER BY r.confidence DESC, r.first_seq) "
     " FROM rules r WHERE r.username = p.name)) END AS corrections_table, "
-    "CASE WHEN p.n_vocabulary = 0 THEN '(none)' ELSE (SELECT string_agg(concat('- **', v.term, '**', "
-    "CASE WHEN array_to_string(v.aliases[1:3], ', ') <> '' THEN concat(' (STT may say: ', array_to_string(v.aliases[1:3], ', '), ')') "
+    f"CASE WHEN p.n_vocabulary = 0 THEN '{K.NOTHING}' ELSE (SELECT string_agg(concat('- **', v.term, '**', "
+    f"CASE WHEN array_to_string(v.aliases[1:3], ', ') <> '' THEN concat('{K.ALIASES_OPEN}', array_to_string(v.aliases[1:3], ', '), '{K.ALIASES_CLOSE}') "
     "ELSE '' END), chr(10) ORDER BY v.first_seq) FROM vocab v WHERE v.username = p.name) END AS vocabulary_list "
     "FROM profiles p", **_kb_ctes()))
 def q_render_rules(spark, sf_dir):
@@ -210,6 +210,30 @@ def q_read_profiles(spark, sf_dir):
                        F.size("vocabulary").cast("bigint").alias("n_vocabulary"))
 
 
+_UPSERT_AT = "TIMESTAMP '2030-01-01 00:00:00'"
+
+
+@register("upsert_profiles", with_cte(
+    "SELECT speaker_id, name, CASE WHEN u % 3 = 0 THEN 'updated' ELSE domain END AS domain, n_corrections, n_vocabulary, "
+    "u % 3 = 0 AS refreshed FROM numbered UNION ALL SELECT concat('new-', speaker_id), name, domain, n_corrections, n_vocabulary, true "
+    "FROM numbered WHERE u % 5 = 0", **_kb_ctes(numbered="SELECT *, CAST(substr(name, 6) AS INTEGER) AS u FROM profiles")))
+def q_upsert_profiles(spark, sf_dir):
+    """Some stored documents changed, some new ones, upserted into the bucketed store; a second time changes nothing."""
+    from vocalis.session import scratch_path
+    from vocalis.sources.profiles import read_profile_store, upsert_profile_store, write_profile_store
+    path = scratch_path(spark, "profile-store")
+    number = F.substring("name", 6, 9).cast("int")
+    stored = profiles(spark, sf_dir)
+    write_profile_store(stored, path)
+    new = stored.where(number % 3 == 0).withColumn("domain", F.lit("updated")) \
+        .unionByName(stored.where(number % 5 == 0).withColumn("speaker_id", F.concat(F.lit("new-"), "speaker_id")))
+    for _ in range(2):
+        upsert_profile_store(spark, path, new, F.expr(_UPSERT_AT))
+    return read_profile_store(spark, path).select(
+        "speaker_id", "name", "domain", F.size("corrections").cast("bigint").alias("n_corrections"),
+        F.size("vocabulary").cast("bigint").alias("n_vocabulary"), (F.col("updated_at") == F.expr(_UPSERT_AT)).alias("refreshed"))
+
+
 # ------------------------------------------------------------------ J3
 # the rules one after the other on text whose blanks are doubled, so that every word has its own
 @register("apply_rules", with_cte(

@@ -66,6 +66,19 @@ def q_stream_source(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@register("stream_offsets", """SELECT CAST(least(50, n - 50 * i) AS BIGINT) AS num_input_rows FROM (
+    SELECT n, unnest(range(0, (n + 49) // 50)) AS i FROM (SELECT count(*) AS n FROM embeddings GROUP BY vec_id % 3, vec_id >= 100))""")
+def q_stream_offsets(spark, sf_dir):
+    """At most 50 messages a micro-batch out of larger input files, over a restart on the same checkpoint."""
+    inbox, out, ck = (scratch_path(spark, n) for n in ("inbox", "out", "ckpt"))
+    msgs = _messages(spark, sf_dir).withColumn("slice", F.pmod("vec_id", F.lit(3)).cast("int"))
+    for arrived in (msgs.where("vec_id < 100"), msgs.where("vec_id >= 100")):
+        SS.land_messages(arrived.drop("vec_id").repartition("slice"), inbox, by="slice")
+        parsed = SF.parse_audio_message(SS.landed_stream(spark, inbox)).drop("audio_bytes", "meta_json")
+        SS.drain(SS.start_numbered_sink(parsed, out, ck))
+    return spark.read.parquet(out).groupBy("batch_id").agg(F.count(F.lit(1)).alias("num_input_rows")).drop("batch_id")
+
+
 # ------------------------------------------------------------------ S7 (restart from checkpoint)
 @register("stream_sink", with_cte(f"SELECT {_MSG_TWIN_META}, vec_id FROM clips", clips=CLIPS_SQL))
 def q_stream_sink(spark, sf_dir):
@@ -163,4 +176,4 @@ def q_stream_wer(spark, sf_dir):
     _write_inbox(res, inbox, 4)
     stream = spark.readStream.schema(res.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
     SS.drain(SW.start_stream_wer(stream, out, ck))
-    return spark.read.parquet(out)
+    return SW.current_wer(spark, out)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from vocalis.functions import formatting as FM
 from vocalis.functions import text as T
 from vocalis.operators import wer_reports as R
-from vocalis.operators.alignment import document_errors, edit_ops
+from vocalis.operators.alignment import document_alignment, document_errors, edit_ops
 from vocalis.operators.wer import pair_wer, wer_by_user
 from vocalis.plans import clips as C
 from vocalis.plans import fixtures as X
@@ -101,6 +101,22 @@ def q_edit_ops(spark, sf_dir):
         F.count_if(F.col("op") != "del").alias("n_hyp"))
 
 
+@register("document_alignment", with_cte(
+    "SELECT pair_id, len(r)::BIGINT AS n_ref, len(h)::BIGINT AS n_hyp, sha256(array_to_string(h, ' ')) AS rebuilt_sha256, true AS least "
+    "FROM docs", docs=X.DOCUMENT_PAIRS_SQL))
+def q_document_alignment(spark, sf_dir):
+    """F1 / F3 on whole documents: S + D + H and S + I + H are the lengths, the path rebuilds the hypothesis, and its
+    S + D + I is the distance that ``document_errors`` counts by other means."""
+    pairs = X.document_pairs(spark, sf_dir)
+    n = C.partitions(spark)
+    path = document_alignment(pairs, partitions=n)
+    counted = document_errors(pairs, partitions=n).select(F.col("pair_id").alias("_pair"), "errors")
+    return path.join(counted, F.col("pair_id") == F.col("_pair")).select(
+        "pair_id", (F.col("subs") + F.col("dels") + F.col("hits")).alias("n_ref"),
+        (F.col("subs") + F.col("ins") + F.col("hits")).alias("n_hyp"), F.sha2("rebuilt", 256).alias("rebuilt_sha256"),
+        (F.col("subs") + F.col("dels") + F.col("ins") == F.col("errors")).alias("least"))
+
+
 # ------------------------------------------------------------------ F5 / F6
 @register("tokenize", f"SELECT conv_id, turn, {duck_tokens('text')} AS tokens FROM conversations")
 def q_tokenize(spark, sf_dir):

@@ -3,8 +3,9 @@
 Jobs never pick a machine-local temporary folder on their own: intermediate
 tables and streaming checkpoints live under the folder the cluster names in
 ``spark.checkpoint.dir`` (shared storage, survives executor loss).  Only when
-that setting is missing (local tests) do we fall back to a fresh ``mkdtemp``
-folder, and we record it in the session so later calls agree.
+that setting is missing in local mode (tests) do we fall back to a fresh
+``mkdtemp`` folder, and we record it in the session so later calls agree; on a
+cluster a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -50,9 +51,12 @@ def get_session(master: str | None = None, app: str = "vocalis",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a local one only when unset."""
+    """Return the shared checkpoint folder; in local mode one is made when it is unset."""
     base = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"{_CHECKPOINT_KEY} must name a folder that the driver and all executors of {master} share")
         base = tempfile.mkdtemp(prefix="vocalis-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, base)
     try:

@@ -19,6 +19,29 @@ MESSAGE_SCHEMA = T.StructType([
 ])
 
 
+#: Messages of a landed file; a trigger of n messages takes n // LANDED_MESSAGES files.
+LANDED_MESSAGES = 50
+
+
+def land_messages(messages: DataFrame, path: str, per_file: int = LANDED_MESSAGES, by: str | None = None) -> None:
+    """Append messages to a folder for ``audio_stream``, at most ``per_file`` in a file.
+
+    Spark's file source counts its offsets in files.  Cutting what arrives into small files (whatever the size of the
+    files it came in) makes a file the unit that the stream's offset limit needs; ``by`` keeps a column as folders.
+    """
+    w = messages.write.mode("append").option("maxRecordsPerFile", per_file)
+    (w.partitionBy(by) if by else w).parquet(path)
+
+
+def landed_stream(spark: SparkSession, path: str, max_messages: int = LANDED_MESSAGES, per_file: int = LANDED_MESSAGES,
+                  schema: T.StructType = MESSAGE_SCHEMA) -> DataFrame:
+    """A landed folder as a stream of at most ``max_messages`` messages a micro-batch; a restart goes on after the
+    last committed file."""
+    if max_messages < per_file:
+        raise ValueError(f"a micro-batch takes at least one file of {per_file} messages")
+    return audio_stream(spark, path, max_per_trigger=max_messages // per_file, schema=schema)
+
+
 def audio_stream(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
                  max_per_trigger: int | None = 50, schema: T.StructType = MESSAGE_SCHEMA,
                  **options: str) -> DataFrame:

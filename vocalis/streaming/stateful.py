@@ -1,82 +1,119 @@
 """Keyed stateful stream operators (T3 reassembly, T4 rate limiting).
 
-Both use ``applyInPandasWithState``: state lives in the checkpointed state
-store, partitioned by key, so a restart resumes exactly where the last
-committed batch left it.  State is bounded per key (T4: at most ``limit``
-timestamps; T3: chunks that arrived ahead of a gap) and in the number of keys:
-event-time timeouts drop it once the watermark has passed.  Processing-time
-timeouts are not used: they make Spark schedule an empty batch after every
-batch, so an ``availableNow`` drain would never finish.
+Both are ``transformWithStateInPandas`` processors: state lives in the checkpointed
+state store, partitioned by key, and is read and written entry by entry, so a
+micro-batch costs what it touches and not what is stored, and a restart
+resumes where the last committed batch left it.  Event-time timers drop state once the
+watermark has passed.  Processing-time timers are not used: they make Spark schedule an
+empty batch after every batch, so an ``availableNow`` drain would never finish.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from vocalis.operators.admission import admit
 from vocalis.operators.relational import epoch_micros
 
+# Fixed value: the state store that keeps state entry by entry.
+_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _entrywise_state(spark: SparkSession) -> None:
+    """Queries started from now on keep their state in the entry-wise store; a restarted one keeps its own."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", _STORE)
+
+
 # ------------------------------------------------------------------ T3
 REASSEMBLY_OUTPUT = "file_id long, from_index long, to_index long, text string, done boolean, total long"
-REASSEMBLY_STATE = "next_index long, total long, closed boolean, pending_idx array<long>, pending_text array<string>"
 
 
 def _clean(t) -> str:
     return "" if t is None else str(t).strip()
 
 
-def _reassembly_fn(timeout_ms: int):
-    def out(*row) -> pd.DataFrame:
+class _Reassembly(StatefulProcessor):
+    """State of a file: the next index, and an entry for each chunk that came ahead of it."""
+
+    def __init__(self, timeout_ms: int):
+        self._timeout_ms = timeout_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._head = handle.getValueState("head", "next_index long, total long, closed boolean, timer long")
+        self._pending = handle.getMapState("pending", "chunk_index long", "text string")
+
+    def _store(self, nxt: int, total: int | None, closed: bool, timer: int | None, now_ms: int) -> None:
+        """Keep the head and let its one timer end a timeout from now."""
+        due = now_ms + self._timeout_ms
+        if due != timer:
+            if timer is not None:
+                self._handle.deleteTimer(timer)
+            self._handle.registerTimer(due)
+        self._head.update((nxt, total, closed, due))
+
+    @staticmethod
+    def _out(*row) -> pd.DataFrame:
         return pd.DataFrame([row], columns=["file_id", "from_index", "to_index", "text", "done", "total"])
 
-    def wait(state: GroupState, last_ms: int = 0) -> None:
-        state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), last_ms) + timeout_ms)
-
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        file_id = int(key[0])
-        if state.hasTimedOut:
-            nxt, total, closed, p_idx, p_txt = state.get
-            if closed:
-                state.remove()
-                return
-            # give up on the gap; the closed file stays known for another timeout so late chunks are ignored
-            pending = sorted(zip(p_idx, p_txt))
-            state.update((nxt, total, True, [], []))
-            wait(state)
-            if pending:
-                yield out(file_id, nxt, pending[-1][0], " ".join(t for _, t in pending if t), False, total)
-            return
-        known = state.exists
-        nxt, total, closed, p_idx, p_txt = state.get if known else (0, None, False, [], [])
-        pending = dict(zip(p_idx, p_txt))
-        watermark = state.getCurrentWatermarkMs()
-        fresh, last_ms = known, 0
-        for pdf in pdfs:
-            for idx, txt, tot, at in zip(pdf["chunk_index"], pdf["text"], pdf["total"], pdf["_et_ms"]):
-                if not known and at < watermark - timeout_ms:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        file_id, watermark = int(key[0]), timerValues.getCurrentWatermarkInMs()
+        known = self._head.exists()
+        nxt, total, closed, timer = self._head.get() if known else (0, None, False, None)
+        fresh: dict[int, str] = {}
+        seen, last_ms = known, 0
+        for pdf in rows:
+            for idx, txt, tot, at in zip(pdf["chunk_index"], pdf["text"], pdf["total"], pdf["et_ms"]):
+                if not known and at < watermark - self._timeout_ms:
                     continue  # older than any state kept: its file is over
-                fresh, last_ms = True, max(last_ms, int(at))
+                seen, last_ms = True, max(last_ms, int(at))
                 if int(idx) >= nxt and not closed:
-                    pending[int(idx)] = _clean(txt)
+                    fresh[int(idx)] = _clean(txt)
                 if tot is not None and not pd.isna(tot):
                     total = int(tot)
-        if not fresh:
+        if not seen:
             return
         start, parts = nxt, []
-        while nxt in pending:
-            parts.append(pending.pop(nxt))
+        while True:
+            if nxt in fresh:
+                parts.append(fresh.pop(nxt))
+                if known and self._pending.containsKey((nxt,)):
+                    self._pending.removeKey((nxt,))
+            elif known and self._pending.containsKey((nxt,)):
+                parts.append(self._pending.getValue((nxt,))[0])
+                self._pending.removeKey((nxt,))
+            else:
+                break
             nxt += 1
+        for idx, txt in fresh.items():
+            self._pending.updateValue((idx,), (txt,))
         done = total is not None and nxt >= total
-        state.update((nxt, total, closed or done, list(pending.keys()), list(pending.values())))
-        wait(state, last_ms)
+        self._store(nxt, total, closed or done, timer, max(watermark, last_ms))
         if nxt > start:
-            yield out(file_id, start, nxt - 1, " ".join(p for p in parts if p), done, total)
-    return fn
+            yield self._out(file_id, start, nxt - 1, " ".join(p for p in parts if p), done, total)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if not self._head.exists():
+            return
+        nxt, total, closed, timer = self._head.get()
+        if timer != expiredTimerInfo.getExpiryTimeInMs():
+            return
+        if closed:
+            self._head.clear()
+            self._pending.clear()
+            return
+        # give up on the gap; the closed file stays known for another timeout so late chunks are ignored
+        pending = sorted((k[0], v[0]) for k, v in self._pending.iterator())
+        self._pending.clear()
+        self._store(nxt, total, True, None, timerValues.getCurrentWatermarkInMs())
+        if pending:
+            yield self._out(int(key[0]), nxt, pending[-1][0], " ".join(t for _, t in pending if t), False, total)
 
 
 def stream_reassembly(chunks: DataFrame, event_time: str, key: str = "file_id", index: str = "chunk_index",
@@ -91,36 +128,96 @@ def stream_reassembly(chunks: DataFrame, event_time: str, key: str = "file_id",
     files stay known for another timeout, so a chunk sent again is not
     emitted again; chunks older than that are dropped.
     """
+    _entrywise_state(chunks.sparkSession)
     c = chunks.select(F.col(key).cast("long").alias("file_id"), F.col(index).cast("long").alias("chunk_index"),
                       F.col(text).alias("text"), F.col(total).cast("long").alias("total"),
-                      F.col(event_time).alias("_et"), F.unix_millis(event_time).alias("_et_ms"))
-    return c.withWatermark("_et", timeout).groupBy("file_id").applyInPandasWithState(
-        _reassembly_fn(_duration_ms(timeout)), REASSEMBLY_OUTPUT, REASSEMBLY_STATE, "append",
-        GroupStateTimeout.EventTimeTimeout)
+                      F.col(event_time).alias("et"), F.unix_millis(event_time).alias("et_ms"))
+    return c.withWatermark("et", timeout).groupBy("file_id").transformWithStateInPandas(
+        _Reassembly(_duration_ms(timeout)), REASSEMBLY_OUTPUT, "append", "EventTime")
 
 
 # ------------------------------------------------------------------ T4
 RATE_OUTPUT = "client_id long, request_id long, ts_us long, allowed boolean, wait_us long"
-RATE_STATE = "kept array<long>"
-
-
-def _rate_fn(limit: int, window_us: int):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        kept = [int(t) for t in state.get[0]] if state.exists else []
-        last = 0
-        for pdf in pdfs:
-            ts = pdf["ts_us"].to_numpy()
-            allowed, wait = admit(ts, limit, window_us, kept)
-            last = int(ts[-1])
-            yield pd.DataFrame({"client_id": int(key[0]), "request_id": pdf["request_id"].to_numpy(), "ts_us": ts,
-                                "allowed": allowed, "wait_us": wait})
-        state.update((kept,))
+#: Requests of one entry of a client's spool.
+SPOOL_ROWS = 1024
+
+
+def merge_sorted(pieces: list[Iterator[np.ndarray]]) -> Iterator[np.ndarray]:
+    """Blocks of (ts, request_id) rows in order, from pieces that each give their blocks in order; a block of each
+    piece is held."""
+    held: list[np.ndarray | None] = [next(p, None) for p in pieces]
+    while any(h is not None for h in held):
+        ts, rid = min((int(h[-1, 0]), int(h[-1, 1])) for h in held if h is not None)
+        out = []
+        for k, block in enumerate(held):
+            if block is None:
+                continue
+            n = int(((block[:, 0] < ts) | ((block[:, 0] == ts) & (block[:, 1] <= rid))).sum())
+            if n:
+                out.append(block[:n])
+            held[k] = block[n:] if n < len(block) else next(pieces[k], None)
+        rows = np.concatenate(out)
+        yield rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+
+
+class _RateLimit(StatefulProcessor):
+    """State of a client: its last admitted times.  A micro-batch of more than one frame is sorted through the state
+    store, so that only a block of each frame is held in memory."""
+
+    def __init__(self, limit: int, window_us: int):
+        self._limit, self._window_us = limit, window_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._kept = handle.getValueState("kept", "kept array<long>, timer long")
+        self._spool = handle.getMapState("spool", "piece int, block int", "requests binary")
+
+    def _blocks(self, piece: int, n: int) -> Iterator[np.ndarray]:
+        for block in range(n):
+            data = self._spool.getValue((piece, block))[0]
+            self._spool.removeKey((piece, block))
+            yield np.frombuffer(data, dtype="<i8").reshape(-1, 2)
+
+    def _in_order(self, rows: Iterator[pd.DataFrame]) -> Iterator[np.ndarray]:
+        first = None
+        sizes: list[int] = []
+        for pdf in rows:
+            piece = pdf[["ts_us", "request_id"]].to_numpy(dtype="<i8")
+            piece = piece[np.lexsort((piece[:, 1], piece[:, 0]))]
+            if first is None and not sizes:
+                first = piece
+                continue
+            for one in ([first, piece] if first is not None else [piece]):
+                cuts = range(0, len(one), SPOOL_ROWS)
+                for block, at in enumerate(cuts):
+                    self._spool.updateValue((len(sizes), block), (np.ascontiguousarray(one[at:at + SPOOL_ROWS]).tobytes(),))
+                sizes.append(len(cuts))
+            first = None
+        if first is not None:
+            yield first
+        else:
+            yield from merge_sorted([self._blocks(k, n) for k, n in enumerate(sizes)])
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        state = self._kept.get() if self._kept.exists() else None
+        kept, timer, last = list(state[0]) if state else [], state[1] if state else None, 0
+        for part in self._in_order(rows):
+            ts = part[:, 0]
+            allowed, wait = admit(ts, self._limit, self._window_us, kept)
+            last = max(last, int(ts[-1]))
+            yield pd.DataFrame({"client_id": int(key[0]), "request_id": part[:, 1], "ts_us": ts, "allowed": allowed, "wait_us": wait})
         # nothing admitted counts any more once the watermark is a window past the last request
-        state.setTimeoutTimestamp(max((last + window_us) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-    return fn
+        due = max((last + self._window_us) // 1000 + 1, timerValues.getCurrentWatermarkInMs() + 1)
+        if due != timer:
+            if timer is not None:
+                self._handle.deleteTimer(timer)
+            self._handle.registerTimer(due)
+        self._kept.update((kept, due))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self._kept.exists() and self._kept.get()[1] == expiredTimerInfo.getExpiryTimeInMs():
+            self._kept.clear()
+        return iter(())
 
 
 def stream_rate_limit(events: DataFrame, key: str = "client_id", ts: str = "ts", tie: str = "request_id",
@@ -131,17 +228,11 @@ def stream_rate_limit(events: DataFrame, key: str = "client_id", ts: str = "ts",
     one window after the client's last request).  Requests of a client are
     expected in time order across batches; one that comes late is decided in
     arrival order, one later than ``lateness`` is dropped by the watermark."""
+    _entrywise_state(events.sparkSession)
     e = events.select(F.col(key).cast("long").alias("client_id"), F.col(tie).cast("long").alias("request_id"),
-                      epoch_micros(events, ts).alias("ts_us")).withColumn("_et", F.timestamp_micros("ts_us"))
-
-    def sorted_fn(key_, pdfs, state):
-        if state.hasTimedOut:
-            return _rate_fn(limit, window_us)(key_, pdfs, state)
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts_us", "request_id"], kind="mergesort")
-        return _rate_fn(limit, window_us)(key_, iter([pdf]), state)
-
-    return e.withWatermark("_et", lateness).groupBy("client_id").applyInPandasWithState(
-        sorted_fn, RATE_OUTPUT, RATE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+                      epoch_micros(events, ts).alias("ts_us")).withColumn("et", F.timestamp_micros("ts_us"))
+    return e.withWatermark("et", lateness).groupBy("client_id").transformWithStateInPandas(
+        _RateLimit(limit, window_us), RATE_OUTPUT, "append", "EventTime")
 
 
 def _duration_ms(text: str) -> int:

@@ -103,14 +103,28 @@ def _decide(limit: int, window_us: int):
 
 def decide_buckets(e: DataFrame, limit: int, window_us: int, slot_us: int, schema: str, partitions: int | None = None,
                    rows: int | None = None) -> DataFrame:
-    """The decisions on ``e`` (client_id, request_id, ts_us, none of them null)."""
-    e = with_buckets(e, slot_us, rows or BUCKET_ROWS)
+    """The decisions on ``e`` (client_id, request_id, ts_us, none of them null).
+
+    Where no client has more requests than a bucket, each client is one.
+    """
+    rows = rows or BUCKET_ROWS
+    busiest = e.groupBy("client_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
+    if busiest <= rows:
+        e = e.withColumn("_slot", F.lit(0).cast("long")).withColumn("_part", F.lit(0).cast("long"))
+        begin = e.select(*_BUCKET).distinct().withColumn("_recent", F.array().cast("array<long>"))
+        return _decided(e, begin, limit, window_us, schema, partitions)
+    e = with_buckets(e, slot_us, rows)
     times = _kept(e.groupBy(*_BUCKET).agg(F.sort_array(F.collect_list("ts_us")).alias("times")), "rate-times")
     chained = runs_of_buckets(times, window_us)
     chained = (chained.repartition(partitions, "client_id", "_run") if partitions else chained.repartition("client_id", "_run")) \
         .sortWithinPartitions("client_id", "_run", "_slot", "_part") \
         .mapInArrow(_chain(limit, window_us), "client_id long, _slot long, _part long, _recent array<long>")
-    heads = chained.select("client_id", F.lit(0).cast("long").alias("request_id"), F.lit(0).cast("long").alias("ts_us"), "_slot", "_part",
+    return _decided(e, chained, limit, window_us, schema, partitions)
+
+
+def _decided(e: DataFrame, begin: DataFrame, limit: int, window_us: int, schema: str, partitions: int | None) -> DataFrame:
+    """All buckets of ``e``, each from the admitted times that ``begin`` (bucket, _recent) gives for it."""
+    heads = begin.select("client_id", F.lit(0).cast("long").alias("request_id"), F.lit(0).cast("long").alias("ts_us"), "_slot", "_part",
                            "_recent", F.lit(True).alias("_head"))
     both = e.select("client_id", "request_id", "ts_us", "_slot", "_part", F.lit(None).cast("array<long>").alias("_recent"),
                     F.lit(False).alias("_head")).unionByName(heads)

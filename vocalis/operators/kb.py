@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vocalis.functions.formatting import freq_to_confidence
-from vocalis.operators.relational import first_rows
+from vocalis.operators.relational import first_rows, spread
 from vocalis.functions.text import DEFAULT_FILLERS, is_blank, strip_ws, tokenize
 
 # Rule sources and speaking-style defaults of a profile.
@@ -281,7 +281,7 @@ def attach_profile(requests: DataFrame, mapping: DataFrame, profiles: DataFrame,
 
 # ------------------------------------------------------------------ J3
 def apply_rules(texts: DataFrame, rules: DataFrame, text_col: str = "model_output",
-                key: str = "username", out_col: str = "corrected") -> DataFrame:
+                key: str = "username", out_col: str = "corrected", partitions: int | None = None) -> DataFrame:
     """Apply a speaker's rules to raw text, highest confidence first.
 
     One semantics for all rules: they run one after the other (confidence
@@ -292,7 +292,7 @@ def apply_rules(texts: DataFrame, rules: DataFrame, text_col: str = "model_outpu
     rules are one token trie, built once per task (``rule_matching.py``).
     """
     from vocalis.operators.rule_matching import apply_tries
-    return apply_tries(texts, rules, text_col, key, out_col)
+    return apply_tries(spread(texts, partitions), rules, text_col, key, out_col)
 
 
 def profile_rules(profiles: DataFrame, key: str = "name") -> DataFrame:

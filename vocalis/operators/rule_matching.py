@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vocalis.session import scratch_path
+
 #: Rules, and letters of all rules, up to which every task gets all of them; beyond that texts and rules meet by user.
 MAX_SHARED_RULES = 100_000
 MAX_SHARED_LETTERS = 8_000_000
@@ -129,13 +131,18 @@ def _pairs(rules: list | None) -> list[tuple[str, str]]:
 
 def apply_tries(texts: DataFrame, rules: DataFrame, text_col: str, key: str, out_col: str) -> DataFrame:
     """``texts`` with ``out_col``: the text after its user's rules; unchanged without a user or rules, null if null."""
-    size = rules.agg(F.count(F.lit(1)).alias("n"), F.sum(
-        F.char_length("stt_output") + F.char_length("intended")).alias("letters")).first()
+    folder = scratch_path(texts.sparkSession, "ordered-rules")
+    ordered = _ordered(rules, key)
+    ordered.write.mode("overwrite").parquet(folder)
+    ordered = texts.sparkSession.read.schema(ordered.schema).parquet(folder)
+    size = ordered.agg(F.coalesce(F.sum(F.size("_rules")), F.lit(0)).alias("n"), F.sum(F.aggregate(
+        "_rules", F.lit(0).cast("long"), lambda n, r: n + F.coalesce(F.char_length(r["phrase"]) + F.char_length(r["replacement"]), F.lit(0))))
+        .alias("letters")).first()
     texts = texts.drop(out_col) if out_col in texts.columns else texts
     names = texts.columns
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema), f"`{out_col}` string"])
     if size["n"] <= MAX_SHARED_RULES and (size["letters"] or 0) <= MAX_SHARED_LETTERS:
-        shared = texts.sparkSession.sparkContext.broadcast({r[key]: _pairs(r["_rules"]) for r in _ordered(rules, key).collect()})
+        shared = texts.sparkSession.sparkContext.broadcast({r[key]: _pairs(r["_rules"]) for r in ordered.collect()})
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tries: dict = {}
@@ -157,7 +164,7 @@ def apply_tries(texts: DataFrame, rules: DataFrame, text_col: str, key: str, out
         F.col(key).alias("_user"), F.ceil(F.col("_n") / GROUP_TEXTS).cast("int").alias("_parts"))
     dealt = texts.join(parts, F.col(key).eqNullSafe(F.col("_user"))) \
         .withColumn("_part", F.floor(F.rand(1) * F.col("_parts")).cast("int")).drop("_user", "_parts")
-    copies = _ordered(rules, key).join(parts, F.col(key) == F.col("_user")) \
+    copies = ordered.join(parts, F.col(key) == F.col("_user")) \
         .select(F.col(key).alias("_user"), F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"), "_rules")
 
     def group(left: pa.Table, right: pa.Table) -> pa.Table:

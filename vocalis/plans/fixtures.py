@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vocalis.functions.text import WS_RUN
+from vocalis.operators.relational import spread
 from vocalis.session import ship_package
 
 
@@ -402,10 +403,10 @@ SPLIT_CHANGES_SQL = f"""SELECT username, wrong, right_, array_to_string(h[greate
 
 
 # ---------------------------------------------------------------- long-document pairs
-def document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def document_pairs(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """Whole documents (up to ~20,000 words) as reference; the hypothesis
     replaces every 7th token with ``uh`` and drops every 13th."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), partitions)
     toks = docs.select("doc_id", F.filter(F.split(F.lower("text"), WS_RUN), lambda x: x != "").alias("r"))
     hyp = F.filter(F.transform("r", lambda x, i: F.when((i + 1) % 7 == 0, F.lit("uh"))
                                .when((i + 1) % 13 == 0, F.lit("")).otherwise(x)), lambda x: x != "")

@@ -250,7 +250,7 @@ def q_apply_rules(spark, sf_dir):
     """One-word rules as mined, and rules over several words that chain with them."""
     rules = _rules(spark, sf_dir).select("username", "stt_output", "intended", "confidence", "first_seq") \
         .unionByName(X.phrase_rules(spark, sf_dir))
-    return K.apply_rules(X.rule_texts(spark, sf_dir), rules).select("text_id", "username", "model_output", "corrected")
+    return K.apply_rules(X.rule_texts(spark, sf_dir), rules, partitions=C.partitions(spark)).select("text_id", "username", "model_output", "corrected")
 
 
 # ------------------------------------------------------------------ G1
@@ -416,4 +416,4 @@ def q_corrected_requests(spark, sf_dir):
         mapping.filter(F.col("username") != X.MISSING_PROFILE_USER).select("speaker_id"), "speaker_id", "left_semi")
     req = K.attach_profile(X.rule_texts(spark, sf_dir), mapping, docs.select("speaker_id", "style")) \
         .select("text_id", "username", "model_output", "used_kb")
-    return K.apply_rules(req, K.profile_rules(docs)).select("text_id", "username", "used_kb", "corrected")
+    return K.apply_rules(req, K.profile_rules(docs), partitions=C.partitions(spark)).select("text_id", "username", "used_kb", "corrected")

@@ -67,7 +67,7 @@ def q_pair_wer_report(spark, sf_dir):
 def q_wer_documents(spark, sf_dir):
     """F1 on whole documents (up to ~20,000 words).  No SQL twin: a SQL DP
     over such texts is too slow; tests compare with a numpy DP."""
-    return document_errors(X.document_pairs(spark, sf_dir), partitions=C.partitions(spark))
+    return document_errors(X.document_pairs(spark, sf_dir, C.partitions(spark)))
 
 
 # ------------------------------------------------------------------ F2
@@ -107,10 +107,9 @@ def q_edit_ops(spark, sf_dir):
 def q_document_alignment(spark, sf_dir):
     """F1 / F3 on whole documents: S + D + H and S + I + H are the lengths, the path rebuilds the hypothesis, and its
     S + D + I is the distance that ``document_errors`` counts by other means."""
-    pairs = X.document_pairs(spark, sf_dir)
-    n = C.partitions(spark)
-    path = document_alignment(pairs, partitions=n)
-    counted = document_errors(pairs, partitions=n).select(F.col("pair_id").alias("_pair"), "errors")
+    pairs = X.document_pairs(spark, sf_dir, C.partitions(spark))
+    path = document_alignment(pairs)
+    counted = document_errors(pairs).select(F.col("pair_id").alias("_pair"), "errors")
     return path.join(counted, F.col("pair_id") == F.col("_pair")).select(
         "pair_id", (F.col("subs") + F.col("dels") + F.col("hits")).alias("n_ref"),
         (F.col("subs") + F.col("ins") + F.col("hits")).alias("n_hyp"), F.sha2("rebuilt", 256).alias("rebuilt_sha256"),

@@ -3,6 +3,7 @@
 import struct
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from vocalis.operators import audio as A
@@ -109,3 +110,53 @@ def test_scan_extract_and_write(spark, tmp_path):
     SA.write_features(A.extract_features(A.with_path_metadata(listing)), out)
     back = spark.read.parquet(out)
     assert back.count() == 2 and "status" not in back.columns
+
+
+# ------------------------------------------------------------------ frames of bounded size
+def test_feature_stages_hand_on_small_frames():
+    from vocalis.operators import audio as A
+    from vocalis.operators.batches import FRAME_BYTES
+    from vocalis.streaming import features as SF
+    blob = S.encode_pcm16(0.1 * np.sin(np.arange(16000) / 5.0))
+    n = 300
+    files = pd.DataFrame({"filename": [f"c{i}.wav" for i in range(n)], "speaker": ["s"] * n, "gender": ["M"] * n,
+                          "content": [b"bad" if i == 7 else None if i == 8 else blob for i in range(n)]})
+    messages = files.assign(kafka_ts=pd.Timestamp("2024-01-01"), audio_bytes=files["content"])
+    for run, pdf, rows in ((A._extract_batches, files, n), (A._augment_batches(["gaussian_noise", "time_shift"], 7), files, 2 * n),
+                           (SF._batches, messages, n)):
+        out = list(run(iter([pdf, pdf.iloc[:0]])))
+        assert sum(len(f) for f in out) == rows
+        assert len(out) > 1 and all(sum(m.nbytes for m in f["mel_features"]) < FRAME_BYTES + (1 << 16) for f in out)
+        whole = pd.concat(out)
+        assert list(dict.fromkeys(whole["filename"])) == list(files["filename"])
+        assert (whole["duration_s"] == -1).sum() == 2 * rows // n and whole["duration_s"].dtype == np.float32
+
+
+def test_clips_come_in_small_frames(spark):
+    from pyspark.sql import functions as F
+    from vocalis.plans import clips as C
+    ids = spark.range(0, 600, 1, 1).select(F.col("id").alias("vec_id"), F.array(F.lit(0.5)).alias("embedding"))
+    clips = C.synth_clips(ids, seconds=1.0)
+
+    def sizes(it):
+        for batch in it:
+            yield batch.select(["vec_id"]).slice(0, 1)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(16 * 1024 * 1024)
+    assert clips.select("vec_id", "content").mapInArrow(sizes, "vec_id long").count() > 1
+    assert clips.select("vec_id").distinct().count() == 600
+
+
+def test_tables_cap_the_batches_of_any_session(spark):
+    from conftest import SF_SMALL
+    from vocalis.plans import fixtures as X
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        X.signals(spark, SF_SMALL)
+        assert spark.conf.get(key) == str(16 * 1024 * 1024)
+        spark.conf.set(key, "8m")
+        X.signals(spark, SF_SMALL)
+        assert spark.conf.get(key) == "8m"
+    finally:
+        spark.conf.set(key, before)

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from vocalis.functions.formatting import basename, gender_from_path, parent_dir
 from vocalis.operators import signal as S
+from vocalis.operators.batches import frames
 from vocalis.operators.features import TECHNIQUES
 from vocalis.operators.relational import spread
 
@@ -55,16 +56,14 @@ def _feature_row(content) -> tuple[float, int, np.ndarray, str]:
         return -1.0, -1, _EMPTY, f"error: {e}"
 
 
+_NUMBERS = {"duration_s": np.float32, "n_frames": np.int32}
+
+
 def _extract_batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in it:
-        rows = [_feature_row(c) for c in pdf["content"]]
-        yield pd.DataFrame({
-            "filename": pdf["filename"], "speaker": pdf["speaker"], "gender": pdf["gender"],
-            "duration_s": np.array([r[0] for r in rows], dtype=np.float32),
-            "n_frames": np.array([r[1] for r in rows], dtype=np.int32),
-            "mel_features": [r[2] for r in rows],
-            "status": [r[3] for r in rows],
-        })
+        rows = ((fn, spk, gen, *_feature_row(content))
+                for fn, spk, gen, content in zip(pdf["filename"], pdf["speaker"], pdf["gender"], pdf["content"]))
+        yield from frames(rows, FEATURE_SCHEMA.names, FEATURE_SCHEMA.names.index("mel_features"), _NUMBERS)
 
 
 def extract_features(files: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -74,31 +73,28 @@ def extract_features(files: DataFrame, partitions: int | None = None) -> DataFra
 
 
 def _augment_batches(techniques: Sequence[str], seed: int):
+    def augmented(pdf: pd.DataFrame) -> Iterator[tuple]:
+        for fn, spk, gen, content in zip(pdf["filename"], pdf["speaker"], pdf["gender"], pdf["content"]):
+            try:
+                y, sr = S.decode_wav(bytes(content) if content is not None else None)
+                err = None
+            except Exception as e:  # noqa: BLE001
+                y, sr, err = None, S.SAMPLE_RATE, f"error: {e}"
+            for tech in techniques:
+                if err is None:
+                    try:
+                        rng = np.random.default_rng(S.clip_seed(fn, tech, seed))
+                        mel, dur, n_frames = S.log_mel_features(S.augment(y, sr, tech, rng), sr)
+                        row = (dur, n_frames, mel, "ok")
+                    except Exception as e:  # noqa: BLE001
+                        row = (-1.0, -1, _EMPTY, f"error: {e}")
+                else:
+                    row = (-1.0, -1, _EMPTY, err)
+                yield (fn, spk, gen, tech, *row)
+
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            out = {k: [] for k in AUGMENTED_SCHEMA.names}
-            for fn, spk, gen, content in zip(pdf["filename"], pdf["speaker"], pdf["gender"], pdf["content"]):
-                try:
-                    y, sr = S.decode_wav(bytes(content) if content is not None else None)
-                    err = None
-                except Exception as e:  # noqa: BLE001
-                    y, sr, err = None, S.SAMPLE_RATE, f"error: {e}"
-                for tech in techniques:
-                    if err is None:
-                        try:
-                            rng = np.random.default_rng(S.clip_seed(fn, tech, seed))
-                            mel, dur, frames = S.log_mel_features(S.augment(y, sr, tech, rng), sr)
-                            row = (dur, frames, mel, "ok")
-                        except Exception as e:  # noqa: BLE001
-                            row = (-1.0, -1, _EMPTY, f"error: {e}")
-                    else:
-                        row = (-1.0, -1, _EMPTY, err)
-                    for k, v in zip(AUGMENTED_SCHEMA.names, (fn, spk, gen, tech) + row):
-                        out[k].append(v)
-            frame = pd.DataFrame(out)
-            frame["duration_s"] = frame["duration_s"].astype(np.float32)
-            frame["n_frames"] = frame["n_frames"].astype(np.int32)
-            yield frame
+            yield from frames(augmented(pdf), AUGMENTED_SCHEMA.names, AUGMENTED_SCHEMA.names.index("mel_features"), _NUMBERS)
     return run
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from vocalis.operators import audio as A
 from vocalis.operators import signal as S
+from vocalis.operators.batches import frames
 from vocalis.plans import clips as C
 from vocalis.plans import fixtures as X
 from vocalis.plans.catalog import register, with_cte
@@ -96,14 +97,16 @@ def _per_clip(spark, sf_dir, fn: Callable[[int, np.ndarray, int], dict], schema:
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            rows = []
-            for vid, blob in zip(pdf["vec_id"], pdf["content"]):
-                try:
-                    y, sr = S.decode_wav(bytes(blob))
-                    rows.append({"vec_id": int(vid), **fn(int(vid), y, sr)})
-                except S.AudioDecodeError:
-                    rows.append({"vec_id": int(vid), **dict.fromkeys(cols[1:], -1)})
-            yield pd.DataFrame(rows, columns=cols)
+            yield from frames(map(measured, pdf["vec_id"], pdf["content"]), cols)
+
+    def measured(vid, blob) -> tuple:
+        try:
+            y, sr = S.decode_wav(bytes(blob))
+            values = fn(int(vid), y, sr)
+        except S.AudioDecodeError:
+            values = dict.fromkeys(cols[1:], -1)
+        return (int(vid), *[values[c] for c in cols[1:]])
+
     clips = C.synth_clips(X.signals(spark, sf_dir))
     return clips.select("vec_id", "content").mapInPandas(run, schema)
 

@@ -210,6 +210,14 @@ def q_read_profiles(spark, sf_dir):
                        F.size("vocabulary").cast("bigint").alias("n_vocabulary"))
 
 
+def _kept(spark, df, name: str):
+    """``df`` written to the shared folder once and read back, for jobs that use it in many places."""
+    from vocalis.session import scratch_path
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 _UPSERT_AT = "TIMESTAMP '2030-01-01 00:00:00'"
 
 
@@ -223,7 +231,7 @@ def q_upsert_profiles(spark, sf_dir):
     from vocalis.sources.profiles import read_profile_store, upsert_profile_store, write_profile_store
     path = scratch_path(spark, "profile-store")
     number = F.substring("name", 6, 9).cast("int")
-    stored = profiles(spark, sf_dir)
+    stored = _kept(spark, profiles(spark, sf_dir), "profiles-built")
     write_profile_store(stored, path)
     new = stored.where(number % 3 == 0).withColumn("domain", F.lit("updated")) \
         .unionByName(stored.where(number % 5 == 0).withColumn("speaker_id", F.concat(F.lit("new-"), "speaker_id")))
@@ -388,7 +396,7 @@ def q_kb_build(spark, sf_dir):
     """Extraction responses to stored profiles: parse, merge, de-duplicate, assemble, write, read back."""
     from vocalis.session import scratch_path
     from vocalis.sources.profiles import read_profiles, write_profiles
-    ok = _extracted(spark, sf_dir)
+    ok = _kept(spark, _extracted(spark, sf_dir).drop("response"), "kb-extracted")
     info = K.merge_batches(ok).select("username", "speaker_info.*").withColumnRenamed("style_notes", "notes")
     built = K.build_profiles(_mapping(spark, sf_dir).join(info.select("username"), "username"),
                              K.dedupe_rules(K.batch_rules(ok)), K.dedupe_vocab(K.batch_vocab(ok)), info)

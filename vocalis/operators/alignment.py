@@ -24,8 +24,9 @@ __all__ = ["align", "align_tokens", "distance", "document_alignment", "document_
 _ROWS = 1 << 15
 
 
-def _tokens(batch: pa.RecordBatch, name: str) -> list[list[str]]:
-    return [x or [] for x in batch.column(name).to_pylist()]
+def _tokens(batch: pa.RecordBatch, name: str) -> Iterator[list[str]]:
+    """The token lists of a batch one by one: as Python strings they take several times the batch."""
+    return (x.as_py() or [] for x in batch.column(name))
 
 
 def align_tokens(df: DataFrame, carry: list[str], partitions: int | None = None) -> DataFrame:

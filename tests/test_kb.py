@@ -321,3 +321,19 @@ def test_upsert_touches_only_its_buckets(spark, tmp_path):
     P.upsert_profile_store(spark, path, new, F.lit(now))
     P.upsert_profile_store(spark, path, new.limit(0), F.lit(now))
     assert sorted(map(str, P.read_profile_store(spark, path).collect())) == once
+
+
+def test_kb_jobs_read_events_once(spark, monkeypatch):
+    """Parsed responses and built documents are written once; what works on them reads no events."""
+    from conftest import SF_SMALL
+    from vocalis.plans import kb_queries as KQ
+    from vocalis.sources import profiles as SP
+    seen = []
+    monkeypatch.setattr(KQ.K, "build_profiles", lambda m, r, v, i, f=KQ.K.build_profiles: (seen.extend([r, v, i]), f(m, r, v, i))[1])
+    KQ.q_kb_build(spark, SF_SMALL)
+    assert len(seen) == 3
+    monkeypatch.undo()
+    monkeypatch.setattr(SP, "upsert_profile_store", lambda s, p, new, now, f=SP.upsert_profile_store: (seen.append(new), f(s, p, new, now))[1])
+    KQ.q_upsert_profiles(spark, SF_SMALL)
+    assert len(seen) == 5
+    assert not [f for df in seen for f in df.inputFiles() if "events" in f.rsplit("/", 2)[-1] or "events.parquet" in f]

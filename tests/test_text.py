@@ -230,3 +230,12 @@ def test_document_errors_defined_cases(spark):
     got = {r.pair_id: (r.ref_words, r.errors, r.wer) for r in document_errors(df).collect()}
     assert got[1] == (3, 1, 0.3333) and got[2] == (0, 2, 0.0) and got[3] == (2, 0, 0.0) and got[5][1] == 2
     assert document_errors(df.limit(0)).count() == 0
+
+
+def test_token_lists_come_one_by_one():
+    import pyarrow as pa
+    from vocalis.operators import alignment as AL
+    batch = pa.RecordBatch.from_arrays([pa.array([["a", "b"], None, [], ["c"]], pa.list_(pa.string()))], names=["_r"])
+    tokens = AL._tokens(batch, "_r")
+    assert not isinstance(tokens, list) and next(tokens) == ["a", "b"]
+    assert list(tokens) == [[], [], ["c"]]

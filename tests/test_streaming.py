@@ -236,3 +236,56 @@ def test_batches_of_many_files(spark, duck, monkeypatch, key):
     got = E.queries()[key](spark, SF_SMALL).toPandas()
     want = duck.execute(E.oracle_sql()[key]).df()[list(got.columns)]
     assert sorted(map(repr, got.round(2).values.tolist())) == sorted(map(repr, want.round(2).values.tolist()))
+
+
+def test_stream_offsets_drains_lanes_side_by_side(spark, tmp_path, monkeypatch):
+    """The micro-batches of at most 50 messages are dealt evenly to queries that run at the same time."""
+    import duckdb
+    from pyspark.sql import functions as F
+    from vocalis.plans import stream_queries as SQ
+    from vocalis.streaming import sources as SS
+    monkeypatch.setattr(SQ, "CLIP_ROWS", 100)
+    monkeypatch.setattr(SS, "LANES", 4)
+    path = str(tmp_path / "embeddings.parquet")
+    ids = (F.col("id") * 7 % 1501).alias("vec_id")
+    vector = F.array(F.lit(0.5).cast("float"), (F.col("id") % 3).cast("float")).alias("embedding")
+    spark.range(0, 1300).select(ids, vector).write.parquet(path)
+    runs, together, drain_all = [], [], SS.drain_all
+
+    def spy(queries):
+        together.append(sum(q.isActive for q in queries))
+        drain_all(queries)
+        runs.append([[p["numInputRows"] for p in q.recentProgress if p["numInputRows"]] for q in queries])
+
+    monkeypatch.setattr(SS, "drain_all", spy)
+    got = E.queries()["stream_offsets"](spark, str(tmp_path)).collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    assert sorted(r[0] for r in got) == sorted(r[0] for r in con.execute(E.oracle_sql()["stream_offsets"]).fetchall())
+    assert [len(r) for r in runs] == [4, 4] and max(together) > 1
+    assert max(n for r in runs for lane in r for n in lane) == 50
+    assert sum(n for r in runs for lane in r for n in lane) == 1300
+    batches = [len(lane) for lane in runs[1]]
+    assert max(batches) - min(batches) <= 3 and min(batches) >= 5
+
+
+def test_drain_all_surfaces_one_error_and_stops_the_rest(spark):
+    from vocalis.streaming import sources as SS
+
+    class Query:
+        def __init__(self, error=None):
+            self.error, self.stopped = error, False
+
+        def awaitTermination(self, timeout=None):
+            return True
+
+        def exception(self):
+            return self.error
+
+        def stop(self):
+            self.stopped = True
+
+    queries = [Query(), Query("no"), Query()]
+    with pytest.raises(RuntimeError, match="no"):
+        SS.drain_all(queries)
+    assert all(q.stopped for q in queries)
